@@ -1,0 +1,5 @@
+"""Streaming.
+
+The modelled pipeline is batch only: it has no stream source, watermark or
+state, and every run reprocesses its inputs. Nothing is built here on purpose
+(see README, "Scope")."""
