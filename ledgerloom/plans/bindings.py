@@ -157,6 +157,18 @@ def resolve_anchors(spark: SparkSession, sf_dir: str) -> Anchors:
     return Anchors(rows["sales"]["lo"], rows["sales"]["hi"], rows["stock"]["hi"])
 
 
+def anchors_from_feeds(pos: DataFrame, online: DataFrame, shelf: DataFrame) -> Anchors:
+    """Same anchors computed from materialised raw feeds (one job)."""
+    parts = [
+        pos.agg(F.lit("sales").alias("k"), F.min(F.to_date("ts")).alias("lo"), F.max(F.to_date("ts")).alias("hi")),
+        online.agg(F.lit("sales").alias("k"), F.min(F.to_date("ts")).alias("lo"), F.max(F.to_date("ts")).alias("hi")),
+        shelf.agg(F.lit("stock").alias("k"), F.min("date").alias("lo"), F.max("date").alias("hi")),
+    ]
+    u = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    rows = {r["k"]: r for r in u.groupBy("k").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).collect()}
+    return Anchors(rows["sales"]["lo"], rows["sales"]["hi"], rows["stock"]["hi"])
+
+
 def fx_raw(spark: SparkSession, lo: date, hi: date) -> DataFrame:
     """Daily USD and EUR rates over ``[lo, hi]`` (``date, currency, rate``);
     every 17th day of the year has no rate (a gap the FX check must see). The

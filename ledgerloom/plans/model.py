@@ -31,6 +31,16 @@ class RetailModel:
         if anchors is not None:
             self.__dict__["anchors"] = anchors
 
+    BRONZE = ("pos_raw", "online_raw", "fx_raw", "catalog_raw", "mappings_raw", "stores_raw", "shelf_raw", "dispatch_raw")
+
+    @classmethod
+    def from_bronze(cls, spark: SparkSession, bronze: dict[str, DataFrame], anchors: b.Anchors, **kw) -> "RetailModel":
+        """A model whose raw feeds are given (e.g. read back from a bronze layer)."""
+        m = cls(spark, sf_dir="", anchors=anchors, **kw)
+        for name in cls.BRONZE:
+            m.__dict__[name] = bronze[name]
+        return m
+
     # ------------------------------------------------------------ anchors
     @cached_property
     def anchors(self) -> b.Anchors:
@@ -69,9 +79,17 @@ class RetailModel:
     def stores_raw(self) -> DataFrame:
         return b.stores_raw(self.spark, self.sf_dir)
 
+    @cached_property
+    def shelf_raw(self) -> DataFrame:
+        return b.shelf_snapshots(self.spark, self.sf_dir)
+
+    @cached_property
+    def dispatch_raw(self) -> DataFrame:
+        return b.dispatch_snapshots(self.spark, self.sf_dir)
+
     @cached_property
     def snapshots_raw(self) -> DataFrame:
-        return b.snapshots_raw(self.spark, self.sf_dir)
+        return self.shelf_raw.unionByName(self.dispatch_raw)
 
     # ------------------------------------------------------------ silver
     @cached_property
