@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 POS_PATTERN = r"^CN-0*([0-9]+)$"
 ERP_PATTERN = r"^ERP-[A-Z]+-[A-Z]+-0*([0-9]+)-[A-Z]$"
 HANDLE_PATTERN = r"-0*([0-9]+)$"
-POS_FORMAT = "CN-%05d"
+POS_PREFIX, POS_WIDTH = "CN-", 5
 
 
 def _number(col: Column, pattern: str) -> Column:
@@ -43,7 +43,20 @@ def key_from_handle(col: Column | str) -> Column:
     return _number(F.col(col) if isinstance(col, str) else col, HANDLE_PATTERN)
 
 
+def zero_pad(num: Column | str, width: int) -> Column:
+    """Decimal text of an integer, left-padded with zeros to ``width`` (like
+    ``%0<width>d``). Wider numbers are kept whole: a bare ``lpad`` would cut them
+    and make different keys collide. Cheaper than ``format_string``, which runs a
+    ``java.util.Formatter`` per row."""
+    n = F.col(num) if isinstance(num, str) else num
+    s = n.cast("string")
+    return (
+        F.when(n < 0, F.format_string(f"%0{width}d", n))
+        .when(F.length(s) >= width, s)
+        .otherwise(F.lpad(s, width, "0"))
+    )
+
+
 def format_sku(key: Column | str) -> Column:
-    """Generated point-of-sale SKU for a key. ``format_string`` never truncates
-    (``lpad`` would cut keys of six or more digits and create collisions)."""
-    return F.format_string(POS_FORMAT, F.col(key) if isinstance(key, str) else key)
+    """Generated point-of-sale SKU for a key: ``CN-`` + at least 5 digits."""
+    return F.concat(F.lit(POS_PREFIX), zero_pad(key, POS_WIDTH))

@@ -127,5 +127,5 @@ def calendar(bounds: DataFrame, lo: str = "lo", hi: str = "hi") -> DataFrame:
         "date",
         F.year("date").alias("year"),
         F.date_format("date", "yyyy-MM").alias("month"),
-        F.format_string("%d-Q%d", F.year("date"), F.quarter("date")).alias("quarter"),
+        F.concat(F.year("date"), F.lit("-Q"), F.quarter("date")).alias("quarter"),
     )

@@ -29,6 +29,8 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.keys import zero_pad
+
 # Fixed values of the derivation rules.
 REGION_CURRENCY = {"AMERICA": "USD", "EUROPE": "EUR", "MIDDLE EAST": "GBP"}
 DEFAULT_CURRENCY = "MXN"
@@ -38,19 +40,22 @@ COST_HISTORY_START = "1996-01-01"
 COST_VERSIONS = 5
 COST_STEP_DAYS = 500
 SHELF_PRODUCT = 1
-STORE_FORMAT = "T%04d"
-STOCK_POINT_FORMAT = "U%04d"
-ERP_FORMAT = "ERP-PROV-MX-%03d-A"
-HANDLE_FORMAT = "item-%03d"
+# identifier layouts: prefix, zero-padded number (minimum width), suffix
+STORE_ID = ("T", 4, "")
+STOCK_POINT_ID = ("U", 4, "")
+ERP_SKU = ("ERP-PROV-MX-", 3, "-A")
+POS_SKU = ("CN-", 5, "")
+HANDLE = ("item-", 3, "")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _fmt(fmt: str, col: Column) -> Column:
-    """``format_string`` that keeps NULL as NULL (Spark would print 'null')."""
-    return F.when(col.isNotNull(), F.format_string(fmt, col))
+def ident(layout: tuple[str, int, str], num: Column | str) -> Column:
+    """Identifier text from a number; NULL stays NULL."""
+    prefix, width, suffix = layout
+    return F.concat(F.lit(prefix), zero_pad(num, width), F.lit(suffix))
 
 
 def nation_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,7 +93,7 @@ def pos_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "s_suppkey", "currency"
     )
     j = li.join(supp_ccy, li["l_suppkey"] == supp_ccy["s_suppkey"], "left")
-    sku = F.format_string("CN-%05d", "l_partkey")
+    sku = ident(POS_SKU, "l_partkey")
     # line 3 of every order arrives with blanks around the SKU (trimmed on read)
     sku = F.when(F.col("l_linenumber") == 3, F.concat(F.lit("  "), sku, F.lit(" "))).otherwise(sku)
     amount = F.col("l_extendedprice").cast("decimal(12,2)") * (
@@ -97,7 +102,7 @@ def pos_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("doc_id"),
         F.col("l_shipdate").alias("ts"),
-        F.format_string(STORE_FORMAT, "l_suppkey").alias("store_id"),
+        ident(STORE_ID, "l_suppkey").alias("store_id"),
         sku.alias("sku"),
         F.col("l_quantity").cast("int").alias("units"),
         amount.cast("decimal(18,4)").alias("amount"),
@@ -125,9 +130,9 @@ def online_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         cust_ccy, orders["o_custkey"] == cust_ccy["c_custkey"], "left"
     )
     return j.select(
-        F.format_string("W%d", "o_orderkey").alias("order_id"),
+        F.concat(F.lit("W"), F.col("o_orderkey").cast("string")).alias("order_id"),
         F.col("o_orderdate").alias("ts"),
-        _fmt(HANDLE_FORMAT, F.col("lead.l_partkey")).alias("handle"),
+        ident(HANDLE, F.col("lead.l_partkey")).alias("handle"),
         F.col("lead.l_quantity").cast("int").alias("units"),
         F.col("o_totalprice").cast("decimal(18,2)").cast("decimal(18,4)").alias("amount"),
         "currency",
@@ -199,11 +204,11 @@ def catalog_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.struct(
             F.date_format(F.date_add(F.lit(COST_HISTORY_START).cast("date"), i * COST_STEP_DAYS), "yyyy-MM-dd").alias("valid_from"),
             (retail * factor).cast("decimal(18,3)").alias("cost"),
-            F.format_string("SUP-%d", i).alias("supplier"),
+            F.concat(F.lit("SUP-"), i.cast("string")).alias("supplier"),
         )
 
     return part.select(
-        F.format_string(ERP_FORMAT, "p_partkey").alias("sku_erp"),
+        ident(ERP_SKU, "p_partkey").alias("sku_erp"),
         F.col("p_name").alias("name"),
         F.col("p_type").alias("category"),
         F.transform(F.sequence(F.lit(0), F.lit(COST_VERSIONS - 1)), version).alias("cost_history"),
@@ -219,9 +224,9 @@ def mappings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.when(F.col("p_brand") == "Brand#7", F.col("p_size")).otherwise(F.col("p_partkey"))
     slug = F.lower(F.regexp_replace(F.trim("p_name"), " +", "-"))
     return part.select(
-        F.format_string("CN-%05d", "p_partkey").alias("sku_pos"),
-        F.when(F.col("p_size") > 2, F.format_string(ERP_FORMAT, "p_partkey")).alias("sku_erp"),
-        F.concat(slug, F.lit("-"), F.format_string("%03d", number)).alias("handle"),
+        ident(POS_SKU, "p_partkey").alias("sku_pos"),
+        F.when(F.col("p_size") > 2, ident(ERP_SKU, "p_partkey")).alias("sku_erp"),
+        F.concat(slug, F.lit("-"), zero_pad(number, 3)).alias("handle"),
     )
 
 
@@ -230,10 +235,10 @@ def stores_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     timezone``."""
     geo = F.broadcast(nation_currency(spark, sf_dir).select("nationkey", "nation", "region"))
     supp = table(spark, sf_dir, "supplier").select(
-        F.format_string(STORE_FORMAT, "s_suppkey").alias("store_id"), F.col("s_nationkey").alias("nk")
+        ident(STORE_ID, "s_suppkey").alias("store_id"), F.col("s_nationkey").alias("nk")
     )
     cust = table(spark, sf_dir, "customer").select(
-        F.format_string(STOCK_POINT_FORMAT, "c_custkey").alias("store_id"), F.col("c_nationkey").alias("nk")
+        ident(STOCK_POINT_ID, "c_custkey").alias("store_id"), F.col("c_nationkey").alias("nk")
     )
     both = supp.unionByName(cust)
     return both.join(geo, both["nk"] == geo["nationkey"], "left").select(
@@ -263,8 +268,8 @@ def shelf_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return snap.select(
         "date",
-        F.format_string(STOCK_POINT_FORMAT, "user_id").alias("store_id"),
-        F.lit(ERP_FORMAT % SHELF_PRODUCT).alias("sku_erp"),
+        ident(STOCK_POINT_ID, "user_id").alias("store_id"),
+        ident(ERP_SKU, F.lit(SHELF_PRODUCT)).alias("sku_erp"),
         stock.alias("stock"),
     )
 
@@ -277,8 +282,8 @@ def dispatch_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     units = (F.col("l_partkey") * 7 + F.dayofyear("l_shipdate")) % 50
     return li.select(
         F.to_date("l_shipdate").alias("date"),
-        F.format_string(STORE_FORMAT, "l_suppkey").alias("store_id"),
-        F.format_string(ERP_FORMAT, "l_partkey").alias("sku_erp"),
+        ident(STORE_ID, "l_suppkey").alias("store_id"),
+        ident(ERP_SKU, "l_partkey").alias("sku_erp"),
         F.when(F.col("l_tax") == 0, F.lit("N/A")).otherwise(units.cast("string")).alias("stock"),
     )
 
