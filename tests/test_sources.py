@@ -1,0 +1,102 @@
+"""Sources and sinks: strict CSV, projected Parquet, nested JSON, lake tables."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom.sources import files as src
+from ledgerloom.sources import lake
+
+SCHEMA = "id string, qty int, amount double"
+
+
+def _write(path, text):
+    path.write_text(text)
+    return str(path)
+
+
+def test_strict_csv_reads_declared_schema(spark, tmp_path):
+    p = _write(tmp_path / "ok.csv", "id,qty,amount\nA,1,2.5\nB,2,3.0\n")
+    df = src.read_csv_strict(spark, p, SCHEMA)
+    assert df.count() == 2 and dict(df.dtypes)["qty"] == "int"
+
+
+def test_strict_csv_fails_on_malformed_row(spark, tmp_path):
+    p = _write(tmp_path / "bad.csv", "id,qty,amount\nA,1,2.5\nB,two,3.0\n")
+    df = src.read_csv_strict(spark, p, SCHEMA)
+    with pytest.raises(Exception, match="(?i)malformed|FAILFAST"):
+        df.collect()
+
+
+def test_required_columns_are_enforced(spark, tmp_path):
+    """D2: nullable=False is not enforced by file sources; assert_required is."""
+    p = _write(tmp_path / "nulls.csv", "id,qty,amount\nA,1,2.5\n,2,3.0\n")
+    df = src.read_csv_strict(spark, p, SCHEMA)
+    with pytest.raises(ValueError, match="id"):
+        src.assert_required(df, ["id", "qty"])
+
+
+def test_required_check_parses_all_columns(spark, tmp_path):
+    """A bare count() would not see the malformed amount; the check does."""
+    p = _write(tmp_path / "late.csv", "id,qty,amount\nA,1,oops\n")
+    df = src.read_csv_strict(spark, p, SCHEMA)
+    with pytest.raises(Exception):
+        src.assert_required(df, ["id"])
+
+
+def test_projected_parquet_prunes_columns(spark, sf_small):
+    df = src.read_parquet_projected(spark, f"{sf_small}/customer.parquet", ["c_custkey", "c_mktsegment"])
+    assert df.columns == ["c_custkey", "c_mktsegment"]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<c_custkey:bigint,c_mktsegment:string>" in plan
+
+
+def test_nested_json_explodes_two_levels(spark, tmp_path):
+    p = _write(
+        tmp_path / "doc.json",
+        '{"sku_erp":"ERP-A-B-001-A","cost_history":[{"valid_from":"2024-01-01","cost":1.5},{"valid_from":"2024-06-01","cost":2.0}]}\n'
+        '{"sku_erp":"ERP-A-B-002-A","cost_history":[]}\n',
+    )
+    doc = src.read_nested_json(spark, p, "sku_erp string, cost_history array<struct<valid_from:string,cost:double>>", multiline=False)
+    flat = src.explode_array(doc, "cost_history", keep=["sku_erp"])
+    assert flat.columns == ["sku_erp", "valid_from", "cost"] and flat.count() == 2
+
+
+def test_truncated_json_document_fails_loudly(spark, tmp_path):
+    """D3: PERMISSIVE would turn this into one all-NULL row that explodes to nothing."""
+    p = _write(tmp_path / "cut.json", '{"snapshots": [{"date": "2026-01-01", "stock": "5"}, {"date": ')
+    doc = src.read_nested_json(spark, p, "snapshots array<struct<date:string, stock:string>>")
+    with pytest.raises(Exception):
+        src.explode_array(doc, "snapshots").collect()
+
+
+def test_lineage_stamp(spark):
+    df = src.stamp_lineage(spark.range(2), "pos:test")
+    assert {"_source", "_ingested_at"} <= set(df.columns)
+    assert df.select(F.countDistinct("_source")).first()[0] == 1
+
+
+def test_partitioned_roundtrip_prunes_partitions(spark, tmp_path):
+    df = spark.range(100).selectExpr("id", "cast(id % 4 as string) as part")
+    path = str(tmp_path / "t")
+    lake.write_table(df, path, partition_by=["part"])
+    back = lake.read_table(spark, path).where(F.col("part") == "1")
+    assert back.count() == 25
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(part" in plan
+
+
+def test_scratch_path_uses_session_checkpoint_dir(spark):
+    p1, p2 = lake.scratch_path(spark, "x"), lake.scratch_path(spark, "x")
+    assert p1 != p2
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    assert p1.startswith(base.rstrip("/") + "/ledgerloom/")
+
+
+def test_export_csv_roundtrip(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1.5), ("b", None)], "k string, v double")
+    path = str(tmp_path / "out")
+    lake.export_csv(df, path)
+    back = src.read_csv_strict(spark, path, "k string, v double")
+    assert sorted(back.collect()) == sorted(df.collect())
