@@ -137,7 +137,7 @@ def csv_export_roundtrip(spark, sf_dir):
     m = _m(spark, sf_dir)
     growth = marts.growth_by_channel(m.sales, m.sales_cutoff)
     path = lake.scratch_path(spark, "mom-csv")
-    lake.export_csv(growth, path)
+    lake.export_csv(growth, path, single_file=True)  # channels x months: bounded
     schema = (
         "channel string, month string, revenue double, units bigint, documents bigint, "
         "prev_revenue double, growth_pct double, avg_ticket double"

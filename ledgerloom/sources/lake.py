@@ -23,7 +23,11 @@ def _checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    # unset: local runs and tests only
+    if not sc.master.startswith("local"):
+        raise RuntimeError(
+            "set spark.checkpoint.dir to a shared folder: scratch tables must survive executor loss"
+        )
+    # unset in a local session (tests): a private folder on this machine is fine
     local = tempfile.mkdtemp(prefix="ledgerloom-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir().rstrip("/")
@@ -40,18 +44,29 @@ def write_table(
     partition_by: Sequence[str] | None = None,
     mode: str = "overwrite",
 ) -> None:
-    writer = df.write.mode(mode)
+    """Overwrite a Parquet table. With partition columns the rows are first
+    rebalanced on them (``REBALANCE`` hint): AQE then cuts each partition value
+    into files of the advisory size and splits a hot value, instead of every
+    task writing one small file per value."""
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+        df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode(mode).parquet(path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def export_csv(df: DataFrame, path: str, single_file: bool = True) -> None:
-    """Readable CSV with header. ``single_file`` is meant for small marts only:
-    it funnels the rows through one task (no driver round trip, unlike pandas)."""
+def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """Readable CSV directory with header (values written verbatim). Use
+    ``single_file`` only for a result bounded by construction (a top-n, one row
+    per scenario): it funnels the rows through one task."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+    (
+        out.write.mode("overwrite")
+        .option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
