@@ -10,7 +10,7 @@ from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampT
 
 # Largest side that may be hinted for broadcast (rows); beyond it the join is
 # left to the planner (sort-merge / AQE runtime conversion).
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_ROWS = 1_000_000
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:

@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import zero_pad
+from ..operators.common import broadcast_if_small
 
 # Fixed values of the derivation rules.
 REGION_CURRENCY = {"AMERICA": "USD", "EUROPE": "EUR", "MIDDLE EAST": "GBP"}
@@ -89,8 +90,10 @@ def pos_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     ccy = F.broadcast(nation_currency(spark, sf_dir).select("nationkey", "currency"))
-    supp_ccy = supp.join(ccy, supp["s_nationkey"] == ccy["nationkey"], "left").select(
-        "s_suppkey", "currency"
+    # grows with the data (10k suppliers per TPC-H scale unit): broadcast only
+    # behind a row-count check, else a shuffled join (AQE splits a hot supplier)
+    supp_ccy = broadcast_if_small(
+        supp.join(ccy, supp["s_nationkey"] == ccy["nationkey"], "left").select("s_suppkey", "currency")
     )
     j = li.join(supp_ccy, li["l_suppkey"] == supp_ccy["s_suppkey"], "left")
     sku = ident(POS_SKU, "l_partkey")
@@ -123,8 +126,8 @@ def online_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     ccy = F.broadcast(nation_currency(spark, sf_dir).select("nationkey", "currency"))
-    cust_ccy = cust.join(ccy, cust["c_nationkey"] == ccy["nationkey"], "left").select(
-        "c_custkey", "currency"
+    cust_ccy = broadcast_if_small(
+        cust.join(ccy, cust["c_nationkey"] == ccy["nationkey"], "left").select("c_custkey", "currency")
     )
     j = orders.join(lead, orders["o_orderkey"] == lead["l_orderkey"], "left").join(
         cust_ccy, orders["o_custkey"] == cust_ccy["c_custkey"], "left"
