@@ -30,11 +30,18 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None =
     return agg.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in packed]).select(*df.columns)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only behind a size check. The check reads at most
-    ``max_rows + 1`` rows of ``df``; larger sides are returned unhinted so the
-    planner shuffles them (AQE may still convert at runtime)."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def broadcast_if_small(
+    df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, rows: int | None = None
+) -> DataFrame:
+    """Broadcast hint only behind a size check; a larger side is returned
+    unhinted, so the planner shuffles it (AQE may still convert at runtime).
+
+    ``rows`` is a proven upper bound of the row count when the caller has one
+    (an analytic bound, or the row count of a table ``df`` is one-to-one with,
+    which Parquet answers from file footers). Without it the check reads at
+    most ``max_rows + 1`` rows of ``df``."""
+    n = rows if rows is not None else df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
 
 
 def as_timestamp(df: DataFrame, col: str) -> Column:

@@ -40,17 +40,25 @@ ONLINE_RAW = ["order_id", "ts", "handle", "units", "amount", "currency"]
 
 
 def attach_rate(
-    df: DataFrame, fx: DataFrame, date_col: str, ccy_col: str, missing_rate: str = "null"
+    df: DataFrame,
+    fx: DataFrame,
+    date_col: str,
+    ccy_col: str,
+    missing_rate: str = "null",
+    fx_rows: int | None = None,
 ) -> DataFrame:
     """Rate of the day of the document (left join on date x currency).
     ``missing_rate``: ``"null"`` leaves the converted amount NULL (caught by the
-    FX check); ``"identity"`` applies 1.0."""
+    FX check); ``"identity"`` applies 1.0. The rate table is broadcast when its
+    size (``fx_rows`` bound, else measured) allows: it grows with the calendar,
+    not with the facts."""
     rates = broadcast_if_small(
         fx.select(
             F.col("date").alias("_fx_date"),
             F.col("currency").alias("_fx_ccy"),
             F.col("rate").alias("_rate"),
-        )
+        ),
+        rows=fx_rows,
     )
     out = df.join(
         rates, (df[date_col] == rates["_fx_date"]) & (df[ccy_col] == rates["_fx_ccy"]), "left"
@@ -74,6 +82,7 @@ def sales_fact_pos(
     income: Sequence[str] = INCOME_TYPES,
     returns: Sequence[str] = RETURN_TYPES,
     missing_rate: str = "null",
+    fx_rows: int | None = None,
 ) -> DataFrame:
     """Point-of-sale lines: key, sign, report-currency amount. Documents that are
     not sales stay in the fact with 0 units / amount and ``is_revenue = false``."""
@@ -89,7 +98,7 @@ def sales_fact_pos(
         F.col("amount").cast(MONEY).alias("_amount"),
         F.upper(F.trim("currency")).alias("currency"),
     ).withColumn("date", F.to_date("local_ts"))
-    j = attach_rate(base, fx, "date", "currency", missing_rate)
+    j = attach_rate(base, fx, "date", "currency", missing_rate, fx_rows)
     signed = (F.col("_sign") * F.col("_amount")).cast(MONEY)
     return j.select(
         "doc_id",
@@ -113,6 +122,7 @@ def sales_fact_online(
     store_id: str = ONLINE_STORE,
     doc_type: str = "WEB",
     missing_rate: str = "null",
+    fx_rows: int | None = None,
 ) -> DataFrame:
     """Web orders: key from the handle, FX of the order day (a missing rate
     leaves the amount NULL), the synthetic online store, always revenue."""
@@ -125,7 +135,7 @@ def sales_fact_online(
         F.col("amount").cast(MONEY).alias("amount_src"),
         F.upper(F.trim("currency")).alias("currency"),
     ).withColumn("date", F.to_date("local_ts"))
-    j = attach_rate(base, fx, "date", "currency", missing_rate)
+    j = attach_rate(base, fx, "date", "currency", missing_rate, fx_rows)
     return j.select(
         "doc_id",
         F.lit("online").alias("channel"),

@@ -93,7 +93,8 @@ def pos_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     # grows with the data (10k suppliers per TPC-H scale unit): broadcast only
     # behind a row-count check, else a shuffled join (AQE splits a hot supplier)
     supp_ccy = broadcast_if_small(
-        supp.join(ccy, supp["s_nationkey"] == ccy["nationkey"], "left").select("s_suppkey", "currency")
+        supp.join(ccy, supp["s_nationkey"] == ccy["nationkey"], "left").select("s_suppkey", "currency"),
+        rows=supp.count(),  # one row per supplier (nation key is unique); a footer-only count
     )
     j = li.join(supp_ccy, li["l_suppkey"] == supp_ccy["s_suppkey"], "left")
     sku = ident(POS_SKU, "l_partkey")
@@ -127,7 +128,8 @@ def online_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     ccy = F.broadcast(nation_currency(spark, sf_dir).select("nationkey", "currency"))
     cust_ccy = broadcast_if_small(
-        cust.join(ccy, cust["c_nationkey"] == ccy["nationkey"], "left").select("c_custkey", "currency")
+        cust.join(ccy, cust["c_nationkey"] == ccy["nationkey"], "left").select("c_custkey", "currency"),
+        rows=cust.count(),
     )
     j = orders.join(lead, orders["o_orderkey"] == lead["l_orderkey"], "left").join(
         cust_ccy, orders["o_custkey"] == cust_ccy["c_custkey"], "left"
@@ -177,6 +179,15 @@ def anchors_from_feeds(pos: DataFrame, online: DataFrame, shelf: DataFrame) -> A
     return Anchors(rows["sales"]["lo"], rows["sales"]["hi"], rows["stock"]["hi"])
 
 
+FX_CURRENCIES = 2  # quoted currencies per day in the derived feed
+
+
+def fx_rows_bound(lo: date, hi: date) -> int:
+    """Upper bound of the FX dimension: quoted currencies plus the identity
+    rate, per day of the span."""
+    return (FX_CURRENCIES + 1) * ((hi - lo).days + 1)
+
+
 def fx_raw(spark: SparkSession, lo: date, hi: date) -> DataFrame:
     """Daily USD and EUR rates over ``[lo, hi]`` (``date, currency, rate``);
     every 17th day of the year has no rate (a gap the FX check must see). The

@@ -108,13 +108,17 @@ class RetailModel:
     def cost(self) -> DataFrame:
         return dim.cost_dimension(self.catalog_raw)
 
+    @property
+    def fx_rows(self) -> int:
+        return b.fx_rows_bound(self.anchors.first_sale, self.anchors.sales_cutoff)
+
     @cached_property
     def pos(self) -> DataFrame:
-        return fct.sales_fact_pos(self.pos_raw, self.fx, missing_rate=self.missing_rate)
+        return fct.sales_fact_pos(self.pos_raw, self.fx, missing_rate=self.missing_rate, fx_rows=self.fx_rows)
 
     @cached_property
     def online(self) -> DataFrame:
-        return fct.sales_fact_online(self.online_raw, self.fx, missing_rate=self.missing_rate)
+        return fct.sales_fact_online(self.online_raw, self.fx, missing_rate=self.missing_rate, fx_rows=self.fx_rows)
 
     @cached_property
     def sales(self) -> DataFrame:
