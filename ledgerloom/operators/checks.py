@@ -96,6 +96,30 @@ def sales_checks(
     return _finish(_union(rows))
 
 
+def check_sales_have_store(sales: DataFrame, stores: DataFrame) -> DataFrame:
+    """Lines whose store is not in the store dimension (marts inner-join the
+    store, so such lines would silently vanish from them)."""
+    keys = stores.select("store_id", F.lit(True).alias("_known")).distinct()
+    s = sales.join(keys, "store_id", "left")
+    return _count_check(s, "sales_have_store", ERROR, F.col("_known").isNull())
+
+
+def check_document_types(
+    raw: DataFrame, col: str = "doc_type", known: Sequence[str] = ("I", "E", "P", "T", "N")
+) -> DataFrame:
+    """Raw documents of a type in none of the configured lists (they count 0
+    in revenue, which may hide a new source type). Warning by default."""
+    c = F.col(col)
+    return _count_check(raw, "document_types_known", WARNING, c.isNull() | ~c.isin(list(known)))
+
+
+def check_cost_covered(costed: DataFrame) -> DataFrame:
+    """Revenue lines with a product but no cost version valid on their date
+    (kept by the as-of join with NULL cost; they add revenue and no cost)."""
+    uncovered = F.col("product_key").isNotNull() & F.col("cost").isNull()
+    return _count_check(costed.where(F.col("is_revenue")), "cost_covered", WARNING, uncovered)
+
+
 def inventory_checks(
     inventory: DataFrame, max_pct_invalid: float = MAX_PCT_INVALID_READINGS,
     invalid_severity: str = WARNING,

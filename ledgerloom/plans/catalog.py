@@ -352,6 +352,9 @@ def _all_checks(m: RetailModel) -> list[DataFrame]:
     return [
         chk.check_mapping(m.mappings_raw),
         chk.sales_checks(m.sales, m.products),
+        chk.check_sales_have_store(m.sales, m.stores),
+        chk.check_document_types(m.pos_raw),
+        chk.check_cost_covered(m.costed),
         chk.inventory_checks(m.inventory),
         chk.check_grain_unique(m.readings),
         chk.check_revenue_positive(growth),
@@ -375,6 +378,15 @@ def quality_gate(spark, sf_dir):
     return chk.quality_gate(quality_report(spark, sf_dir))
 
 
+def layered_negative_margin_product(spark, sf_dir):
+    """O43: the whole layered run (bronze, silver, checks, gold written to a
+    scratch lake and read back); returns the gold negative-margin table."""
+    from .layers import run_layers
+
+    result = run_layers(spark, sf_dir, stop_on_error=False)
+    return result.tables["negative_margin_product"]
+
+
 def queries() -> dict[str, Query]:
     return {
         "csv_strict_roundtrip": csv_strict_roundtrip,
@@ -433,8 +445,12 @@ def queries() -> dict[str, Query]:
                 marts.inventory_turnover(m.costed, m.valued, m.products, m.sales_cutoff)
             ),
         ),
+        "check_orphan_store": _one_check("sales_have_store", lambda m: chk.check_sales_have_store(m.sales, m.stores)),
+        "check_unknown_doc_types": _one_check("document_types_known", lambda m: chk.check_document_types(m.pos_raw)),
+        "check_cost_covered": _one_check("cost_covered", lambda m: chk.check_cost_covered(m.costed)),
         "quality_report": quality_report,
         "quality_gate": quality_gate,
+        "layered_negative_margin_product": layered_negative_margin_product,
     }
 
 

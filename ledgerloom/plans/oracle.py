@@ -373,6 +373,19 @@ CHECKS = {
         "sum(CASE WHEN (units > 0 AND amount < 0) OR (units < 0 AND amount > 0) THEN 1 ELSE 0 END)",
         "count(*)", 0.0, "sales",
     ),
+    "check_orphan_store": _check(
+        "sales_have_store", "error", "sum(CASE WHEN k.store_id IS NULL THEN 1 ELSE 0 END)", "count(*)", 0.0,
+        "sales s LEFT JOIN (SELECT DISTINCT store_id FROM stores) k ON s.store_id = k.store_id",
+    ),
+    "check_unknown_doc_types": _check(
+        "document_types_known", "warning",
+        "sum(CASE WHEN doc_type IS NULL OR doc_type NOT IN ('I', 'E', 'P', 'T', 'N') THEN 1 ELSE 0 END)",
+        "count(*)", 0.0, "pos_raw",
+    ),
+    "check_cost_covered": _check(
+        "cost_covered", "warning", "sum(CASE WHEN product_key IS NOT NULL AND cost IS NULL THEN 1 ELSE 0 END)",
+        "count(*)", 0.0, "(SELECT * FROM costed WHERE is_revenue)",
+    ),
     "check_invalid_readings": _check(
         "readings_valid", "warning", "sum(CASE WHEN NOT reading_valid THEN 1 ELSE 0 END)", "count(*)", 5.0, "inventory"
     ),
@@ -509,6 +522,9 @@ FINAL: dict[str, str] = {
     **CHECKS,
     "quality_report": "SELECT * FROM quality_report",
     "quality_gate": "SELECT * FROM quality_report WHERE NOT ok AND severity = 'error'",
+    "layered_negative_margin_product": """
+        SELECT m.product_key, p.sku_pos, p.sku_erp, p.name, p.category, m.units, m.revenue, m.cogs, m.margin, m.margin_pct
+        FROM m_product m JOIN products p ON m.product_key = p.product_key""",
 }
 
 

@@ -12,7 +12,7 @@ def test_full_run_writes_every_layer_and_report(spark, sf_small, tmp_path):
     r = run_layers(spark, sf_small, str(tmp_path / "lake"), stop_on_error=False)
     for name in ("pos_raw", "fx_raw", "fct_sales", "fct_inventory", "negative_margin_product", "stockout_sensitivity"):
         assert name in r.tables
-    assert len(r.report) == 9
+    assert len(r.report) == 12
     assert (tmp_path / "lake" / "reports" / "quality").is_dir()
     # facts are partitioned by month
     assert any(p.name.startswith("month=") for p in (tmp_path / "lake" / "silver" / "fct_sales").iterdir())
