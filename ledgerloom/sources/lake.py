@@ -19,7 +19,10 @@ def _checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception as e:  # e.g. a remote (Connect) session: no context to ask
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder for scratch tables") from e
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
