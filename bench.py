@@ -1,8 +1,11 @@
-"""Benchmark: headline queries plus the full layered run.
+"""Benchmark: the full layered run (the workload the reference publishes a
+time for) plus the headline catalogue queries.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
-Prints one JSON line. Each query is executed completely with a no-op sink
-(every column computed, nothing collected to the driver).
+Prints one JSON line. ``value`` is the full bronze -> gold run in seconds;
+``queries`` holds every timed item (each catalogue query executed completely
+with a no-op sink: every column computed, nothing collected to the driver)
+and the phases of the full run.
 """
 
 from __future__ import annotations
@@ -39,29 +42,34 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     qs = queries()
 
-    # JVM / codegen warm-up on the smallest tables, not timed
+    # JVM / codegen warm-up on the smallest tables (not timed)
     warm = os.path.join(os.path.dirname(sf_dir), "sf0.001")
-    if os.path.isdir(warm):
-        qs["negative_margin_product"](spark, warm).write.format("noop").mode("overwrite").save()
+    if os.path.isdir(warm) and warm != sf_dir:
+        run_layers(spark, warm, stop_on_error=False)
+        for name in HEADLINE:
+            qs[name](spark, warm).write.format("noop").mode("overwrite").save()
 
     times: dict[str, float] = {}
+    t = time.perf_counter()
+    run = run_layers(spark, sf_dir, stop_on_error=False)
+    full = round(time.perf_counter() - t, 3)
+    times["full_run_bronze_to_gold"] = full
+    times.update({f"full_run.{k}": v for k, v in run.seconds.items()})
+
     for name in HEADLINE:
         t = time.perf_counter()
         qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t, 3)
 
-    t = time.perf_counter()
-    run_layers(spark, sf_dir, stop_on_error=False)
-    times["full_run_bronze_to_gold"] = round(time.perf_counter() - t, 3)
-
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(
         json.dumps(
             {
-                "metric": "sum_query_sec",
-                "value": round(sum(times.values()), 3),
+                "metric": "full_run_bronze_to_gold_sec",
+                "value": full,
                 "unit": "sec",
                 "queries": times,
+                "sum_headline_query_sec": round(sum(times[n] for n in HEADLINE), 3),
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "cpus": cpus,
             }

@@ -9,6 +9,13 @@ Physical plan: equi-join on the key with the range as residual condition, so
 the planner can use a broadcast hash join for a small history or a sort-merge
 join otherwise; a hot key on the fact side is split by AQE's skew-join handling.
 No row multiplication: intervals of one key never overlap (``close_intervals``).
+
+``salt > 1`` spreads every key over ``salt`` buckets explicitly: a fact goes to
+bucket ``hash(fact columns) mod salt`` (deterministic, so a retried task sends
+the row to the same bucket) and the version side is replicated once per
+bucket. A key holding a third of the facts then lands in ``salt`` tasks even
+where AQE's skew thresholds do not fire; the price is ``salt`` copies of the
+(small) version side.
 """
 
 from __future__ import annotations
@@ -28,6 +35,7 @@ def asof_join(
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
     drop_uncovered: bool = False,
+    salt: int = 1,
 ) -> DataFrame:
     v = versions.select(
         F.col(key).alias("_v_key"),
@@ -35,10 +43,20 @@ def asof_join(
         F.col(valid_to).alias("_v_to"),
         *attrs,
     )
+    how = "inner" if drop_uncovered else "left"
+    if salt > 1:
+        v = v.withColumn("_v_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        f = facts.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(salt)))
+        cond = (
+            (f[key] == v["_v_key"])
+            & (f["_salt"] == v["_v_salt"])
+            & (f[on] >= v["_v_from"])
+            & (f[on] <= v["_v_to"])
+        )
+        return f.join(v, cond, how).drop("_v_key", "_v_from", "_v_to", "_v_salt", "_salt")
     cond = (
         (facts[key] == v["_v_key"])
         & (facts[on] >= v["_v_from"])
         & (facts[on] <= v["_v_to"])
     )
-    how = "inner" if drop_uncovered else "left"
     return facts.join(v, cond, how).drop("_v_key", "_v_from", "_v_to")

@@ -272,7 +272,7 @@ def shelf_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max((F.col("event_type") == "error").cast("int")).alias("errors"),
         F.sum((F.col("event_type") == "purchase").cast("int")).alias("purchases"),
     )
-    span = ev.groupBy("user_id").agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
+    span = daily.groupBy("user_id").agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
     grid = span.select(
         "user_id", F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias("date")
     )

@@ -39,6 +39,8 @@ def test_asof_join_keeps_every_fact_row_once(spark, changes, sales):
     out = cost_sales(facts, costs)
     assert out.count() == len(sales)
     assert out.select(F.countDistinct("doc")).first()[0] == len(sales)
+    salted = cost_sales(facts, costs, salt=3)
+    assert sorted(map(tuple, salted.select("doc", "cost").collect())) == sorted(map(tuple, out.select("doc", "cost").collect()))
 
 
 def _series(spark, patterns):
