@@ -30,7 +30,7 @@ def test_key_from_erp(spark, text, expected):
 
 
 @pytest.mark.parametrize(
-    "text, expected", [("taza-mercancia-039", 39), ("sin-numero", None), (None, None), ("mug-7", 7)]
+    "text, expected", [("mug-ceramic-039", 39), ("no-number", None), (None, None), ("mug-7", 7)]
 )
 def test_key_from_handle(spark, text, expected):
     assert _one(spark, key_from_handle, text) == expected
@@ -59,7 +59,7 @@ MAP_SCHEMA = "sku_pos string, sku_erp string, handle string"
 
 def test_mapping_accepts_null_erp_or_handle(spark):
     m = spark.createDataFrame(
-        [("CN-00001", None, "taza-001"), ("CN-00002", "ERP-PROV-MX-002-A", None), ("CN-00004", "ERP-PROV-MX-004-A", "x-004")],
+        [("CN-00001", None, "mug-001"), ("CN-00002", "ERP-PROV-MX-002-A", None), ("CN-00004", "ERP-PROV-MX-004-A", "x-004")],
         MAP_SCHEMA,
     )
     assert mapping_discrepancies(m).count() == 0
@@ -67,7 +67,7 @@ def test_mapping_accepts_null_erp_or_handle(spark):
 
 def test_mapping_rejects_contradiction(spark):
     m = spark.createDataFrame(
-        [("CN-00003", "ERP-PROV-MX-009-D", "cafe-003"), ("CN-00005", "ERP-PROV-MX-005-A", "cafe-005")], MAP_SCHEMA
+        [("CN-00003", "ERP-PROV-MX-009-D", "mug-003"), ("CN-00005", "ERP-PROV-MX-005-A", "mug-005")], MAP_SCHEMA
     )
     rows = mapping_discrepancies(m).collect()
     assert len(rows) == 1
