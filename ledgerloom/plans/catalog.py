@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DecimalType,
+    DoubleType,
     IntegerType,
     StringType,
     StructField,
@@ -25,7 +26,7 @@ from ..operators import anchors as anc
 from ..operators import checks as chk
 from ..operators import marts
 from ..operators.common import keep_first
-from ..operators.dimensions import calendar
+from ..operators.dimensions import calendar, fx_dimension
 from ..operators.facts import POS_RAW, dedup_documents
 from ..operators.keys import mapping_discrepancies
 from ..sources import files as src
@@ -82,7 +83,29 @@ def csv_strict_roundtrip(spark, sf_dir):
     )
     df = src.read_csv_strict(spark, path, POS_CSV_SCHEMA)
     src.assert_required(df, [f.name for f in POS_CSV_SCHEMA.fields])
-    return df
+    return df.withColumn("amount", F.col("amount").cast("double"))
+
+
+FX_CSV_SCHEMA = StructType(
+    [
+        StructField("date", StringType(), False),
+        StructField("currency", StringType(), False),
+        StructField("rate", DoubleType(), False),
+    ]
+)
+
+
+def fx_csv_dimension(spark, sf_dir):
+    """The FX feed as it arrives (text CSV: date as text), read strictly and
+    conformed: parsed dates, normalised currencies, identity rate added."""
+    m = _m(spark, sf_dir)
+    path = lake.scratch_path(spark, "fx-csv")
+    text = m.fx_raw.select(F.date_format("date", "yyyy-MM-dd").alias("date"), "currency", "rate")
+    text.write.mode("overwrite").option("header", True).csv(path)
+    raw = src.read_csv_strict(spark, path, FX_CSV_SCHEMA)
+    src.assert_required(raw, ["date", "currency", "rate"])
+    fx = fx_dimension(raw)
+    return fx.select("date", "currency", F.col("rate").cast("double").alias("rate"))
 
 
 def parquet_projected(spark, sf_dir):
@@ -390,6 +413,7 @@ def layered_negative_margin_product(spark, sf_dir):
 def queries() -> dict[str, Query]:
     return {
         "csv_strict_roundtrip": csv_strict_roundtrip,
+        "fx_csv_dimension": fx_csv_dimension,
         "parquet_projected": parquet_projected,
         "json_explode_snapshots": json_explode_snapshots,
         "json_explode_nested_costs": json_explode_nested_costs,

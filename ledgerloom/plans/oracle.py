@@ -416,6 +416,7 @@ _FACT_OUT = """doc_id, channel, date, store_id, product_key, doc_type, is_revenu
 
 FINAL: dict[str, str] = {
     "csv_strict_roundtrip": "SELECT doc_id, ts, store_id, sku, units, CAST(amount AS DOUBLE) AS amount, currency, doc_type FROM pos_raw",
+    "fx_csv_dimension": "SELECT date, currency, CAST(rate AS DOUBLE) AS rate FROM fx",
     "parquet_projected": "SELECT c_custkey, c_nationkey, c_mktsegment FROM customer",
     "json_explode_snapshots": "SELECT strftime(date, '%Y-%m-%d') AS date, store_id, sku_erp, stock FROM shelf_raw",
     "json_explode_nested_costs": "SELECT sku_erp, name, category, valid_from, CAST(cost AS DOUBLE) AS cost, supplier FROM catalog_versions",

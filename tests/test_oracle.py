@@ -29,7 +29,7 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, sf_small, duck, name):
-    from oracle_check import digest
+    from oracle_check import digest, duck_types, spark_types
 
     sdf = entry.queries()[name](spark, sf_small)
     srows = [tuple(r) for r in sdf.collect()]
@@ -37,6 +37,7 @@ def test_query_matches_oracle(spark, sf_small, duck, name):
     ocols = [d[0] for d in cur.description]
     orows = cur.fetchall()
     assert sorted(sdf.columns) == sorted(ocols)
+    assert spark_types(sdf) == duck_types(duck, entry.oracle_sql()[name])
     assert len(srows) == len(orows)
     assert digest(sdf.columns, srows)[0] == digest(ocols, orows)[0]
 
