@@ -189,9 +189,10 @@ def fx_rows_bound(lo: date, hi: date) -> int:
 
 
 def fx_raw(spark: SparkSession, lo: date, hi: date) -> DataFrame:
-    """Daily USD and EUR rates over ``[lo, hi]`` (``date, currency, rate``);
-    every 17th day of the year has no rate (a gap the FX check must see). The
-    frame is bounded by the span (days x 2 rows), independent of table size."""
+    """Daily USD and EUR rates over ``[lo, hi]`` (``date, currency, rate``).
+    Like a central-bank feed it publishes nothing on Sundays, so a Sunday sale
+    in USD or EUR has no rate (the FX check must see it). The frame is bounded
+    by the span (days x 2 rows), independent of table size."""
     days = spark.range(1).select(
         F.explode(F.sequence(F.lit(lo), F.lit(hi), F.expr("interval 1 day"))).alias("date")
     )
@@ -201,7 +202,7 @@ def fx_raw(spark: SparkSession, lo: date, hi: date) -> DataFrame:
         F.struct(F.lit("EUR").alias("currency"), ((F.lit(200) + doy % 7) / F.lit(10.0)).alias("rate")),
     )
     return (
-        days.where(doy % 17 != 0)
+        days.where(F.dayofweek("date") != 1)  # 1 = Sunday
         .select("date", F.explode(quotes).alias("q"))
         .select("date", "q.currency", "q.rate")
     )

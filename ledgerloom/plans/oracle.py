@@ -107,10 +107,10 @@ CTES: dict[str, str] = {
         FROM span""",
     "fx_raw": """
         SELECT date, 'USD' AS currency, (170 + dayofyear(date) % 10) / 10.0 AS rate
-        FROM fx_days WHERE dayofyear(date) % 17 <> 0
+        FROM fx_days WHERE dayofweek(date) <> 0
         UNION ALL
         SELECT date, 'EUR' AS currency, (200 + dayofyear(date) % 7) / 10.0 AS rate
-        FROM fx_days WHERE dayofyear(date) % 17 <> 0""",
+        FROM fx_days WHERE dayofweek(date) <> 0""",
     "fx": """
         SELECT date, currency, CAST(rate AS DECIMAL(9,4)) AS rate FROM fx_raw
         UNION ALL
