@@ -25,7 +25,6 @@ from ..functions.money import money_out
 from ..operators import anchors as anc
 from ..operators import checks as chk
 from ..operators import marts
-from ..operators.common import keep_first
 from ..operators.dimensions import calendar, fx_dimension
 from ..operators.facts import POS_RAW, dedup_documents
 from ..operators.keys import mapping_discrepancies
@@ -478,4 +477,4 @@ def queries() -> dict[str, Query]:
     }
 
 
-__all__ = ["queries", "keep_first"]
+__all__ = ["queries"]
