@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -36,7 +36,16 @@ def asof_join(
     valid_to: str = "valid_to",
     drop_uncovered: bool = False,
     salt: int = 1,
+    strategy: str = "range",
 ) -> DataFrame:
+    """``strategy="range"`` (default): equi-join on the key, range as residual.
+    Every fact meets every version of its key, so it suits short histories
+    (a handful of cost changes per product). ``strategy="window"``: no pairs
+    at all, for dense histories (see ``asof_join_window``)."""
+    if strategy == "window":
+        return asof_join_window(facts, versions, key, on, attrs, valid_from, valid_to, drop_uncovered, salt)
+    if strategy != "range":
+        raise ValueError("strategy must be 'range' or 'window'")
     v = versions.select(
         F.col(key).alias("_v_key"),
         F.col(valid_from).alias("_v_from"),
@@ -60,3 +69,67 @@ def asof_join(
         & (facts[on] <= v["_v_to"])
     )
     return facts.join(v, cond, how).drop("_v_key", "_v_from", "_v_to")
+
+
+def asof_join_window(
+    facts: DataFrame,
+    versions: DataFrame,
+    key: str,
+    on: str,
+    attrs: Sequence[str],
+    valid_from: str = "valid_from",
+    valid_to: str = "valid_to",
+    drop_uncovered: bool = False,
+    salt: int = 1,
+) -> DataFrame:
+    """As-of join without pairs: facts and versions are sorted together and
+    each fact takes the last version started on or before its date.
+
+    To keep every sort group small the work is partitioned by key x month x
+    salt: a month's group holds its facts, the versions that start inside that
+    month, and the version already open at the month start (the "carry-in",
+    found by a window per key over versions and fact-months only, i.e. at most
+    versions + months rows per key). A hot key is therefore split by month, and
+    a hot key-month by ``salt`` (the month's few versions are replicated per
+    salt bucket). Facts keep their rows; a fact past the end of its version's
+    interval, or with no version, gets NULL attributes."""
+    k, d = F.col(key), F.col(on)
+    payload = F.struct(F.col(valid_from).alias("_from"), F.col(valid_to).alias("_to"), *[F.col(a) for a in attrs])
+    v = versions.where(F.col(key).isNotNull() & F.col(valid_from).isNotNull()).select(
+        F.col(key).alias("_k"), F.col(valid_from).alias("_t"), payload.alias("_p")
+    )
+    fact_cols = facts.columns
+    f = facts.withColumn("_b", F.trunc(d, "MM")).withColumn(
+        "_s",
+        F.pmod(F.xxhash64(*[F.col(c) for c in fact_cols]), F.lit(salt)) if salt > 1 else F.lit(0).cast("bigint"),
+    )
+    need = f.where(k.isNotNull() & d.isNotNull()).select(F.col(key).alias("_k"), "_b").distinct()
+
+    # carry-in: the version open at each needed month start (started strictly before it)
+    w_key = Window.partitionBy("_k").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    probe = need.select("_k", F.col("_b").alias("_t"), F.lit(0).alias("_kind"), F.lit(None).cast(v.schema["_p"].dataType).alias("_p"))
+    carry = (
+        probe.unionByName(v.withColumn("_kind", F.lit(1)))
+        .withColumn("_open", F.last("_p", ignorenulls=True).over(w_key))
+        .where(F.col("_kind") == 0)
+        .select("_k", F.col("_t").alias("_b"), F.col("_open").alias("_p"))
+        .where(F.col("_p").isNotNull())
+    )
+    # versions starting inside a month that has facts
+    inside = v.withColumn("_b", F.trunc("_t", "MM")).join(need, ["_k", "_b"], "left_semi")
+
+    salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint")))
+    side = (
+        carry.select("_k", "_b", F.col("_b").alias("_t"), F.lit(0).alias("_kind"), "_p")
+        .unionByName(inside.select("_k", "_b", "_t", F.lit(1).alias("_kind"), "_p"))
+        .withColumn("_s", salts)
+    )
+    main = f.select("*", F.col(key).alias("_k"), d.alias("_t"), F.lit(2).alias("_kind"))
+    w = Window.partitionBy("_k", "_b", "_s").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    found = F.last("_p", ignorenulls=True).over(w)
+    merged = main.unionByName(side, allowMissingColumns=True).withColumn("_hit", found)
+    out = merged.where(F.col("_kind") == 2)
+    covered = F.col("_hit").isNotNull() & (d <= F.col("_hit._to"))
+    if drop_uncovered:
+        out = out.where(covered)
+    return out.select(*fact_cols, *[F.when(covered, F.col(f"_hit.{a}")).alias(a) for a in attrs])

@@ -186,18 +186,25 @@ def inventory_daily(
 
 
 def value_inventory(
-    inventory: DataFrame, cost: DataFrame, drop_uncovered: bool = False, salt: int = 1
+    inventory: DataFrame, cost: DataFrame, drop_uncovered: bool = False, salt: int = 1, strategy: str = "range"
 ) -> DataFrame:
     """Cost valid on the reading date x units (NULL units stay NULL value)."""
-    j = asof_join(inventory, cost, "product_key", "date", ["cost"], drop_uncovered=drop_uncovered, salt=salt)
+    j = asof_join(
+        inventory, cost, "product_key", "date", ["cost"], drop_uncovered=drop_uncovered, salt=salt, strategy=strategy
+    )
     return j.withColumn("value", (F.col("units") * F.col("cost")).cast(MONEY))
 
 
-def cost_sales(sales: DataFrame, cost: DataFrame, drop_uncovered: bool = False, salt: int = 1) -> DataFrame:
+def cost_sales(
+    sales: DataFrame, cost: DataFrame, drop_uncovered: bool = False, salt: int = 1, strategy: str = "range"
+) -> DataFrame:
     """Cost valid on the sale date; cost total = units x cost; margin = amount -
     cost total. A sale without a covering cost keeps its row with NULL cost.
-    ``salt`` > 1 spreads hot products explicitly (see ``asof_join``)."""
-    j = asof_join(sales, cost, "product_key", "date", ["cost"], drop_uncovered=drop_uncovered, salt=salt)
+    ``salt`` > 1 spreads hot products explicitly; ``strategy="window"`` avoids
+    fact x version pairs for dense histories (see ``asof_join``)."""
+    j = asof_join(
+        sales, cost, "product_key", "date", ["cost"], drop_uncovered=drop_uncovered, salt=salt, strategy=strategy
+    )
     cost_total = (F.col("units") * F.col("cost")).cast(MONEY)
     return j.withColumn("cost_total", cost_total).withColumn(
         "margin", (F.col("amount") - cost_total).cast(MONEY)

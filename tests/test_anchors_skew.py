@@ -61,6 +61,19 @@ def test_salted_asof_with_a_hot_product(spark):
         F.col("id"),
     )
     plain = cost_sales(facts, costs).select("id", "cost")
-    salted = cost_sales(facts, costs, salt=8).select("id", "cost")
-    assert salted.count() == 9_000
-    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+    for variant in (cost_sales(facts, costs, salt=8), cost_sales(facts, costs, strategy="window", salt=8)):
+        got = variant.select("id", "cost")
+        assert got.count() == 9_000
+        assert got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0
+
+
+def test_window_asof_pairs_no_fact_with_a_version(spark):
+    """The window strategy never joins facts to versions: facts meet only the
+    carry-in / in-month versions inside one sort group (key x month x salt)."""
+    costs = close_intervals(
+        spark.createDataFrame([(1, date(2025, 1, 1), 5.0)], "product_key bigint, valid_from date, cost double")
+    )
+    facts = spark.createDataFrame([(1, date(2025, 2, 1), 1, 1.0)], "product_key bigint, date date, units int, amount double")
+    plan = cost_sales(facts, costs, strategy="window", salt=4)._jdf.queryExecution().executedPlan().toString()
+    assert "_v_key" not in plan and "NestedLoop" not in plan
+    assert "Window [last(_p" in plan

@@ -17,7 +17,7 @@ BASE = date(2026, 1, 1)
 CUTOFF = date(2026, 3, 31)
 FAST = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
-day = st.integers(min_value=0, max_value=80)
+day = st.integers(min_value=0, max_value=200)
 reading = st.one_of(st.none(), st.integers(min_value=0, max_value=2))
 
 
@@ -39,8 +39,12 @@ def test_asof_join_keeps_every_fact_row_once(spark, changes, sales):
     out = cost_sales(facts, costs)
     assert out.count() == len(sales)
     assert out.select(F.countDistinct("doc")).first()[0] == len(sales)
+    expected = sorted(map(tuple, out.select("doc", "cost").collect()))
     salted = cost_sales(facts, costs, salt=3)
-    assert sorted(map(tuple, salted.select("doc", "cost").collect())) == sorted(map(tuple, out.select("doc", "cost").collect()))
+    assert sorted(map(tuple, salted.select("doc", "cost").collect())) == expected
+    for salt in (1, 4):
+        windowed = cost_sales(facts, costs, strategy="window", salt=salt)
+        assert sorted(map(tuple, windowed.select("doc", "cost").collect())) == expected
 
 
 def _series(spark, patterns):
