@@ -26,7 +26,7 @@ from ..operators import anchors as anc
 from ..operators import checks as chk
 from ..operators import marts
 from ..operators.dimensions import calendar, fx_dimension
-from ..operators.facts import POS_RAW, dedup_documents
+from ..operators.facts import POS_RAW, cost_sales, dedup_documents
 from ..operators.keys import mapping_discrepancies
 from ..sources import files as src
 from ..sources import lake
@@ -273,7 +273,16 @@ def inventory_valued_asof(spark, sf_dir):
 
 
 def sales_costed_asof(spark, sf_dir):
-    c = _m(spark, sf_dir).costed
+    return _costed_out(_m(spark, sf_dir).costed)
+
+
+def sales_costed_asof_window(spark, sf_dir):
+    """O20 with the pair-free as-of strategy (sort-based, key x month x salt)."""
+    m = _m(spark, sf_dir)
+    return _costed_out(cost_sales(m.sales, m.cost, strategy="window", salt=4))
+
+
+def _costed_out(c: DataFrame) -> DataFrame:
     return c.select(
         "doc_id", "channel", "date", "product_key", "is_revenue", "units",
         F.col("amount").cast("double").alias("amount"),
@@ -437,6 +446,7 @@ def queries() -> dict[str, Query]:
         "dedup_by_grain": dedup_by_grain,
         "inventory_valued_asof": inventory_valued_asof,
         "sales_costed_asof": sales_costed_asof,
+        "sales_costed_asof_window": sales_costed_asof_window,
         "cutoff_date": cutoff_date,
         "month_window_bounds": month_window_bounds,
         "quarter_window_bounds": quarter_window_bounds,

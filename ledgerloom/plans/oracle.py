@@ -470,6 +470,10 @@ FINAL: dict[str, str] = {
         SELECT doc_id, channel, date, product_key, is_revenue, units, CAST(amount AS DOUBLE) AS amount,
                CAST(cost AS DOUBLE) AS cost, CAST(cost_total AS DOUBLE) AS cost_total, CAST(margin AS DOUBLE) AS margin
         FROM costed""",
+    "sales_costed_asof_window": """
+        SELECT doc_id, channel, date, product_key, is_revenue, units, CAST(amount AS DOUBLE) AS amount,
+               CAST(cost AS DOUBLE) AS cost, CAST(cost_total AS DOUBLE) AS cost_total, CAST(margin AS DOUBLE) AS margin
+        FROM costed""",
     "cutoff_date": "SELECT sales_cutoff AS cutoff FROM cutoffs",
     "month_window_bounds": """
         SELECT sales_cutoff AS cutoff, n AS months,
