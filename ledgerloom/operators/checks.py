@@ -71,12 +71,17 @@ def sales_checks(
     products: DataFrame,
     max_pct_orphans: float = MAX_PCT_ORPHAN_SALES,
     max_pct_missing_fx: float = MAX_PCT_MISSING_FX,
+    stores: DataFrame | None = None,
 ) -> DataFrame:
     """Orphan lines (NULL key or key not in the catalogue), lines without a
     converted amount, and lines whose units and amount have opposite signs, in
-    one pass over the sales fact."""
+    one pass over the sales fact; with ``stores`` also lines whose store is not
+    in the store dimension (same pass)."""
     keys = products.select("product_key", F.lit(True).alias("_known")).distinct()
     s = sales.join(keys, "product_key", "left")
+    if stores is not None:
+        skeys = stores.select("store_id", F.lit(True).alias("_store_known")).distinct()
+        s = s.join(skeys, "store_id", "left")
     orphan = F.col("_known").isNull()
     no_fx = F.col("amount").isNull()
     bad_sign = ((F.col("units") > 0) & (F.col("amount") < 0)) | (
@@ -87,12 +92,15 @@ def sales_checks(
         F.sum(F.when(orphan, 1).otherwise(0)).alias("_orphan"),
         F.sum(F.when(no_fx, 1).otherwise(0)).alias("_nofx"),
         F.sum(F.when(bad_sign, 1).otherwise(0)).alias("_sign"),
+        *([F.sum(F.when(F.col("_store_known").isNull(), 1).otherwise(0)).alias("_nostore")] if stores is not None else []),
     )
     rows = [
         _row(agg, "sales_have_product", ERROR, F.col("_orphan"), F.col("_t"), max_pct_orphans),
         _row(agg, "amounts_converted", ERROR, F.col("_nofx"), F.col("_t"), max_pct_missing_fx),
         _row(agg, "sign_coherent", ERROR, F.col("_sign"), F.col("_t"), 0.0),
     ]
+    if stores is not None:
+        rows.append(_row(agg, "sales_have_store", ERROR, F.col("_nostore"), F.col("_t"), 0.0))
     return _finish(_union(rows))
 
 

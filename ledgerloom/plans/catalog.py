@@ -382,8 +382,7 @@ def _all_checks(m: RetailModel) -> list[DataFrame]:
     top = marts.inventory_turnover(m.costed, m.valued, m.products, m.sales_cutoff)
     return [
         chk.check_mapping(m.mappings_raw),
-        chk.sales_checks(m.sales, m.products),
-        chk.check_sales_have_store(m.sales, m.stores),
+        chk.sales_checks(m.sales, m.products, stores=m.stores),
         chk.check_document_types(m.pos_raw),
         chk.check_cost_covered(m.costed),
         chk.inventory_checks(m.inventory),

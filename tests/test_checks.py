@@ -34,6 +34,17 @@ def test_threshold_compares_counts_not_rounded_pct(spark):
     assert r["failed"] == 1 and r["pct"] == 0.0 and r["ok"] is False
 
 
+def test_store_check_in_the_same_pass(spark):
+    sales = spark.createDataFrame([(1, "T1", 1, 10.0), (1, "T9", 1, 10.0), (1, None, 1, 10.0)],
+                                  "product_key bigint, store_id string, units int, amount double")
+    prods = spark.createDataFrame([(1,)], PROD)
+    stores = spark.createDataFrame([("T1",)], "store_id string")
+    rows = _by_name(chk.sales_checks(sales, prods, stores=stores))
+    assert len(rows) == 4 and rows["sales_have_store"]["failed"] == 2
+    alone = chk.check_sales_have_store(sales, stores).first()
+    assert alone["failed"] == 2
+
+
 def test_sign_check(spark):
     sales = spark.createDataFrame([(1, 2, 10.0), (1, -1, 5.0), (1, 0, 0.0)], SALES)
     r = _by_name(chk.sales_checks(sales, spark.createDataFrame([(1,)], PROD)))["sign_coherent"]
