@@ -124,7 +124,7 @@ def json_explode_snapshots(spark, sf_dir):
     path = lake.scratch_path(spark, "erp-snapshots-json")
     docs.write.mode("overwrite").json(path)
     doc = src.read_nested_json(spark, path, SNAPSHOT_DOC_SCHEMA, multiline=False)
-    return src.explode_array(doc, "snapshots")
+    return src.assert_nonempty(src.explode_array(doc, "snapshots"), "ERP snapshots")
 
 
 def json_explode_nested_costs(spark, sf_dir):
@@ -132,7 +132,9 @@ def json_explode_nested_costs(spark, sf_dir):
     path = lake.scratch_path(spark, "erp-catalog-json")
     b.catalog_raw(spark, sf_dir).write.mode("overwrite").json(path)
     doc = src.read_nested_json(spark, path, CATALOG_DOC_SCHEMA, multiline=False)
-    flat = src.explode_array(doc, "cost_history", keep=["sku_erp", "name", "category"])
+    flat = src.assert_nonempty(
+        src.explode_array(doc, "cost_history", keep=["sku_erp", "name", "category"]), "ERP cost history"
+    )
     return flat.select(
         "sku_erp", "name", "category", "valid_from",
         F.col("cost").cast("double").alias("cost"), "supplier",

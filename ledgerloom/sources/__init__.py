@@ -1,6 +1,7 @@
 """Sources and sinks: strict CSV, projected Parquet, nested JSON, lake tables."""
 
 from .files import (
+    assert_nonempty,
     assert_required,
     explode_array,
     read_csv_strict,
@@ -11,6 +12,7 @@ from .files import (
 from .lake import export_csv, read_table, scratch_path, write_table
 
 __all__ = [
+    "assert_nonempty",
     "assert_required",
     "explode_array",
     "export_csv",

@@ -53,6 +53,14 @@ def stamp_lineage(df: DataFrame, source: str, with_time: bool = True) -> DataFra
     return out.withColumn("_ingested_at", F.current_timestamp()) if with_time else out
 
 
+def assert_nonempty(df: DataFrame, what: str) -> DataFrame:
+    """Fail when a source yields no rows (an empty or fully filtered document
+    set explodes to nothing without any error). Reads at most one row."""
+    if not df.take(1):
+        raise ValueError(f"{what}: no rows")
+    return df
+
+
 def assert_required(df: DataFrame, required: Sequence[str]) -> dict[str, int]:
     """One pass over all columns: forces a full parse (FAILFAST fires on any bad
     row) and counts NULLs in required columns. Raises ``ValueError`` on NULLs."""

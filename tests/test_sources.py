@@ -71,6 +71,14 @@ def test_truncated_json_document_fails_loudly(spark, tmp_path):
         src.explode_array(doc, "snapshots").collect()
 
 
+def test_empty_document_set_fails(spark, tmp_path):
+    """D3: documents whose arrays are all empty explode to no rows: reported, not passed on."""
+    p = _write(tmp_path / "empty.json", '{"snapshots": []}\n')
+    doc = src.read_nested_json(spark, p, "snapshots array<struct<date:string, stock:string>>", multiline=False)
+    with pytest.raises(ValueError, match="no rows"):
+        src.assert_nonempty(src.explode_array(doc, "snapshots"), "snapshots")
+
+
 def test_lineage_stamp(spark):
     df = src.stamp_lineage(spark.range(2), "pos:test")
     assert {"_source", "_ingested_at"} <= set(df.columns)
