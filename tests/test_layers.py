@@ -29,6 +29,11 @@ def test_failed_error_check_stops_after_writing_report(spark, sf_small, tmp_path
 
 
 def test_run_until_bronze(spark, sf_small, tmp_path):
+    from ledgerloom.plans.bindings import resolve_anchors
+
     r = run_layers(spark, sf_small, str(tmp_path / "lake"), until="bronze")
+    # anchors observed during the bronze writes equal the ones an aggregate job computes
+    a = resolve_anchors(spark, sf_small)
+    assert (r.cutoff, r.stock_cutoff) == (a.sales_cutoff, a.stock_cutoff)
     assert set(r.tables) >= {"pos_raw", "online_raw", "fx_raw", "shelf_raw"}
     assert not (tmp_path / "lake" / "silver").exists()
