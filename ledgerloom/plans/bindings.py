@@ -151,32 +151,31 @@ class Anchors:
     stock_cutoff: date  # latest shelf reading date
 
 
-def resolve_anchors(spark: SparkSession, sf_dir: str) -> Anchors:
-    """One aggregate job, three rows back: date span of the raw sales feeds
-    (both channels, before deduplication) and last day of the shelf feed."""
+def sales_span(spark: SparkSession, sf_dir: str) -> tuple[date, date]:
+    """First and last sale date over both raw sales feeds (before dedup): one
+    aggregate job reading two date columns, one row back."""
     li = table(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("d"))
     od = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("d"))
-    ev = table(spark, sf_dir, "events").select(F.to_date("ts").alias("d"))
-    parts = [
-        li.agg(F.lit("sales").alias("k"), F.min("d").alias("lo"), F.max("d").alias("hi")),
-        od.agg(F.lit("sales").alias("k"), F.min("d").alias("lo"), F.max("d").alias("hi")),
-        ev.agg(F.lit("stock").alias("k"), F.min("d").alias("lo"), F.max("d").alias("hi")),
-    ]
-    u = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    rows = {r["k"]: r for r in u.groupBy("k").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).collect()}
-    return Anchors(rows["sales"]["lo"], rows["sales"]["hi"], rows["stock"]["hi"])
-
-
-def anchors_from_feeds(pos: DataFrame, online: DataFrame, shelf: DataFrame) -> Anchors:
-    """Same anchors computed from materialised raw feeds (one job)."""
-    parts = [
-        pos.agg(F.lit("sales").alias("k"), F.min(F.to_date("ts")).alias("lo"), F.max(F.to_date("ts")).alias("hi")),
-        online.agg(F.lit("sales").alias("k"), F.min(F.to_date("ts")).alias("lo"), F.max(F.to_date("ts")).alias("hi")),
-        shelf.agg(F.lit("stock").alias("k"), F.min("date").alias("lo"), F.max("date").alias("hi")),
-    ]
-    u = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    rows = {r["k"]: r for r in u.groupBy("k").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).collect()}
-    return Anchors(rows["sales"]["lo"], rows["sales"]["hi"], rows["stock"]["hi"])
+    both = li.agg(F.min("d").alias("lo"), F.max("d").alias("hi")).unionByName(
+        od.agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
+    )
+    row = both.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).first()
+    if row["hi"] is None:
+        raise ValueError("no dated sales: cannot resolve the cutoff")
+    return row["lo"], row["hi"]
+
+
+def stock_cutoff(spark: SparkSession, sf_dir: str) -> date:
+    """Last day of the shelf feed (= last event day)."""
+    value = table(spark, sf_dir, "events").agg(F.max(F.to_date("ts")).alias("hi")).first()["hi"]
+    if value is None:
+        raise ValueError("no events: cannot resolve the stock cutoff")
+    return value
+
+
+def resolve_anchors(spark: SparkSession, sf_dir: str) -> Anchors:
+    lo, hi = sales_span(spark, sf_dir)
+    return Anchors(lo, hi, stock_cutoff(spark, sf_dir))
 
 
 FX_CURRENCIES = 2  # quoted currencies per day in the derived feed

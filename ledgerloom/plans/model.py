@@ -1,7 +1,8 @@
 """The retail model bound onto one directory of benchmark tables.
 
 Each property is a lazy DataFrame plan; nothing runs until a query is executed,
-except the date anchors (one small aggregate job, resolved once per model).
+except the date anchors (a small aggregate job each, resolved lazily and once per
+model: the sales span and the stock cutoff separately).
 """
 
 from __future__ import annotations
@@ -42,17 +43,28 @@ class RetailModel:
         return m
 
     # ------------------------------------------------------------ anchors
+    # resolved lazily and separately: a sales query never scans the events and
+    # a stock query never scans the sales tables just to anchor its window
     @cached_property
     def anchors(self) -> b.Anchors:
-        return b.resolve_anchors(self.spark, self.sf_dir)
+        return b.Anchors(*self._sales_span, self.stock_cutoff)
+
+    @cached_property
+    def _sales_span(self):
+        if "anchors" in self.__dict__:
+            a = self.__dict__["anchors"]
+            return a.first_sale, a.sales_cutoff
+        return b.sales_span(self.spark, self.sf_dir)
 
     @property
     def sales_cutoff(self):
-        return self.anchors.sales_cutoff
+        return self._sales_span[1]
 
-    @property
+    @cached_property
     def stock_cutoff(self):
-        return self.anchors.stock_cutoff
+        if "anchors" in self.__dict__:
+            return self.__dict__["anchors"].stock_cutoff
+        return b.stock_cutoff(self.spark, self.sf_dir)
 
     # ------------------------------------------------------------ bronze
     @cached_property
@@ -65,7 +77,7 @@ class RetailModel:
 
     @cached_property
     def fx_raw(self) -> DataFrame:
-        return b.fx_raw(self.spark, self.anchors.first_sale, self.anchors.sales_cutoff)
+        return b.fx_raw(self.spark, *self._sales_span)
 
     @cached_property
     def catalog_raw(self) -> DataFrame:
@@ -110,7 +122,7 @@ class RetailModel:
 
     @property
     def fx_rows(self) -> int:
-        return b.fx_rows_bound(self.anchors.first_sale, self.anchors.sales_cutoff)
+        return b.fx_rows_bound(*self._sales_span)
 
     @cached_property
     def pos(self) -> DataFrame:
