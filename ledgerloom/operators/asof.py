@@ -9,6 +9,10 @@ Physical plan: equi-join on the key with the range as residual condition, so
 the planner can use a broadcast hash join for a small history or a sort-merge
 join otherwise; a hot key on the fact side is split by AQE's skew-join handling.
 No row multiplication: intervals of one key never overlap (``close_intervals``).
+Both strategies require that precondition: with overlapping versions the range
+strategy would return one row per matching version, the window strategy the
+latest-starting one. Helper columns start with ``_`` (``_k``, ``_t``, ``_b``,
+``_s``, ``_p``, ``_kind``, ``_v_*``, ``_salt``); fact columns must not use them.
 
 ``salt > 1`` spreads every key over ``salt`` buckets explicitly: a fact goes to
 bucket ``hash(fact columns) mod salt`` (deterministic, so a retried task sends
