@@ -35,11 +35,16 @@ class RetailModel:
     BRONZE = ("pos_raw", "online_raw", "fx_raw", "catalog_raw", "mappings_raw", "stores_raw", "shelf_raw", "dispatch_raw")
 
     @classmethod
-    def from_bronze(cls, spark: SparkSession, bronze: dict[str, DataFrame], anchors: b.Anchors, **kw) -> "RetailModel":
-        """A model whose raw feeds are given (e.g. read back from a bronze layer)."""
+    def from_bronze(
+        cls, spark: SparkSession, bronze: dict[str, DataFrame], anchors: b.Anchors, fx_span=None, **kw
+    ) -> "RetailModel":
+        """A model whose raw feeds are given (e.g. read back from a bronze layer).
+        ``fx_span``: date span the given FX feed covers (default: the anchors)."""
         m = cls(spark, sf_dir="", anchors=anchors, **kw)
         for name in cls.BRONZE:
             m.__dict__[name] = bronze[name]
+        if fx_span is not None:
+            m.__dict__["_fx_span"] = tuple(fx_span)
         return m
 
     # ------------------------------------------------------------ anchors
@@ -122,7 +127,7 @@ class RetailModel:
 
     @property
     def fx_rows(self) -> int:
-        return b.fx_rows_bound(*self._sales_span)
+        return b.fx_rows_bound(*self.__dict__.get("_fx_span", self._sales_span))
 
     @cached_property
     def pos(self) -> DataFrame:

@@ -37,3 +37,14 @@ def test_run_until_bronze(spark, sf_small, tmp_path):
     assert (r.cutoff, r.stock_cutoff) == (a.sales_cutoff, a.stock_cutoff)
     assert set(r.tables) >= {"pos_raw", "online_raw", "fx_raw", "shelf_raw"}
     assert not (tmp_path / "lake" / "silver").exists()
+
+
+def test_fixed_cutoff_moves_windows_not_rates(spark, sf_small, tmp_path):
+    from datetime import date
+
+    free = run_layers(spark, sf_small, str(tmp_path / "a"), until="silver", stop_on_error=False)
+    fixed = run_layers(spark, sf_small, str(tmp_path / "b"), until="silver", stop_on_error=False, cutoff=date(2001, 6, 30))
+    assert fixed.cutoff == date(2001, 6, 30)
+    assert fixed.tables["fx_raw"].count() == free.tables["fx_raw"].count()
+    fx = {r["check"]: r["failed"] for r in free.report}["amounts_converted"]
+    assert {r["check"]: r["failed"] for r in fixed.report}["amounts_converted"] == fx
