@@ -1,10 +1,10 @@
 """Run the layered pipeline from the command line.
 
-    spark-submit -m ledgerloom --tables DIR [--lake DIR] [--until gold] [--cutoff YYYY-MM-DD]
-    python -m ledgerloom --tables /root/testdata/sf0.01 --no-stop
+    python -m ledgerloom --tables DIR [--lake DIR] [--until gold] [--cutoff YYYY-MM-DD] [--no-stop]
 
-The session comes from the environment (``spark-submit`` configuration on a
-cluster; a default local session otherwise).
+The session is ``SparkSession.builder.getOrCreate()``: master, executors and
+``spark.checkpoint.dir`` come from the environment (spark-defaults.conf,
+``PYSPARK_SUBMIT_ARGS``); without any, a default local session.
 """
 
 from __future__ import annotations
