@@ -77,3 +77,38 @@ def test_window_asof_pairs_no_fact_with_a_version(spark):
     plan = cost_sales(facts, costs, strategy="window", salt=4)._jdf.queryExecution().executedPlan().toString()
     assert "_v_key" not in plan and "NestedLoop" not in plan
     assert "Window [last(_p" in plan
+
+
+def test_aqe_splits_a_hot_product_in_the_range_asof_join(spark):
+    """A third of the facts on one product: with broadcast off (as for a large
+    cost history) the sort-merge as-of join is marked skew=true by AQE, i.e.
+    the hot product's facts are split over several tasks."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    saved = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        costs = close_intervals(
+            spark.range(500).select(
+                F.col("id").alias("product_key"), F.lit(date(2025, 1, 1)).alias("valid_from"), F.lit(5.0).alias("cost")
+            )
+        )
+        facts = spark.range(60_000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 500).alias("product_key"),
+            F.lit(date(2025, 6, 1)).alias("date"), F.lit(1).alias("units"), F.lit(10.0).alias("amount"),
+        )
+        out = cost_sales(facts, costs)
+        assert len(out.collect()) == 60_000
+        assert "SortMergeJoin(skew=true)" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
