@@ -30,6 +30,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Versions per key above which the pair-free strategy is chosen by "auto"
+# (measured locally: range still wins at 2,000 versions, loses 8x at 20,000).
+AUTO_WINDOW_VERSIONS = 5_000
+
+
 def asof_join(
     facts: DataFrame,
     versions: DataFrame,
@@ -45,11 +50,16 @@ def asof_join(
     """``strategy="range"`` (default): equi-join on the key, range as residual.
     Every fact meets every version of its key, so it suits short histories
     (a handful of cost changes per product). ``strategy="window"``: no pairs
-    at all, for dense histories (see ``asof_join_window``)."""
+    at all, for dense histories (see ``asof_join_window``). ``strategy="auto"``
+    measures the longest history per key (one aggregate over the versions) and
+    takes the window strategy above ``AUTO_WINDOW_VERSIONS``."""
+    if strategy == "auto":
+        longest = versions.groupBy(key).count().agg(F.max("count").alias("n")).first()["n"] or 0
+        strategy = "window" if longest > AUTO_WINDOW_VERSIONS else "range"
     if strategy == "window":
         return asof_join_window(facts, versions, key, on, attrs, valid_from, valid_to, drop_uncovered, salt)
     if strategy != "range":
-        raise ValueError("strategy must be 'range' or 'window'")
+        raise ValueError("strategy must be 'range', 'window' or 'auto'")
     v = versions.select(
         F.col(key).alias("_v_key"),
         F.col(valid_from).alias("_v_from"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -112,3 +112,21 @@ def test_aqe_splits_a_hot_product_in_the_range_asof_join(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_auto_strategy_picks_by_history_length(spark, monkeypatch):
+    from ledgerloom.operators import asof
+
+    costs = close_intervals(
+        spark.createDataFrame(
+            [(1, date(2025, 1, 1) + timedelta(days=i), float(i)) for i in range(6)],
+            "product_key bigint, valid_from date, cost double",
+        )
+    )
+    facts = spark.createDataFrame([(1, date(2025, 1, 4), 1, 1.0)], "product_key bigint, date date, units int, amount double")
+    short = cost_sales(facts, costs, strategy="auto")
+    assert "_v_key" in short._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(asof, "AUTO_WINDOW_VERSIONS", 3)
+    long = cost_sales(facts, costs, strategy="auto")
+    assert "_v_key" not in long._jdf.queryExecution().executedPlan().toString()
+    assert short.first()["cost"] == long.first()["cost"] == 3.0
