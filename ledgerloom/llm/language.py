@@ -49,16 +49,18 @@ def _slots(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return slot[inside].astype(np.int64), doc[:-2][inside]
 
 
-def _machine(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, steps: int = 300) -> np.ndarray:
+def _machine(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, steps: int = 120) -> np.ndarray:
     """Weights and bias (last) of a linear machine for y = +1 or -1, classes weighted alike."""
-    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
-    w, v, t = np.zeros(x.shape[1]), np.zeros(x.shape[1]), 1.0
-    rate = 1.0 / (2 * float((weight[:, None] * x * x).sum()) + penalty)
+    y = y.astype(np.float32)
+    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32)
+    w = np.zeros(x.shape[1], np.float32)
+    v, t = w, 1.0
+    rate = np.float32(1.0 / (2 * float(weight @ np.einsum("ij,ij->i", x, x)) + penalty))
     for _ in range(steps):
         slack = np.maximum(0, 1 - y * (x @ v))
-        step = v - rate * (penalty * v - 2 * x.T @ (weight * y * slack))
+        step = v - rate * (np.float32(penalty) * v - 2 * ((weight * y * slack) @ x))
         t, last = (1 + np.sqrt(1 + 4 * t * t)) / 2, t
-        v = step + (last - 1) / t * (step - w)
+        v = step + np.float32((last - 1) / t) * (step - w)
         w = step
     return w
 

@@ -25,10 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.texthash import NOT_ALNUM, U, chunks, lower_latin, word_hash, words
+from ledgerloom.llm.texthash import NOT_ALNUM, U, chunks, lower_latin, mix, word_hash, words
 
-WORD_BITS = 17
-MAX_ROWS = 12_000
+WORD_BITS = 22
+STEM = 4
+MAX_ROWS = 6_000
 THRESHOLD = 0.3
 
 #: A sentence ends behind each of these.
@@ -40,15 +41,17 @@ def instances(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
     """Of a chunk: (sentence, word slot) pairs without repeats; document, start and end byte of every sentence."""
     low = lower_latin(buf)
     start, end, doc = words(low, off, NOT_ALNUM)
-    slot = (word_hash(low, start, end) >> U(64 - WORD_BITS)).astype(np.int64)
+    # a word, and its first bytes for forms not seen before
+    slot = np.concatenate([word_hash(low, start, end), ~word_hash(low, start, np.minimum(start + STEM, end))])
+    slot = (slot >> U(64 - WORD_BITS)).astype(np.int64)
     cut = np.zeros(len(buf) + 1, bool)
     cut[1:][ENDS[buf]] = True
     cut[off] = True
     place = np.flatnonzero(cut)
     sentence = np.searchsorted(place, start, "right") - 1
     used, sentence = np.unique(sentence, return_inverse=True)  # those that have words
-    pair = np.unique(sentence << WORD_BITS | slot)
     first = np.searchsorted(sentence, np.arange(len(used)))
+    pair = np.unique(np.concatenate([sentence, sentence]) << WORD_BITS | slot)
     return pair >> WORD_BITS, pair & ((1 << WORD_BITS) - 1), doc[first], place[used], place[used + 1] if len(used) else place[:0]
 
 
@@ -66,22 +69,39 @@ def _noisy_or(logit: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
     return -np.bincount(doc, weights=np.logaddexp(0, logit), minlength=n)
 
 
+def _frequent(sentence: np.ndarray, slot: np.ndarray, least: int) -> np.ndarray:
+    """Which pairs are of slots that occur in ``least`` different sentences: the words of one
+    sentence that copies repeat are one observation."""
+    total = np.concatenate([[U(0)], np.cumsum(mix(slot.astype(U) + U(1)), dtype=U)])
+    first = np.flatnonzero(np.concatenate([[True], sentence[1:] != sentence[:-1]]))
+    last = np.append(first[1:], len(sentence))
+    sign = np.repeat(total[last] - total[first], last - first)
+    order = np.lexsort((sign, slot))
+    x, y = slot[order], sign[order]
+    new = np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])])
+    found, n = np.unique(x[new], return_counts=True)
+    return n[np.searchsorted(found, slot)] >= least
+
+
 def fit_bags(
     sentence: np.ndarray, slot: np.ndarray, doc: np.ndarray, label: np.ndarray,
-    steps: int = 150, rate: float = 0.1, penalty: float = 2e-3,
+    steps: int = 200, rate: float = 0.15, penalty: float = 5e-6, least: int = 4,
 ) -> SentenceModel:
-    """Weights from bags: (sentence, slot) pairs, the document of each sentence, the label of each document."""
-    if not len(label):
-        return SentenceModel(np.zeros(1 << WORD_BITS, np.float32), -4.0)
+    """Weights from bags: (sentence, slot) pairs by sentence, the document of each sentence, the label of each document."""
+    weight = np.zeros(1 << WORD_BITS, np.float32)
+    if not len(label) or not len(slot):
+        return SentenceModel(weight, -8.0)
+    keep = _frequent(sentence, slot, least)
+    sentence, slot = sentence[keep], slot[keep]
     slots, column = np.unique(slot, return_inverse=True)
     n_sentence, n = len(doc), len(label)
     # start: words of toxic documents that others lack
-    in_doc = np.unique(doc[sentence] * len(slots) + column)
-    has = np.bincount(in_doc % len(slots), minlength=len(slots))
-    toxic = np.bincount(in_doc % len(slots), weights=label[in_doc // len(slots)], minlength=len(slots))
+    in_doc = np.unique(doc[sentence] * len(slots) + column) if len(slots) else column
+    has = np.bincount(in_doc % max(1, len(slots)), minlength=len(slots))
+    toxic = np.bincount(in_doc % max(1, len(slots)), weights=label[in_doc // max(1, len(slots))], minlength=len(slots))
     base = (label.sum() + 1) / (n + 2)
-    w = np.clip(np.log((toxic + 2 * base) / (has - toxic + 2 * (1 - base))) - np.log(base / (1 - base)), -2, 4)
-    w, b = np.where(w > 0.7, w, 0.0), -4.0
+    w = np.clip(np.log((toxic + 2 * base) / (has - toxic + 2 * (1 - base))) - np.log(base / (1 - base)), 0, 6)
+    w, b = np.where(w > 1, w, 0.0), -8.0
     m, v = np.zeros(len(slots) + 1), np.zeros(len(slots) + 1)
     for t in range(1, steps + 1):
         z = np.bincount(sentence, weights=w[column], minlength=n_sentence) + b
@@ -90,11 +110,10 @@ def fit_bags(
         some = np.maximum(-np.expm1(none), 1e-9)
         # d log-likelihood / d z of each sentence
         gain = np.where(label > 0, np.exp(none) / some, -1.0)[doc] * p
-        step = np.append(np.bincount(column, weights=gain[sentence], minlength=len(slots)) / n - penalty / 100 * w, gain.sum() / n)
+        step = np.append(np.bincount(column, weights=gain[sentence], minlength=len(slots)) / n - penalty * w, gain.sum() / n)
         m, v = 0.9 * m + 0.1 * step, 0.99 * v + 0.01 * step * step
         move = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
         w, b = w + move[:-1], min(b + move[-1], -1.0)
-    weight = np.zeros(1 << WORD_BITS, np.float32)
     weight[slots] = w
     return SentenceModel(weight, float(b))
 
