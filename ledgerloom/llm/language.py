@@ -169,7 +169,7 @@ def held_out(doc_id) -> F.Column:
 
 
 def identify(docs: DataFrame, model: LanguageModel, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The kept columns, lang_pred and score for every row of ``docs(text, ...)``."""
+    """The kept columns (none named like the others), lang_pred and score for every row of ``docs(text, ...)``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the number of languages
     names = [*keep, "lang_pred", "score"]
 
@@ -181,6 +181,7 @@ def identify(docs: DataFrame, model: LanguageModel, keep: tuple[str, ...] = ("do
                 [*batch.columns[: len(keep)], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=names
             )
 
-    source = docs.select(*keep, F.col("text").cast("string"))
+    free = next(n for n in ("text", "_text", "__text") if n not in keep)
+    source = docs.select(*keep, F.col("text").cast("string").alias(free))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[: len(keep)])
     return source.mapInArrow(run, f"{kinds}, lang_pred string, score double")

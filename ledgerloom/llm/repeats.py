@@ -131,7 +131,7 @@ def _entries(docs: DataFrame, buckets: int, length: int) -> DataFrame:
     return docs.mapInArrow(run, "bucket int, key binary, cls binary, place binary, lead binary, tail binary, hull binary")
 
 
-def _met(entries: DataFrame, buckets: int, length: int) -> DataFrame:
+def _met(entries: DataFrame, buckets: int, most: int) -> DataFrame:
     """Spans whose hull repeats whole, and hulls to be compared (key not 0), packed by document."""
     schema = pa.schema([("bucket", pa.int32()), *((x, pa.binary()) for x in ("cls", "key", "place", "lead", "tail", "hot"))])
 
@@ -154,7 +154,7 @@ def _met(entries: DataFrame, buckets: int, length: int) -> DataFrame:
             # compared are the hulls of keys that have several, each at one of its places
             # (a hull that repeats whole is still what others may match)
             one = at[hulls_of > 1]
-            hot = (hulls_of[hulls_of > 1] > HOT).astype(np.int8)
+            hot = (hulls_of[hulls_of > 1] > most).astype(np.int8)
             out.add(mix(cls[one].view(U)), cls[one], key[one], place[one], lead[one], tail[one], hot)
             if out.full:
                 yield from out.flush(schema)
@@ -268,7 +268,7 @@ def _compared(hulls: DataFrame, length: int) -> DataFrame:
     return hulls.mapInArrow(run, "cls long, spans binary")
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
     """``docs(doc_id, text)`` -> one row per input row: doc_id, n_bytes, n_removed, n_spans
     (maximal removed runs), kept_sha256 (of the remaining bytes), kept (those bytes; null if all are kept)."""
     if length < GRAM:
@@ -279,7 +279,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     long_docs = docs.filter(F.octet_length("text") >= length)
 
     entries = _entries(long_docs.select("cls", "text"), buckets, length).repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    met = _met(entries, buckets, length).repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    met = _met(entries, buckets, hot).repartition(buckets, "bucket").sortWithinPartitions("bucket")
     asked = saved(_by_document(met, length))
 
     slim = saved(docs.select("doc_id", "cls", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")))

@@ -1,0 +1,44 @@
+from __future__ import annotations
+
+from ledgerloom.llm import licences as L
+
+
+def by_name(name, longest=True):
+    return max((t for n, t in L.KNOWN if n == name), key=len)
+
+
+def test_variants_of_a_text_are_one(spark, docs_of):
+    mit = by_name("MIT")
+    variants = [
+        mit,
+        "Copyright (c) 2020 Jane Doe\n\n" + mit,
+        "# Copyright 1999, 2001 ACME\n# (C) 2002 Others\n" + "\n".join("# " + x for x in mit.split("\n")),
+        mit.upper(),
+        mit.replace(" ", "  ").replace('"', "''"),
+        mit.replace("copyright notice", "Copyright Notice").replace("sublicense", "sub-license"),
+    ]
+    other = [mit + " and more", mit.replace("free of charge", "for a fee"), "Copyright (c) 2020"]
+    rows = list(enumerate(variants + other))
+    got = {r.doc_id: r.licence for r in L.scan(docs_of(rows), L.known_licences(spark)).collect()}
+    assert got == {i: "MIT" if i < len(variants) else None for i in range(len(rows))}
+
+
+def test_notices_on_lines(spark, docs_of):
+    rows = [(1, "some text\n// Licensed under the Apache Licence, version 2.0\nmore\nReleased under the MIT license!"), (2, "Licensed under the Apache License, Version 2.0 and more"), (3, "released UNDER the mit licence")]
+    got = {r.doc_id: (r.licence, r.n_lines, r.line_licences) for r in L.scan(docs_of(rows), L.known_licences(spark)).collect()}
+    assert got == {1: (None, 2, "Apache-2.0,MIT"), 2: (None, 0, ""), 3: ("MIT", 1, "MIT")}
+
+
+def test_edge_cases(spark, docs_of):
+    rows = [(1, None), (2, ""), (3, "!!\n..."), (4, "x"), (4, "x"), (4, "y"), (None, "Released under the MIT License."), (5, "word " * 100_000)]
+    got = L.scan(docs_of(rows), L.known_licences(spark)).collect()
+    assert sorted((str(r.doc_id), r.digest is None, r.licence) for r in got) == [
+        ("1", True, None), ("2", True, None), ("3", True, None), ("4", False, None), ("4", False, None), ("5", False, None), ("None", False, "MIT"),
+    ]
+    assert L.scan(docs_of([]), L.known_licences(spark)).count() == 0
+
+
+def test_known_digests(spark):
+    known = L.known_licences(spark).collect()
+    assert len(known) == len({r.digest for r in known}) and all(r.digest for r in known)
+    assert {r.licence for r in known} == {n for n, _ in L.KNOWN}

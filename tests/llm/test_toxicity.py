@@ -1,0 +1,66 @@
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from ledgerloom.llm import catalog, toxicity
+
+
+def corpus(n=600, seed=4):
+    rnd = random.Random(seed)
+    word = lambda: f"w{rnd.randrange(2000)}"
+    sentence = lambda: " ".join(word() for _ in range(rnd.randrange(4, 12))) + "."
+    rows, labels, at = [], [], {}
+    for i in range(n):
+        parts = [sentence() for _ in range(rnd.randrange(1, 12))]
+        bad = rnd.random() < 0.2
+        if bad:
+            k = rnd.randrange(len(parts))
+            parts[k] = f"{word()} {rnd.choice(['vile', 'nasty', 'foul'])} {word()}."
+            at[i] = (sum(len(p) + 1 for p in parts[:k]), parts[k])
+        rows.append((i, " ".join(parts)))
+        labels.append((i, int(bad)))
+    return rows, labels, at
+
+
+def test_learns_from_documents_and_points_at_sentences(spark, docs_of):
+    rows, labels, at = corpus()
+    train = spark.createDataFrame([x for x in labels if x[0] % 4], "doc_id long, toxic int")
+    model = toxicity.fit(docs_of(rows), train)
+    got = {r.doc_id: r for r in toxicity.score(docs_of(rows), model).collect()}
+    held = [(i, y) for i, y in labels if i % 4 == 0]
+    assert np.mean([got[i].predicted == y for i, y in held]) > 0.97
+    text = dict(rows)
+    found = [[text[i][s.start : s.end].strip() for s in got[i].offending] for i in at if i % 4 == 0]
+    assert np.mean([f == [at[i][1]] for f, i in zip(found, [i for i in at if i % 4 == 0], strict=True)]) > 0.9
+
+
+def test_noisy_or_of_sentences():
+    z = np.array([0.0, 1.0, -2.0])
+    p = 1 / (1 + np.exp(-z))
+    none = toxicity._noisy_or(z, np.array([0, 0, 1]), 3)
+    assert -np.expm1(none) == pytest.approx([1 - (1 - p[0]) * (1 - p[1]), p[2], 0])
+
+
+def test_query_contract(spark, sf_small):
+    rows = catalog.op5_toxicity(spark, sf_small).collect()
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").collect()
+    assert sorted(r.doc_id for r in rows) == sorted(d.doc_id for d in docs)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
+
+
+def test_edge_cases(spark, docs_of):
+    rows, labels, _ = corpus(200)
+    train = spark.createDataFrame([*labels, (None, 1), (7, None), (10**6, 1)], "doc_id long, toxic int")
+    model = toxicity.fit(docs_of([*rows, (None, "vile"), (50, None)]), train)
+    odd = [(1, None), (2, ""), (3, "..!?\n"), (4, "a nasty thing"), (4, "a nasty thing"), (None, "fine"), (5, "é vile é. " + "fine. " * 30_000)]
+    got = [(r.doc_id, r.score, [tuple(x)[:2] for x in r.offending]) for r in toxicity.score(docs_of(odd), model).collect()]
+    assert [g[1] for g in got[:3]] == [0, 0, 0] and got[3] == got[4]
+    assert got[6][2][:1] == [(0, 9)]
+    none = toxicity.fit(docs_of(rows), train.limit(0))
+    assert all(r.predicted == 0 for r in toxicity.score(docs_of(odd[:6]), none).collect())
+    assert toxicity.score(docs_of([]), model).count() == 0
