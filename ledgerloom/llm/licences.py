@@ -55,31 +55,48 @@ KNOWN = (
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A line that begins with a copyright notice, after comment signs, in folded text.
 NOTICE = r"(^|\n)[^a-z0-9\n]*(copyright[^a-z0-9\n]*(\(c\)|©|[0-9])|\(c\)[^a-z0-9\n]*[0-9]|©)[^\n]*"
-OTHER = r"[^\p{L}\p{N}]+"
-_WORDS = "|".join(a for a, _ in sorted(EQUIVALENT, key=lambda x: -len(x[0])))
+#: What a line with such a notice has, in any case.
+HINT = r"(?i)copyright|\(c\)"
+#: What is no letter, digit or line end.
+OTHER = r"[^\p{L}\p{N}\n]+"
 
 
-def canonical(text: Column) -> Column:
-    """The canonical form; empty if nothing is left."""
+def _plain(rows: DataFrame, text: str, out: str) -> DataFrame:
+    """``text`` in small letters, without notices, other signs as spaces, line by line."""
     folded = F.translate(text, UPPER, LOWER)
-    bare = F.trim(F.regexp_replace(F.regexp_replace(folded, NOTICE, "$1"), OTHER, " "))
-    # spellings are rare: the replacements run only where one occurs
-    spelled = bare
-    for a, b in EQUIVALENT:
-        spelled = F.regexp_replace(spelled, rf"\b{a}(s?)\b", f"{b}$1")
-    return F.when(F.regexp_like(bare, F.lit(rf"\b({_WORDS})s?\b")), spelled).otherwise(bare)
+    noticed = F.contains(F.col(text), F.lit("©")) | F.regexp_like(text, F.lit(HINT))
+    rows = rows.withColumn(out, F.when(noticed, F.regexp_replace(folded, NOTICE, "$1")).otherwise(folded))
+    return rows.withColumn(out, F.regexp_replace(out, OTHER, " "))
 
 
-def digest(text: Column) -> Column:
-    form = canonical(text)
-    return F.when(form != "", F.sha2(form, 256))
+def _spelled(rows: DataFrame, form: str) -> DataFrame:
+    """``form`` with one spelling of each; the replacements run only where one occurs."""
+    single = [x + s for x, _ in EQUIVALENT if " " not in x for s in ("", "s")]
+    some = F.arrays_overlap(F.split(form, " "), F.array(*map(F.lit, single)))
+    for x, _ in EQUIVALENT:
+        if " " in x:
+            some = some | F.contains(F.col(form), F.lit(x))
+    spelled = F.col(form)
+    for x, y in EQUIVALENT:
+        spelled = F.regexp_replace(spelled, rf"\b{x}(s?)\b", f"{y}$1")
+    return rows.withColumn(form, F.when(some, spelled).otherwise(F.col(form)))
+
+
+def _digest(rows: DataFrame, form: str) -> DataFrame:
+    rows = _spelled(rows, form)
+    return rows.withColumn("digest", F.when(F.col(form) != "", F.sha2(form, 256))).drop(form)
+
+
+def _whole(plain: Column) -> Column:
+    return F.trim(F.regexp_replace(plain, "[ \n]+", " "))
 
 
 def known_licences(spark: SparkSession, known: tuple = KNOWN) -> DataFrame:
     """(licence, digest) of the known texts; equal digests count once, for the smallest name."""
     rows = F.array(*(F.struct(F.lit(n).alias("licence"), F.lit(t).alias("text")) for n, t in known))
     texts = spark.range(1).select(F.explode(rows).alias("k")).select("k.licence", "k.text")
-    return texts.select("licence", digest(F.col("text")).alias("digest")).groupBy("digest").agg(F.min("licence").alias("licence"))
+    forms = _plain(texts, "text", "plain").select("licence", _whole(F.col("plain")).alias("form"))
+    return _digest(forms, "form").groupBy("digest").agg(F.min("licence").alias("licence"))
 
 
 def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
@@ -88,11 +105,12 @@ def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
     (distinct, by name, comma-joined)."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select("doc_id", text.alias("text"))
-    whole = F.struct(F.lit(True).alias("whole"), F.col("text").alias("part"))
-    lines = F.transform(F.split("text", "\n"), lambda x: F.struct(F.lit(False).alias("whole"), x.alias("part")))
-    # one line texts are whole texts already; lines too long for any notice are still compared
-    parts = rows.select("doc_id", F.sha2("text", 256).alias("text_sha256"), F.explode(F.concat(F.array(whole), lines)).alias("p"))
-    hashed = parts.select("doc_id", "text_sha256", "p.whole", digest(F.col("p.part")).alias("digest"))
+    # in steps, so that no step's expression is copied into the next and evaluated again
+    plain = _plain(rows, "text", "plain").select("doc_id", F.sha2("text", 256).alias("text_sha256"), "plain")
+    whole = F.struct(F.lit(True).alias("whole"), _whole(F.col("plain")).alias("form"))
+    lines = F.transform(F.split("plain", "\n"), lambda x: F.struct(F.lit(False).alias("whole"), F.trim(x).alias("form")))
+    parts = plain.select("doc_id", "text_sha256", F.explode(F.concat(F.array(whole), lines)).alias("p"))
+    hashed = _digest(parts.select("doc_id", "text_sha256", "p.whole", "p.form"), "form")
     met = hashed.join(F.broadcast(known), "digest", "left")  # a fixed number of licences
     at_line = ~F.col("whole") & F.col("licence").isNotNull()
     return met.groupBy("doc_id", "text_sha256").agg(

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from ledgerloom.llm.catalog import WEIGHTS
-from ledgerloom.llm.licences import EQUIVALENT, KNOWN, NOTICE, OTHER
+from ledgerloom.llm.licences import EQUIVALENT, KNOWN, NOTICE
 from ledgerloom.llm.mixing import EPOCHS, SEED
 
 _WORDS = r"[^\x20\x09-\x0D]+"
+_OTHER = r"[^\p{L}\p{N}]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -18,7 +19,7 @@ def _canonical(column: str) -> str:
     """The canonical form of a column, as nested calls."""
     out = f"translate({column}, '{_UPPER}', '{_LOWER}')"
     out = f"regexp_replace({out}, {_text(NOTICE)}, '\\1', 'g')"
-    out = f"trim(regexp_replace({out}, {_text(OTHER)}, ' ', 'g'))"
+    out = f"trim(regexp_replace({out}, {_text(_OTHER)}, ' ', 'g'))"
     for a, b in EQUIVALENT:
         out = f"regexp_replace({out}, '\\b{a}(s?)\\b', '{b}\\1', 'g')"
     return out
