@@ -1,18 +1,25 @@
 """As-of (validity interval) join.
 
-A fact row takes the version whose ``[valid_from, valid_to]`` contains its date.
-The range sits inside the join condition of a LEFT join: a fact without a
-covering version keeps its row with NULL attributes (filtering after the join
-would silently drop rows dated before the first version).
-
-Physical plan: equi-join on the key with the range as residual condition, so
-the planner can use a broadcast hash join for a small history or a sort-merge
-join otherwise; a hot key on the fact side is split by AQE's skew-join handling.
-No row multiplication: intervals of one key never overlap (``close_intervals``).
-Both strategies require that precondition: with overlapping versions the range
-strategy would return one row per matching version, the window strategy the
-latest-starting one. Helper columns start with ``_`` (``_k``, ``_t``, ``_b``,
-``_s``, ``_p``, ``_kind``, ``_v_*``, ``_salt``); fact columns must not use them.
+A fact row takes the version of its key that started last on or before its date,
+if that version is still valid then; else its attributes are NULL. The range sits
+inside the join condition of a LEFT join: a fact without a covering version keeps
+its row (filtering after the join would silently drop rows dated before the first
+version).
+
+Versions may overlap: a later start supersedes what came before, also after it
+has ended itself. Of several versions with one start the one that is valid longest
+counts (then the largest attributes). Each fact therefore meets at most one
+version, under either strategy:
+
+* ``range`` (default): equi-join on the key with the validity as residual
+  condition; the planner broadcasts a small history or sort-merges, and AQE's skew
+  join splits a hot key on the fact side. A fact is compared with every version of
+  its key, which suits short histories (a handful of cost changes per product).
+* ``window``: facts and versions are sorted together, no pairs; for dense histories.
+
+The caller names the strategy; both give the same rows on any input. Helper
+columns start with ``_`` (``_k``, ``_t``, ``_b``, ``_s``, ``_p``, ``_kind``, ``_hit``,
+``_v_*``, ``_salt``); fact columns must not use them.
 
 ``salt > 1`` spreads every key over ``salt`` buckets explicitly: a fact goes to
 bucket ``hash(fact columns) mod salt`` (deterministic, so a retried task sends
@@ -29,10 +36,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+STRATEGIES = ("range", "window")
+
 
-# Versions per key above which the pair-free strategy is chosen by "auto"
-# (measured locally: range still wins at 2,000 versions, loses 8x at 20,000).
-AUTO_WINDOW_VERSIONS = 5_000
+def timeline(versions: DataFrame, key: str, attrs: Sequence[str], valid_from: str, valid_to: str) -> DataFrame:
+    """``_v_key, _v_from, _v_to, _v_next, attrs``: one version per key and start, with
+    the next start of the key. A NULL end is open. The window holds one key's versions."""
+    known = versions.where(F.col(key).isNotNull() & F.col(valid_from).isNotNull())
+    end = F.coalesce(F.col(valid_to), F.lit("9999-12-31").cast(versions.schema[valid_to].dataType))
+    packed = F.struct(end.alias("_v_to"), *[F.col(a) for a in attrs])
+    one = known.groupBy(F.col(key).alias("_v_key"), F.col(valid_from).alias("_v_from")).agg(F.max(packed).alias("_v"))
+    following = F.lead("_v_from").over(Window.partitionBy("_v_key").orderBy("_v_from"))
+    return one.select("_v_key", "_v_from", "_v._v_to", following.alias("_v_next"), *[F.col(f"_v.{a}").alias(a) for a in attrs])
 
 
 def asof_join(
@@ -47,54 +62,30 @@ def asof_join(
     salt: int = 1,
     strategy: str = "range",
 ) -> DataFrame:
-    """``strategy="range"`` (default): equi-join on the key, range as residual.
-    Every fact meets every version of its key, so it suits short histories
-    (a handful of cost changes per product). ``strategy="window"``: no pairs
-    at all, for dense histories (see ``asof_join_window``). ``strategy="auto"``
-    measures the longest history per key (one aggregate over the versions) and
-    takes the window strategy above ``AUTO_WINDOW_VERSIONS``."""
-    if strategy == "auto":
-        longest = versions.groupBy(key).count().agg(F.max("count").alias("n")).first()["n"] or 0
-        strategy = "window" if longest > AUTO_WINDOW_VERSIONS else "range"
+    """Facts with the ``attrs`` of their version (see the module for the rule)."""
+    if strategy not in STRATEGIES:
+        raise ValueError(f"strategy must be one of {STRATEGIES}")
+    v = timeline(versions, key, attrs, valid_from, valid_to)
     if strategy == "window":
-        return asof_join_window(facts, versions, key, on, attrs, valid_from, valid_to, drop_uncovered, salt)
-    if strategy != "range":
-        raise ValueError("strategy must be 'range', 'window' or 'auto'")
-    v = versions.select(
-        F.col(key).alias("_v_key"),
-        F.col(valid_from).alias("_v_from"),
-        F.col(valid_to).alias("_v_to"),
-        *attrs,
-    )
-    how = "inner" if drop_uncovered else "left"
+        return _window_join(facts, v, key, on, attrs, drop_uncovered, salt)
+    f = facts
     if salt > 1:
         v = v.withColumn("_v_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
         f = facts.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(salt)))
-        cond = (
-            (f[key] == v["_v_key"])
-            & (f["_salt"] == v["_v_salt"])
-            & (f[on] >= v["_v_from"])
-            & (f[on] <= v["_v_to"])
-        )
-        return f.join(v, cond, how).drop("_v_key", "_v_from", "_v_to", "_v_salt", "_salt")
     cond = (
-        (facts[key] == v["_v_key"])
-        & (facts[on] >= v["_v_from"])
-        & (facts[on] <= v["_v_to"])
+        (f[key] == v["_v_key"])
+        & (f[on] >= v["_v_from"])
+        & (f[on] <= v["_v_to"])
+        & (v["_v_next"].isNull() | (f[on] < v["_v_next"]))
     )
-    return facts.join(v, cond, how).drop("_v_key", "_v_from", "_v_to")
+    if salt > 1:
+        cond = cond & (f["_salt"] == v["_v_salt"])
+    joined = f.join(v, cond, "inner" if drop_uncovered else "left")
+    return joined.drop("_v_key", "_v_from", "_v_to", "_v_next", "_v_salt", "_salt")
 
 
-def asof_join_window(
-    facts: DataFrame,
-    versions: DataFrame,
-    key: str,
-    on: str,
-    attrs: Sequence[str],
-    valid_from: str = "valid_from",
-    valid_to: str = "valid_to",
-    drop_uncovered: bool = False,
-    salt: int = 1,
+def _window_join(
+    facts: DataFrame, v: DataFrame, key: str, on: str, attrs: Sequence[str], drop_uncovered: bool, salt: int
 ) -> DataFrame:
     """As-of join without pairs: facts and versions are sorted together and
     each fact takes the last version started on or before its date.
@@ -108,10 +99,8 @@ def asof_join_window(
     salt bucket). Facts keep their rows; a fact past the end of its version's
     interval, or with no version, gets NULL attributes."""
     k, d = F.col(key), F.col(on)
-    payload = F.struct(F.col(valid_from).alias("_from"), F.col(valid_to).alias("_to"), *[F.col(a) for a in attrs])
-    v = versions.where(F.col(key).isNotNull() & F.col(valid_from).isNotNull()).select(
-        F.col(key).alias("_k"), F.col(valid_from).alias("_t"), payload.alias("_p")
-    )
+    payload = F.struct(F.col("_v_to").alias("_to"), *[F.col(a) for a in attrs])
+    v = v.select(F.col("_v_key").alias("_k"), F.col("_v_from").alias("_t"), payload.alias("_p"))
     fact_cols = facts.columns
     f = facts.withColumn("_b", F.trunc(d, "MM")).withColumn(
         "_s",

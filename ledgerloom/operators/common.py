@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
 
-# Largest side that may be hinted for broadcast (rows); beyond it the join is
-# left to the planner (sort-merge / AQE runtime conversion).
-BROADCAST_MAX_ROWS = 1_000_000
+# Largest side that may be hinted for broadcast, in bytes of its rows; beyond it
+# the join is left to the planner (sort-merge / AQE runtime conversion).
+BROADCAST_MAX_BYTES = 16 << 20
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
     """One row per ``keys``: the smallest row in the order of ``order`` (then the
-    remaining columns), i.e. a deterministic ``dropDuplicates``.
+    remaining columns), i.e. a deterministic ``dropDuplicates``. A row with a NULL in
+    its key identifies nothing, so it repeats nothing: such rows all stay.
 
     Written as ``min(struct)`` aggregation rather than ``row_number()``: the
     partial (map-side) aggregate collapses a hot key before the shuffle, so a key
@@ -24,24 +26,24 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None =
     others = [c for c in df.columns if c not in keys]
     first = [c for c in (order or []) if c in others]
     packed = first + [c for c in others if c not in first]
+    nullable = [c for c in keys if df.schema[c].nullable]
+    unkeyed = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in nullable]) if nullable else None
+    keyed = df if unkeyed is None else df.where(~unkeyed)
     if not packed:
-        return df.select(*keys).distinct()
-    agg = df.groupBy(*keys).agg(F.min(F.struct(*[F.col(c) for c in packed])).alias("_first"))
-    return agg.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in packed]).select(*df.columns)
+        out = keyed.select(*keys).distinct()
+    else:
+        agg = keyed.groupBy(*keys).agg(F.min(F.struct(*[F.col(c) for c in packed])).alias("_first"))
+        out = agg.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in packed]).select(*df.columns)
+    return out if unkeyed is None else out.unionByName(df.where(unkeyed))
 
 
-def broadcast_if_small(
-    df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, rows: int | None = None
-) -> DataFrame:
-    """Broadcast hint only behind a size check; a larger side is returned
-    unhinted, so the planner shuffles it (AQE may still convert at runtime).
-
-    ``rows`` is a proven upper bound of the row count when the caller has one
-    (an analytic bound, or the row count of a table ``df`` is one-to-one with,
-    which Parquet answers from file footers). Without it the check reads at
-    most ``max_rows + 1`` rows of ``df``."""
-    n = rows if rows is not None else df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def broadcast_if_small(df: DataFrame, rows: int, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast hint only behind a size check: ``rows`` is a proven upper bound of the
+    row count (an analytic bound, or the row count of a table ``df`` is one-to-one with,
+    which Parquet answers from file footers), a row takes 16 bytes a column and 32 more a
+    text. A larger side is returned unhinted, so the planner shuffles it."""
+    width = sum(16 + 32 * isinstance(f.dataType, StringType) for f in df.schema.fields)
+    return F.broadcast(df) if rows * width <= max_bytes else df
 
 
 def as_timestamp(df: DataFrame, col: str) -> Column:

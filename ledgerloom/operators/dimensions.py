@@ -20,8 +20,8 @@ STORE_COLUMNS = ["store_id", "city", "region", "timezone"]
 
 
 def dim_store(stores: DataFrame, online_id: str = ONLINE_STORE) -> DataFrame:
-    """Physical stores (one row each) plus one synthetic member for the online
-    channel, so "in which store" has a single answer model for both channels."""
+    """One row per shop id, and a row ``online_id`` that stands for web sales: every
+    sale then joins to exactly one store, whatever its channel."""
     physical = keep_first(stores.select(*STORE_COLUMNS), ["store_id"]).withColumn(
         "channel", F.lit("physical")
     )
@@ -102,9 +102,9 @@ def cost_dimension(catalog: DataFrame, history: str = "cost_history") -> DataFra
 
 
 def fx_dimension(fx: DataFrame, report_currency: str = REPORT_CURRENCY) -> DataFrame:
-    """Daily rates to the report currency, one per date x currency, plus the
-    identity rate for the report currency on every date that has any rate (so a
-    sale needs a single join and an unknown currency shows up as a NULL rate)."""
+    """``date, currency, rate``: the smallest quote of each currency and day, by its
+    trimmed upper-case code. Amounts already in the report currency find the rate 1
+    here, on any day that some currency is quoted; what finds no row has no rate."""
     rates = keep_first(
         fx.select(
             as_date(fx, "date").alias("date"),

@@ -49,17 +49,16 @@ def attach_rate(
 ) -> DataFrame:
     """Rate of the day of the document (left join on date x currency).
     ``missing_rate``: ``"null"`` leaves the converted amount NULL (caught by the
-    FX check); ``"identity"`` applies 1.0. The rate table is broadcast when its
-    size (``fx_rows`` bound, else measured) allows: it grows with the calendar,
-    not with the facts."""
-    rates = broadcast_if_small(
-        fx.select(
-            F.col("date").alias("_fx_date"),
-            F.col("currency").alias("_fx_ccy"),
-            F.col("rate").alias("_rate"),
-        ),
-        rows=fx_rows,
+    FX check); ``"identity"`` applies 1.0. The rate table grows with the calendar,
+    not with the facts; it is broadcast when its proven bound ``fx_rows`` is small
+    enough, else the planner decides."""
+    rates = fx.select(
+        F.col("date").alias("_fx_date"),
+        F.col("currency").alias("_fx_ccy"),
+        F.col("rate").alias("_rate"),
     )
+    if fx_rows is not None:
+        rates = broadcast_if_small(rates, fx_rows)
     out = df.join(
         rates, (df[date_col] == rates["_fx_date"]) & (df[ccy_col] == rates["_fx_ccy"]), "left"
     ).drop("_fx_date", "_fx_ccy")

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from datetime import date, timedelta
+from decimal import Decimal
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.asof import asof_join
 from ledgerloom.operators.dimensions import close_intervals
 from ledgerloom.operators.facts import cost_sales
 from ledgerloom.operators.marts import negative_margin, streak_scenarios, stockout_streaks
@@ -103,28 +105,47 @@ def test_detail_matches_scenario_breaks(spark, patterns):
 @FAST
 @given(
     lines=st.lists(
-        st.tuples(st.integers(1, 3), st.sampled_from(["T1", "T2", "ONLINE"]), st.integers(-500, 500), st.integers(0, 500)),
+        st.tuples(st.sampled_from([1, 2, 3, None]), st.sampled_from(["T1", "T2", "ONLINE"]), st.integers(0, 200), st.integers(-5, 5), st.one_of(st.none(), st.integers(-500, 500))),
         min_size=1,
         max_size=20,
-    )
+    ),
+    costs=st.lists(st.tuples(st.integers(1, 3), day, st.integers(1, 90)), min_size=1, max_size=6),
 )
-def test_store_rows_sum_to_product_margin(spark, lines):
-    costed = spark.createDataFrame(
+def test_store_rows_of_a_losing_product_sum_to_its_margin(spark, lines, costs):
+    sales = spark.createDataFrame(
         [
-            (k, "online" if s == "ONLINE" else "physical", date(2026, 2, 1), s, f"D{i}", True, 1, float(a), float(c), float(a - c))
-            for i, (k, s, a, c) in enumerate(lines)
+            (k, "online" if s == "ONLINE" else "physical", BASE + timedelta(days=d), s, f"D{i}", True, u, None if a is None else Decimal(a))
+            for i, (k, s, d, u, a) in enumerate(lines)
         ],
-        "product_key bigint, channel string, date date, store_id string, doc_id string, is_revenue boolean, "
-        "units int, amount double, cost_total double, margin double",
-    ).withColumn("amount", F.col("amount").cast("decimal(28,8)")).withColumn(
-        "cost_total", F.col("cost_total").cast("decimal(28,8)")
-    ).withColumn("margin", F.col("margin").cast("decimal(28,8)"))
+        "product_key bigint, channel string, date date, store_id string, doc_id string, is_revenue boolean, units int, amount decimal(28,8)",
+    )
+    versions = spark.createDataFrame([(k, BASE + timedelta(days=d), Decimal(c)) for k, d, c in costs], "product_key bigint, valid_from date, cost decimal(18,3)")
     prods = spark.createDataFrame([(k, f"CN-{k:05d}", "e", "n", "c") for k in (1, 2, 3)],
                                   "product_key bigint, sku_pos string, sku_erp string, name string, category string")
     stores = spark.createDataFrame([(s, "c", "r") for s in ("T1", "T2", "ONLINE")], "store_id string, city string, region string")
-    by_product, by_store = negative_margin(costed, prods, stores, CUTOFF)
-    per_store = {}
-    for r in by_store.collect():
-        per_store.setdefault(r["product_key"], []).append(r["margin"])
-    for r in by_product.collect():
-        assert sum(per_store[r["product_key"]]) == pytest.approx(r["margin"], abs=1e-6)
+    by_product, by_store = (x.collect() for x in negative_margin(sales, close_intervals(versions), prods, stores, BASE + timedelta(days=180)))
+    for r in by_product:
+        own = [x for x in by_store if x["product_key"] == r["product_key"]]
+        assert sum(x["margin"] or 0 for x in own) == pytest.approx(r["margin"], abs=1e-6)
+        for n in ("units", "lines", "lines_without_cost", "lines_without_rate"):
+            assert sum(x[n] for x in own) == r[n]
+
+
+@FAST
+@given(
+    versions=st.lists(st.tuples(st.integers(1, 2), day, st.one_of(st.none(), day), st.integers(1, 9)), min_size=1, max_size=8),
+    facts=st.lists(st.tuples(st.one_of(st.none(), st.integers(1, 3)), day), min_size=1, max_size=15),
+)
+def test_both_asof_strategies_agree_on_overlapping_versions(spark, versions, facts):
+    """The version started last counts while it lasts; the longer of two with one start, then the larger."""
+    at = lambda d: None if d is None else BASE + timedelta(days=d)
+    v = spark.createDataFrame([(k, at(a), at(z), float(c)) for k, a, z, c in versions], "product_key bigint, valid_from date, valid_to date, cost double")
+    f = spark.createDataFrame([(i, k, at(d)) for i, (k, d) in enumerate(facts)], "doc bigint, product_key bigint, date date")
+    want = []
+    for i, (k, d) in enumerate(facts):
+        found = [(a, 10**6 if z is None else z, c) for key, a, z, c in versions if key == k and a <= d]
+        best = max(found, default=None)
+        want.append((i, float(best[2]) if best and d <= best[1] else None))
+    for strategy, salt in (("range", 1), ("range", 3), ("window", 1), ("window", 2)):
+        got = asof_join(f, v, "product_key", "date", ["cost"], strategy=strategy, salt=salt)
+        assert sorted(map(tuple, got.select("doc", "cost").collect())) == want
