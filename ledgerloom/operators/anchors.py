@@ -4,17 +4,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def month_start(cutoff: date, months: int) -> date:
-    """First day of the month ``months - 1`` months before the cutoff's month
-    (cutoff 2026-03-31, 6 -> 2025-10-01)."""
-    total = cutoff.year * 12 + cutoff.month - 1 - (months - 1)
-    return date(total // 12, total % 12 + 1, 1)
+    """First day of a window of ``months`` calendar months that ends with the cutoff's month."""
+    first = cutoff.replace(day=1)
+    for _ in range(months - 1):
+        first = (first - timedelta(days=1)).replace(day=1)
+    return first
 
 
 def quarter_start(cutoff: date) -> date:

@@ -1,9 +1,9 @@
 """Data checks that turn silent errors into loud failures.
 
-Each check is a one-row DataFrame ``check, severity, failed, total`` computed
-by Spark; checks on the same table share one aggregation pass. A report adds
-``pct`` and ``ok`` and unions them; the gate keeps failed ``error`` rows and
-``enforce`` raises on them (the report is bounded: one row per check).
+Each check is one row (``REPORT_COLUMNS``) computed by Spark; all checks of one
+table come from one aggregate over one scan of it. A report unions them; the gate
+keeps failed ``error`` rows and ``enforce`` raises on them (the report is bounded:
+one row per check).
 
 Thresholds compare counts (``failed * 100 <= limit * total``), never a rounded
 percentage, so one bad row in millions still fails a limit of 0.
@@ -13,10 +13,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.docs import unknown_document_type
 from ..functions.money import ratio
 from .keys import mapping_flags
 
@@ -28,22 +30,35 @@ MAX_PCT_ORPHAN_SALES = 0.5
 MAX_PCT_INVALID_READINGS = 5.0
 MAX_PCT_MISSING_FX = 0.0
 
-REPORT_COLUMNS = ["check", "severity", "ok", "failed", "total", "pct", "limit_pct"]
-
-
-def _row(df: DataFrame, name: str, severity: str, failed: Column, total: Column, limit: float) -> DataFrame:
-    return df.select(
-        F.lit(name).alias("check"),
-        F.lit(severity).alias("severity"),
-        F.coalesce(failed, F.lit(0)).cast("long").alias("failed"),
-        F.coalesce(total, F.lit(0)).cast("long").alias("total"),
-        F.lit(limit).cast("double").alias("limit_pct"),
-    )
-
-
-def _finish(checks: DataFrame) -> DataFrame:
+REPORT_COLUMNS = ["check", "severity", "ok", "failed", "total", "pct", "limit_pct", "detail"]
+
+
+class Check(NamedTuple):
+    """A rule: rows for which ``bad`` holds may be ``limit`` percent of all."""
+
+    name: str
+    severity: str
+    bad: Column
+    limit: float
+    what: str
+
+
+def _evaluate(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """All checks of one table from one aggregate: a row for each."""
+    failed = [F.count_if(F.coalesce(c.bad, F.lit(False))).alias(f"_{i}") for i, c in enumerate(checks)]
+    counts = df.agg(F.count(F.lit(1)).alias("total"), *failed)
+    rows = F.array(*[
+        F.struct(
+            F.lit(c.name).alias("check"),
+            F.lit(c.severity).alias("severity"),
+            F.col(f"_{i}").alias("failed"),
+            F.lit(c.limit).cast("double").alias("limit_pct"),
+            F.lit(c.what).alias("what"),
+        )
+        for i, c in enumerate(checks)
+    ])
     limit = F.col("limit_pct").cast("decimal(9,4)")
-    return checks.select(
+    return counts.select("total", F.explode(rows).alias("c")).select("c.*", "total").select(
         "check",
         "severity",
         (F.col("failed") * 100 <= limit * F.col("total")).alias("ok"),
@@ -51,19 +66,23 @@ def _finish(checks: DataFrame) -> DataFrame:
         "total",
         F.coalesce(ratio(F.col("failed") * 100, F.col("total"), 4), F.lit(0.0)).alias("pct"),
         "limit_pct",
+        F.concat_ws(" ", "failed", F.lit("of"), "total", "what").alias("detail"),
     )
 
 
-def _count_check(df: DataFrame, name: str, severity: str, bad: Column, limit: float = 0.0) -> DataFrame:
-    agg = df.agg(
-        F.sum(F.when(bad, 1).otherwise(0)).alias("_f"), F.count(F.lit(1)).alias("_t")
-    )
-    return _finish(_row(agg, name, severity, F.col("_f"), F.col("_t"), limit))
-
-
 def check_mapping(mappings: DataFrame) -> DataFrame:
     """The numeric key never contradicts the official mapping table."""
-    return _count_check(mapping_flags(mappings), "mapping_consistent", ERROR, F.col("discrepant"))
+    what = "mapping rows contradict the derived key"
+    return _evaluate(mapping_flags(mappings), [Check("mapping_consistent", ERROR, F.col("discrepant"), 0.0, what)])
+
+
+def _with_flag(df: DataFrame, dimension: DataFrame, key: str, flag: str) -> DataFrame:
+    return df.join(dimension.select(key, F.lit(True).alias(flag)).distinct(), key, "left")
+
+
+def _cost_check() -> Check:
+    uncovered = F.col("is_revenue") & F.col("product_key").isNotNull() & F.col("cost").isNull()
+    return Check("cost_covered", WARNING, uncovered, 0.0, "lines have no cost on their day")
 
 
 def sales_checks(
@@ -75,94 +94,72 @@ def sales_checks(
 ) -> DataFrame:
     """Orphan lines (NULL key or key not in the catalogue), lines without a
     converted amount, and lines whose units and amount have opposite signs, in
-    one pass over the sales fact; with ``stores`` also lines whose store is not
-    in the store dimension (same pass)."""
-    keys = products.select("product_key", F.lit(True).alias("_known")).distinct()
-    s = sales.join(keys, "product_key", "left")
-    if stores is not None:
-        skeys = stores.select("store_id", F.lit(True).alias("_store_known")).distinct()
-        s = s.join(skeys, "store_id", "left")
-    orphan = F.col("_known").isNull()
-    no_fx = F.col("amount").isNull()
-    bad_sign = ((F.col("units") > 0) & (F.col("amount") < 0)) | (
-        (F.col("units") < 0) & (F.col("amount") > 0)
-    )
-    agg = s.agg(
-        F.count(F.lit(1)).alias("_t"),
-        F.sum(F.when(orphan, 1).otherwise(0)).alias("_orphan"),
-        F.sum(F.when(no_fx, 1).otherwise(0)).alias("_nofx"),
-        F.sum(F.when(bad_sign, 1).otherwise(0)).alias("_sign"),
-        *([F.sum(F.when(F.col("_store_known").isNull(), 1).otherwise(0)).alias("_nostore")] if stores is not None else []),
-    )
-    rows = [
-        _row(agg, "sales_have_product", ERROR, F.col("_orphan"), F.col("_t"), max_pct_orphans),
-        _row(agg, "amounts_converted", ERROR, F.col("_nofx"), F.col("_t"), max_pct_missing_fx),
-        _row(agg, "sign_coherent", ERROR, F.col("_sign"), F.col("_t"), 0.0),
+    one scan of the sales fact; with ``stores`` also lines whose store is not
+    in the store dimension, and if the fact is costed lines without a cost."""
+    opposite = F.signum("units") * F.signum(F.col("amount").cast("double")) < 0
+    checks = [
+        Check("sales_have_product", ERROR, F.col("_known").isNull(), max_pct_orphans, "lines have no catalogue product"),
+        Check("amounts_converted", ERROR, F.col("amount").isNull(), max_pct_missing_fx, "lines have no rate"),
+        Check("sign_coherent", ERROR, opposite, 0.0, "lines have units and amount of opposite sign"),
     ]
+    s = _with_flag(sales, products, "product_key", "_known")
     if stores is not None:
-        rows.append(_row(agg, "sales_have_store", ERROR, F.col("_nostore"), F.col("_t"), 0.0))
-    return _finish(_union(rows))
+        s = _with_flag(s, stores, "store_id", "_store_known")
+        checks.append(_store_check())
+    if "cost" in sales.columns:
+        checks.append(_cost_check())
+    return _evaluate(s, checks)
+
+
+def _store_check() -> Check:
+    return Check("sales_have_store", ERROR, F.col("_store_known").isNull(), 0.0, "lines have no known store")
 
 
 def check_sales_have_store(sales: DataFrame, stores: DataFrame) -> DataFrame:
     """Lines whose store is not in the store dimension (marts inner-join the
     store, so such lines would silently vanish from them)."""
-    keys = stores.select("store_id", F.lit(True).alias("_known")).distinct()
-    s = sales.join(keys, "store_id", "left")
-    return _count_check(s, "sales_have_store", ERROR, F.col("_known").isNull())
+    return _evaluate(_with_flag(sales, stores, "store_id", "_store_known"), [_store_check()])
 
 
-def check_document_types(
-    raw: DataFrame, col: str = "doc_type", known: Sequence[str] = ("I", "E", "P", "T", "N")
-) -> DataFrame:
+def check_document_types(raw: DataFrame, col: str = "doc_type") -> DataFrame:
     """Raw documents of a type in none of the configured lists (they count 0
     in revenue, which may hide a new source type). Warning by default."""
-    c = F.col(col)
-    return _count_check(raw, "document_types_known", WARNING, c.isNull() | ~c.isin(list(known)))
+    what = "documents have an unknown type"
+    return _evaluate(raw, [Check("document_types_known", WARNING, unknown_document_type(col), 0.0, what)])
 
 
 def check_cost_covered(costed: DataFrame) -> DataFrame:
-    """Revenue lines with a product but no cost version valid on their date
+    """Lines with revenue and a product but no cost version valid on their date
     (kept by the as-of join with NULL cost; they add revenue and no cost)."""
-    uncovered = F.col("product_key").isNotNull() & F.col("cost").isNull()
-    return _count_check(costed.where(F.col("is_revenue")), "cost_covered", WARNING, uncovered)
+    return _evaluate(costed, [_cost_check()])
 
 
 def inventory_checks(
     inventory: DataFrame, max_pct_invalid: float = MAX_PCT_INVALID_READINGS,
     invalid_severity: str = WARNING,
 ) -> DataFrame:
-    """Share of unknown readings (warning by default) and negative stock, one pass."""
-    agg = inventory.agg(
-        F.count(F.lit(1)).alias("_t"),
-        F.sum(F.when(~F.col("reading_valid"), 1).otherwise(0)).alias("_invalid"),
-        F.sum(F.when(F.col("units") < 0, 1).otherwise(0)).alias("_neg"),
-    )
-    rows = [
-        _row(agg, "readings_valid", invalid_severity, F.col("_invalid"), F.col("_t"), max_pct_invalid),
-        _row(agg, "stock_not_negative", ERROR, F.col("_neg"), F.col("_t"), 0.0),
-    ]
-    return _finish(_union(rows))
+    """Share of unknown readings (warning by default) and negative stock, one scan."""
+    return _evaluate(inventory, [
+        Check("readings_valid", invalid_severity, ~F.col("reading_valid"), max_pct_invalid, "readings are unknown"),
+        Check("stock_not_negative", ERROR, F.col("units") < 0, 0.0, "readings are below zero"),
+    ])
 
 
 def check_grain_unique(readings: DataFrame, grain: Sequence[str] = ("date", "store_id", "product_key")) -> DataFrame:
     """Run on the readings *before* deduplication: number of grain keys that
     occur more than once, out of all distinct grain keys."""
     per_key = readings.groupBy(*grain).agg(F.count(F.lit(1)).alias("_n"))
-    agg = per_key.agg(
-        F.sum(F.when(F.col("_n") > 1, 1).otherwise(0)).alias("_f"), F.count(F.lit(1)).alias("_t")
-    )
-    return _finish(_row(agg, "grain_unique", ERROR, F.col("_f"), F.col("_t"), 0.0))
+    return _evaluate(per_key, [Check("grain_unique", ERROR, F.col("_n") > 1, 0.0, "grain keys repeat")])
 
 
 def check_revenue_positive(growth: DataFrame) -> DataFrame:
-    return _count_check(growth, "monthly_revenue_positive", ERROR, F.col("revenue") <= 0)
+    what = "channel-months have no revenue"
+    return _evaluate(growth, [Check("monthly_revenue_positive", ERROR, F.col("revenue") <= 0, 0.0, what)])
 
 
 def check_turnover_valid(top: DataFrame) -> DataFrame:
-    return _count_check(
-        top, "turnover_valid", ERROR, F.col("turnover").isNull() | (F.col("turnover") <= 0)
-    )
+    bad = F.col("turnover").isNull() | (F.col("turnover") <= 0)
+    return _evaluate(top, [Check("turnover_valid", ERROR, bad, 0.0, "products have no turnover")])
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:

@@ -79,6 +79,23 @@ def test_report_gate_and_enforce(spark):
         chk.enforce(report)
 
 
+def test_detail_says_what_was_counted(spark):
+    inv = spark.createDataFrame([(date(2026, 1, 1), "T", 1, None, False), (date(2026, 1, 2), "T", 1, 3, True)], INV)
+    assert _by_name(chk.inventory_checks(inv))["readings_valid"]["detail"] == "1 of 2 readings are unknown"
+
+
+def test_a_costed_fact_is_checked_for_costs_too(spark):
+    rows = [(1, 1, 1.0, 2.0, True), (1, 1, 1.0, None, True), (1, 0, 0.0, None, False), (None, 1, 1.0, None, True)]
+    costed = spark.createDataFrame(rows, SALES + ", cost double, is_revenue boolean")
+    prods = spark.createDataFrame([(1,)], PROD)
+    assert _by_name(chk.sales_checks(costed, prods))["cost_covered"]["failed"] == 1 == chk.check_cost_covered(costed).first()["failed"]
+
+
+def test_unknown_document_types(spark):
+    raw = spark.createDataFrame([("I",), ("N",), ("Z",), (None,)], "doc_type string")
+    assert chk.check_document_types(raw).first()["failed"] == 2
+
+
 def test_empty_table_passes_with_zero_total(spark):
     r = _by_name(chk.inventory_checks(spark.createDataFrame([], INV)))["stock_not_negative"]
     assert (r["failed"], r["total"], r["ok"], r["pct"]) == (0, 0, True, 0.0)

@@ -59,7 +59,7 @@ MAP_SCHEMA = "sku_pos string, sku_erp string, handle string"
 
 def test_mapping_accepts_null_erp_or_handle(spark):
     m = spark.createDataFrame(
-        [("CN-00001", None, "mug-001"), ("CN-00002", "ERP-PROV-MX-002-A", None), ("CN-00004", "ERP-PROV-MX-004-A", "x-004")],
+        [("CN-00071", None, "jar-071"), ("CN-00082", "ERP-PROV-MX-082-A", None), ("CN-00640", "ERP-PROV-MX-640-A", "q-640")],
         MAP_SCHEMA,
     )
     assert mapping_discrepancies(m).count() == 0
@@ -67,11 +67,11 @@ def test_mapping_accepts_null_erp_or_handle(spark):
 
 def test_mapping_rejects_contradiction(spark):
     m = spark.createDataFrame(
-        [("CN-00003", "ERP-PROV-MX-009-D", "mug-003"), ("CN-00005", "ERP-PROV-MX-005-A", "mug-005")], MAP_SCHEMA
+        [("CN-00131", "ERP-PROV-MX-113-D", "lid-131"), ("CN-00250", "ERP-PROV-MX-250-A", "lid-250")], MAP_SCHEMA
     )
     rows = mapping_discrepancies(m).collect()
     assert len(rows) == 1
-    assert (rows[0]["key_pos"], rows[0]["key_erp"]) == (3, 9)
+    assert (rows[0]["key_pos"], rows[0]["key_erp"]) == (131, 113)
 
 
 def test_mapping_rejects_unparseable_pos_sku(spark):
