@@ -8,7 +8,6 @@ operators/  DataFrame -> DataFrame building blocks (dimensions, facts, as-of joi
             gaps-and-islands, marts, data checks)
 plans/      wiring: time anchors, bindings onto the benchmark tables, layered run,
             query catalogue and its SQL oracle
-streaming/  intentionally empty (the modelled pipeline is batch only)
 """
 
 __version__ = "0.1.0"

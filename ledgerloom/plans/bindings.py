@@ -6,14 +6,15 @@ deterministic rule (the SQL oracle derives the same rows independently):
 
 * point-of-sale lines   <- ``lineitem`` (store = supplier; currency from the
   supplier's region; document type from return flag x line status)
-* web orders            <- ``orders`` with their lead line (lowest line number)
-  for product and units; currency from the customer's region
-* FX rates              <- one row per day of the sales date span, per currency
+* web orders            <- one document line per line of ``orders``; currency from
+  the customer's region
+* FX rates              <- ``orders``: per month and order status a quote from the
+  month's totals, published for every day of the month but Sundays
 * catalogue + cost      <- ``part``; five cost versions per product, nested
 * official mapping      <- ``part`` (incomplete and partly wrong on purpose)
 * stores                <- ``supplier`` (shops) and ``customer`` (stock points)
-* shelf stock readings  <- ``events``: per stock point and day, 'N/A' on a day
-  with an error event, else the number of purchases
+* shelf stock readings  <- ``events``: per stock point, product (from the event id)
+  and day, 'N/A' on a day with an error event, else the number of purchases
 * dispatch stock counts <- ``lineitem``: one count per shipped line
 
 Every feed is a plain DataFrame plan over the whole tables: no sampling, no
@@ -40,7 +41,9 @@ DOC_TYPE_RULES = [("A", None, "I"), ("N", "F", "I"), ("N", "O", "T"), ("R", "F",
 COST_HISTORY_START = "1996-01-01"
 COST_VERSIONS = 5
 COST_STEP_DAYS = 500
-SHELF_PRODUCT = 1
+SHELF_PRODUCTS = 3  # products on the shelf of every stock point
+QUOTED = (("USD", 17), ("EUR", 20))  # currency and whole part of its rate
+QUOTE_TEXT = {"F": "{}", "O": " {} ", "P": "{}"}  # order status -> how its quote writes the currency
 # identifier layouts: prefix, zero-padded number (minimum width), suffix
 STORE_ID = ("T", 4, "")
 STOCK_POINT_ID = ("U", 4, "")
@@ -84,6 +87,11 @@ def _doc_type(flag: Column, status: Column) -> Column:
     return out
 
 
+def _line_amount() -> Column:
+    price, discount = F.col("l_extendedprice").cast("decimal(12,2)"), F.col("l_discount").cast("decimal(4,2)")
+    return (price * (F.lit(1) - discount)).cast("decimal(18,4)")
+
+
 def pos_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Point-of-sale lines: ``doc_id, ts, store_id, sku, units, amount,
     currency, doc_type`` (doc ids repeat: the feed re-sends lines)."""
@@ -100,30 +108,22 @@ def pos_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     sku = ident(POS_SKU, "l_partkey")
     # line 3 of every order arrives with blanks around the SKU (trimmed on read)
     sku = F.when(F.col("l_linenumber") == 3, F.concat(F.lit("  "), sku, F.lit(" "))).otherwise(sku)
-    amount = F.col("l_extendedprice").cast("decimal(12,2)") * (
-        F.lit(1) - F.col("l_discount").cast("decimal(4,2)")
-    )
     return j.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("doc_id"),
         F.col("l_shipdate").alias("ts"),
         ident(STORE_ID, "l_suppkey").alias("store_id"),
         sku.alias("sku"),
         F.col("l_quantity").cast("int").alias("units"),
-        amount.cast("decimal(18,4)").alias("amount"),
+        _line_amount().alias("amount"),
         "currency",
         _doc_type(F.col("l_returnflag"), F.col("l_linestatus")).alias("doc_type"),
     )
 
 
 def online_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Web orders: ``order_id, ts, handle, units, amount, currency``. Product and
-    units come from the order's lead line; an order without lines has neither.
-    Both sides are grouped / joined on the order key, so the lead-line
-    aggregate and the join share one hash partitioning."""
+    """Web orders: ``order_id, ts, handle, units, amount, currency``, one document line
+    for each line of an order, with that line's product, units and amount."""
     li = table(spark, sf_dir, "lineitem")
-    lead = li.groupBy("l_orderkey").agg(
-        F.min(F.struct("l_linenumber", "l_partkey", "l_quantity")).alias("lead")
-    )
     orders = table(spark, sf_dir, "orders")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     ccy = F.broadcast(nation_currency(spark, sf_dir).select("nationkey", "currency"))
@@ -131,15 +131,14 @@ def online_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         cust.join(ccy, cust["c_nationkey"] == ccy["nationkey"], "left").select("c_custkey", "currency"),
         rows=cust.count(),
     )
-    j = orders.join(lead, orders["o_orderkey"] == lead["l_orderkey"], "left").join(
-        cust_ccy, orders["o_custkey"] == cust_ccy["c_custkey"], "left"
-    )
+    head = orders.join(cust_ccy, orders["o_custkey"] == cust_ccy["c_custkey"], "left").select("o_orderkey", "o_orderdate", "currency")
+    j = li.join(head, li["l_orderkey"] == head["o_orderkey"])
     return j.select(
-        F.concat(F.lit("W"), F.col("o_orderkey").cast("string")).alias("order_id"),
+        F.concat(F.lit("W"), F.col("o_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("order_id"),
         F.col("o_orderdate").alias("ts"),
-        ident(HANDLE, F.col("lead.l_partkey")).alias("handle"),
-        F.col("lead.l_quantity").cast("int").alias("units"),
-        F.col("o_totalprice").cast("decimal(18,2)").cast("decimal(18,4)").alias("amount"),
+        ident(HANDLE, "l_partkey").alias("handle"),
+        F.col("l_quantity").cast("int").alias("units"),
+        _line_amount().alias("amount"),
         "currency",
     )
 
@@ -173,37 +172,39 @@ def stock_cutoff(spark: SparkSession, sf_dir: str) -> date:
     return value
 
 
-def resolve_anchors(spark: SparkSession, sf_dir: str) -> Anchors:
-    lo, hi = sales_span(spark, sf_dir)
-    return Anchors(lo, hi, stock_cutoff(spark, sf_dir))
-
-
-FX_CURRENCIES = 2  # quoted currencies per day in the derived feed
-
-
 def fx_rows_bound(lo: date, hi: date) -> int:
     """Upper bound of the FX dimension: quoted currencies plus the identity
-    rate, per day of the span."""
-    return (FX_CURRENCIES + 1) * ((hi - lo).days + 1)
-
-
-def fx_raw(spark: SparkSession, lo: date, hi: date) -> DataFrame:
-    """Daily USD and EUR rates over ``[lo, hi]`` (``date, currency, rate``).
-    Like a central-bank feed it publishes nothing on Sundays, so a Sunday sale
-    in USD or EUR has no rate (the FX check must see it). The frame is bounded
-    by the span (days x 2 rows), independent of table size."""
-    days = spark.range(1).select(
-        F.explode(F.sequence(F.lit(lo), F.lit(hi), F.expr("interval 1 day"))).alias("date")
-    )
-    doy = F.dayofyear("date")
-    quotes = F.array(
-        F.struct(F.lit("USD").alias("currency"), ((F.lit(170) + doy % 10) / F.lit(10.0)).alias("rate")),
-        F.struct(F.lit("EUR").alias("currency"), ((F.lit(200) + doy % 7) / F.lit(10.0)).alias("rate")),
+    rate, per day of the months that the span touches."""
+    return (len(QUOTED) + 1) * ((hi - lo).days + 62)
+
+
+def fx_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily USD and EUR quotes (``date, currency, rate``) from the orders: each order
+    status of a month quotes a rate whose decimals are its total in cents (USD) or its
+    number of orders (EUR), for every day of the month. Statuses write the currency
+    differently and disagree on the rate. Like a central-bank feed it publishes nothing on Sundays,
+    so a Sunday sale in USD or EUR has no rate (the FX check must see it), nor
+    has one in a month without orders."""
+    month = F.trunc("o_orderdate", "MM")
+    cents = (F.col("o_totalprice").cast("decimal(18,2)") * 100).cast("long")
+    totals = table(spark, sf_dir, "orders").groupBy(month.alias("month"), F.col("o_orderstatus").alias("status")).agg(
+        F.pmod(F.sum(cents), F.lit(100)).alias("USD"), F.pmod(F.count(F.lit(1)), F.lit(100)).alias("EUR")
     )
+    written = F.create_map(*[F.lit(x) for kv in QUOTE_TEXT.items() for x in kv])
+    text = F.coalesce(written[F.col("status")], F.lit("{}"))
+    quotes = F.array(*[
+        F.struct(
+            F.replace(text, F.lit("{}"), F.lit(c.lower()) if c == "EUR" else F.lit(c)).alias("currency"),
+            (F.lit(whole) + F.col(c) / F.lit(100.0)).alias("rate"),
+        )
+        for c, whole in QUOTED
+    ])
+    days = F.sequence(F.col("month"), F.last_day("month"), F.expr("interval 1 day"))
     return (
-        days.where(F.dayofweek("date") != 1)  # 1 = Sunday
-        .select("date", F.explode(quotes).alias("q"))
-        .select("date", "q.currency", "q.rate")
+        totals.where(F.col("month").isNotNull())
+        .select("month", F.explode(quotes).alias("q"))
+        .select(F.explode(days).alias("date"), "q.currency", "q.rate")
+        .where(F.dayofweek("date") != 1)  # 1 = Sunday
     )
 
 
@@ -231,14 +232,14 @@ def catalog_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mappings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Official mapping ``sku_pos, sku_erp, handle``. Like a hand-kept table it
-    is incomplete and partly wrong: products of size 48+ are missing, the ERP
-    SKU is empty for sizes 1-2, and handles of brand ``Brand#7`` carry the size
+    is incomplete and partly wrong: the point-of-sale SKU is empty for sizes 48+,
+    the ERP SKU for sizes 1-2, and handles of brand ``Brand#7`` carry the size
     instead of the product number."""
-    part = table(spark, sf_dir, "part").where(F.col("p_size") < 48)
+    part = table(spark, sf_dir, "part")
     number = F.when(F.col("p_brand") == "Brand#7", F.col("p_size")).otherwise(F.col("p_partkey"))
     slug = F.lower(F.regexp_replace(F.trim("p_name"), " +", "-"))
     return part.select(
-        ident(POS_SKU, "p_partkey").alias("sku_pos"),
+        F.when(F.col("p_size") < 48, ident(POS_SKU, "p_partkey")).alias("sku_pos"),
         F.when(F.col("p_size") > 2, ident(ERP_SKU, "p_partkey")).alias("sku_erp"),
         F.concat(slug, F.lit("-"), zero_pad(number, 3)).alias("handle"),
     )
@@ -261,29 +262,29 @@ def stores_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shelf_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily shelf readings per stock point (``date, store_id, sku_erp, stock``):
-    every day between the point's first and last event; 'N/A' on a day with an
-    error event, else the number of purchases of that day (0 on a quiet day).
-    Densified per point with ``explode(sequence)``, not by a cross join."""
+    """Daily shelf readings per stock point and product (``date, store_id, sku_erp,
+    stock``): every day between the product's first and last event there; 'N/A' on a day
+    with an error event, else the number of purchases of that day (0 on a quiet day).
+    The product is one of ``SHELF_PRODUCTS`` by the event id. Densified per point and
+    product with ``explode(sequence)``, not by a cross join."""
+    series = ["user_id", "product"]
     ev = table(spark, sf_dir, "events").select(
-        "user_id", F.to_date("ts").alias("date"), "event_type"
+        "user_id", (F.pmod("event_id", F.lit(SHELF_PRODUCTS)) + 1).alias("product"), F.to_date("ts").alias("date"), "event_type"
     )
-    daily = ev.groupBy("user_id", "date").agg(
+    daily = ev.groupBy(*series, "date").agg(
         F.max((F.col("event_type") == "error").cast("int")).alias("errors"),
         F.sum((F.col("event_type") == "purchase").cast("int")).alias("purchases"),
     )
-    span = daily.groupBy("user_id").agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
-    grid = span.select(
-        "user_id", F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias("date")
-    )
-    snap = grid.join(daily, ["user_id", "date"], "left")
+    span = daily.groupBy(*series).agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
+    grid = span.select(*series, F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias("date"))
+    snap = grid.join(daily, [*series, "date"], "left")
     stock = F.when(F.col("errors") == 1, F.lit("N/A")).otherwise(
         F.coalesce(F.col("purchases"), F.lit(0)).cast("string")
     )
     return snap.select(
         "date",
         ident(STOCK_POINT_ID, "user_id").alias("store_id"),
-        ident(ERP_SKU, F.lit(SHELF_PRODUCT)).alias("sku_erp"),
+        ident(ERP_SKU, "product").alias("sku_erp"),
         stock.alias("stock"),
     )
 
@@ -304,3 +305,22 @@ def dispatch_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def snapshots_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shelf_snapshots(spark, sf_dir).unionByName(dispatch_snapshots(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ ERP documents
+def snapshot_documents(snapshots: DataFrame) -> DataFrame:
+    """A document for each store and month: as many snapshots as products x days."""
+    row = F.struct(F.date_format("date", "yyyy-MM-dd").alias("date"), "store_id", "sku_erp", "stock")
+    month = F.trunc("date", "MM").alias("month")
+    return snapshots.groupBy("store_id", month).agg(F.collect_list(row).alias("snapshots")).select("snapshots")
+
+
+def single_documents(rows: DataFrame, name: str) -> DataFrame:
+    """A document for each row, with it as the only element of array ``name``."""
+    return rows.select(F.array(F.struct(*rows.columns)).alias(name))
+
+
+def catalog_documents(catalog: DataFrame, size: int = 500) -> DataFrame:
+    """A document for each ``block`` of about ``size`` products, by number."""
+    block = F.floor(F.regexp_extract("sku_erp", "([0-9]+)", 1).cast("long") / size).alias("block")
+    return catalog.groupBy(block).agg(F.collect_list(F.struct(*catalog.columns)).alias("catalog"))

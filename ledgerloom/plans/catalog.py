@@ -10,15 +10,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    DecimalType,
-    DoubleType,
-    IntegerType,
-    StringType,
-    StructField,
-    StructType,
-    TimestampNTZType,
-)
 
 from ..functions.keys import key_from_erp, key_from_handle, key_from_pos
 from ..functions.money import money_out
@@ -28,6 +19,7 @@ from ..operators import marts
 from ..operators.dimensions import calendar, fx_dimension
 from ..operators.facts import POS_RAW, cost_sales, dedup_documents
 from ..operators.keys import mapping_discrepancies
+from ..sources import feeds
 from ..sources import files as src
 from ..sources import lake
 from . import bindings as b
@@ -35,28 +27,6 @@ from .model import RetailModel
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-POS_CSV_SCHEMA = StructType(
-    [
-        StructField("doc_id", StringType(), False),
-        StructField("ts", TimestampNTZType(), False),
-        StructField("store_id", StringType(), False),
-        StructField("sku", StringType(), False),
-        StructField("units", IntegerType(), False),
-        StructField("amount", DecimalType(18, 4), False),
-        StructField("currency", StringType(), False),
-        StructField("doc_type", StringType(), False),
-    ]
-)
-
-SNAPSHOT_DOC_SCHEMA = (
-    "store_id string, snapshots array<struct<date:string, store_id:string, sku_erp:string, stock:string>>"
-)
-CATALOG_DOC_SCHEMA = (
-    "sku_erp string, name string, category string, "
-    "cost_history array<struct<valid_from:string, cost:decimal(18,3), supplier:string>>"
-)
-
-
 def _m(spark: SparkSession, sf_dir: str) -> RetailModel:
     return RetailModel(spark, sf_dir)
 
@@ -80,30 +50,18 @@ def csv_strict_roundtrip(spark, sf_dir):
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
-    df = src.read_csv_strict(spark, path, POS_CSV_SCHEMA)
-    src.assert_required(df, [f.name for f in POS_CSV_SCHEMA.fields])
+    df = feeds.read_sales_csv(spark, path)
     return df.withColumn("amount", F.col("amount").cast("double"))
 
 
-FX_CSV_SCHEMA = StructType(
-    [
-        StructField("date", StringType(), False),
-        StructField("currency", StringType(), False),
-        StructField("rate", DoubleType(), False),
-    ]
-)
-
-
 def fx_csv_dimension(spark, sf_dir):
     """The FX feed as it arrives (text CSV: date as text), read strictly and
     conformed: parsed dates, normalised currencies, identity rate added."""
     m = _m(spark, sf_dir)
     path = lake.scratch_path(spark, "fx-csv")
     text = m.fx_raw.select(F.date_format("date", "yyyy-MM-dd").alias("date"), "currency", "rate")
-    text.write.mode("overwrite").option("header", True).csv(path)
-    raw = src.read_csv_strict(spark, path, FX_CSV_SCHEMA)
-    src.assert_required(raw, ["date", "currency", "rate"])
-    fx = fx_dimension(raw)
+    lake.export_csv(text, path)
+    fx = fx_dimension(feeds.read_fx_csv(spark, path))
     return fx.select("date", "currency", F.col("rate").cast("double").alias("rate"))
 
 
@@ -113,32 +71,42 @@ def parquet_projected(spark, sf_dir):
     )
 
 
+def _erp_table(spark, documents: DataFrame, name: str, multiline: bool = False) -> DataFrame:
+    """One table of ERP documents that were written and read again."""
+    path = lake.scratch_path(spark, f"erp-{name}-json")
+    if multiline:  # one document for each file
+        documents.select("block", F.to_json(F.struct(name)).alias("value")).write.partitionBy("block").text(path)
+    else:
+        documents.write.mode("overwrite").json(path)
+    return src.assert_nonempty(feeds.read_erp_documents(spark, path, multiline)[name], f"ERP {name}")
+
+
+def _costs_out(catalog_table: DataFrame) -> DataFrame:
+    flat = src.explode_array(catalog_table, "cost_history", keep=["sku_erp", "name", "category"])
+    return flat.select("sku_erp", "name", "category", "valid_from", F.col("cost").cast("double").alias("cost"), "supplier")
+
+
 def json_explode_snapshots(spark, sf_dir):
-    """One JSON document per stock point, read back FAILFAST, exploded."""
-    shelf = b.shelf_snapshots(spark, sf_dir).select(
-        F.date_format("date", "yyyy-MM-dd").alias("date"), "store_id", "sku_erp", "stock"
-    )
-    docs = shelf.groupBy("store_id").agg(
-        F.collect_list(F.struct("date", "store_id", "sku_erp", "stock")).alias("snapshots")
-    )
-    path = lake.scratch_path(spark, "erp-snapshots-json")
-    docs.write.mode("overwrite").json(path)
-    doc = src.read_nested_json(spark, path, SNAPSHOT_DOC_SCHEMA, multiline=False)
-    return src.assert_nonempty(src.explode_array(doc, "snapshots"), "ERP snapshots")
+    """One JSON document per store and month, read back FAILFAST, exploded."""
+    return _erp_table(spark, b.snapshot_documents(_m(spark, sf_dir).snapshots_raw), "snapshots")
+
+
+def json_document_stores(spark, sf_dir):
+    return _erp_table(spark, b.single_documents(_m(spark, sf_dir).stores_raw, "stores"), "stores")
+
+
+def json_document_mappings(spark, sf_dir):
+    return _erp_table(spark, b.single_documents(_m(spark, sf_dir).mappings_raw, "mappings"), "mappings")
 
 
 def json_explode_nested_costs(spark, sf_dir):
     """Catalogue documents with a nested cost history, flattened two levels."""
-    path = lake.scratch_path(spark, "erp-catalog-json")
-    b.catalog_raw(spark, sf_dir).write.mode("overwrite").json(path)
-    doc = src.read_nested_json(spark, path, CATALOG_DOC_SCHEMA, multiline=False)
-    flat = src.assert_nonempty(
-        src.explode_array(doc, "cost_history", keep=["sku_erp", "name", "category"]), "ERP cost history"
-    )
-    return flat.select(
-        "sku_erp", "name", "category", "valid_from",
-        F.col("cost").cast("double").alias("cost"), "supplier",
-    )
+    return _costs_out(_erp_table(spark, b.single_documents(_m(spark, sf_dir).catalog_raw, "catalog"), "catalog"))
+
+
+def json_multiline_catalog(spark, sf_dir):
+    """The same from documents that span lines, one file for each block of products."""
+    return _costs_out(_erp_table(spark, b.catalog_documents(_m(spark, sf_dir).catalog_raw), "catalog", multiline=True))
 
 
 def lineage_stamp(spark, sf_dir):
@@ -330,7 +298,7 @@ def quarter_window_bounds(spark, sf_dir):
 # ------------------------------------------------------------------ marts
 def inventory_turnover_topn(spark, sf_dir):
     m = _m(spark, sf_dir)
-    return marts.inventory_turnover(m.costed, m.valued, m.products, m.sales_cutoff)
+    return marts.inventory_turnover(m.sales, m.inventory, m.cost, m.products, m.sales_cutoff)
 
 
 def stockout_streaks(spark, sf_dir):
@@ -370,30 +338,15 @@ def mom_growth_by_channel(spark, sf_dir):
 
 def negative_margin_product(spark, sf_dir):
     m = _m(spark, sf_dir)
-    return marts.negative_margin(m.costed, m.products, m.stores, m.sales_cutoff)[0]
+    return marts.negative_margin(m.sales, m.cost, m.products, m.stores, m.sales_cutoff)[0]
 
 
 def negative_margin_product_store(spark, sf_dir):
     m = _m(spark, sf_dir)
-    return marts.negative_margin(m.costed, m.products, m.stores, m.sales_cutoff)[1]
+    return marts.negative_margin(m.sales, m.cost, m.products, m.stores, m.sales_cutoff)[1]
 
 
 # ------------------------------------------------------------------ checks
-def _all_checks(m: RetailModel) -> list[DataFrame]:
-    growth = marts.growth_by_channel(m.sales, m.sales_cutoff)
-    top = marts.inventory_turnover(m.costed, m.valued, m.products, m.sales_cutoff)
-    return [
-        chk.check_mapping(m.mappings_raw),
-        chk.sales_checks(m.sales, m.products, stores=m.stores),
-        chk.check_document_types(m.pos_raw),
-        chk.check_cost_covered(m.costed),
-        chk.inventory_checks(m.inventory),
-        chk.check_grain_unique(m.readings),
-        chk.check_revenue_positive(growth),
-        chk.check_turnover_valid(top),
-    ]
-
-
 def _one_check(name: str, build: Callable[[RetailModel], DataFrame]) -> Query:
     def q(spark, sf_dir):
         return build(_m(spark, sf_dir)).where(F.col("check") == name)
@@ -402,8 +355,25 @@ def _one_check(name: str, build: Callable[[RetailModel], DataFrame]) -> Query:
 
 
 def quality_report(spark, sf_dir):
+    """All checks of a run. The facts are written once and read back, so each raw feed is
+    conformed once and each fact scanned once for its checks."""
     m = _m(spark, sf_dir)
-    return chk.quality_report(_all_checks(m), m.sales_cutoff)
+    facts = {}
+    for name in ("costed", "inventory"):
+        path = lake.scratch_path(spark, f"report-{name}")
+        lake.write_table(getattr(m, name), path)
+        facts[name] = lake.read_table(spark, path)
+    sales, inventory = facts["costed"], facts["inventory"]
+    checks = [
+        chk.check_mapping(m.mappings_raw),
+        chk.sales_checks(sales, m.products, stores=m.stores),
+        chk.check_document_types(m.pos_raw),
+        chk.inventory_checks(inventory),
+        chk.check_grain_unique(m.readings),
+        chk.check_revenue_positive(marts.growth_by_channel(sales, m.sales_cutoff)),
+        chk.check_turnover_valid(marts.inventory_turnover(sales.drop("cost"), inventory, m.cost, m.products, m.sales_cutoff)),
+    ]
+    return chk.quality_report(checks, m.sales_cutoff)
 
 
 def quality_gate(spark, sf_dir):
@@ -426,6 +396,9 @@ def queries() -> dict[str, Query]:
         "parquet_projected": parquet_projected,
         "json_explode_snapshots": json_explode_snapshots,
         "json_explode_nested_costs": json_explode_nested_costs,
+        "json_document_stores": json_document_stores,
+        "json_document_mappings": json_document_mappings,
+        "json_multiline_catalog": json_multiline_catalog,
         "lineage_stamp": lineage_stamp,
         "partitioned_parquet_roundtrip": partitioned_parquet_roundtrip,
         "csv_export_roundtrip": csv_export_roundtrip,
@@ -476,7 +449,7 @@ def queries() -> dict[str, Query]:
         "check_turnover_valid": _one_check(
             "turnover_valid",
             lambda m: chk.check_turnover_valid(
-                marts.inventory_turnover(m.costed, m.valued, m.products, m.sales_cutoff)
+                marts.inventory_turnover(m.sales, m.inventory, m.cost, m.products, m.sales_cutoff)
             ),
         ),
         "check_orphan_store": _one_check("sales_have_store", lambda m: chk.check_sales_have_store(m.sales, m.stores)),

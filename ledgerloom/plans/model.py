@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import dimensions as dim
 from ..operators import facts as fct
+from ..sources.files import LINEAGE
 from . import bindings as b
 
 
@@ -36,15 +37,15 @@ class RetailModel:
 
     @classmethod
     def from_bronze(
-        cls, spark: SparkSession, bronze: dict[str, DataFrame], anchors: b.Anchors, fx_span=None, **kw
+        cls, spark: SparkSession, bronze: dict[str, DataFrame], anchors: b.Anchors, fx_rows: int | None = None, **kw
     ) -> "RetailModel":
-        """A model whose raw feeds are given (e.g. read back from a bronze layer).
-        ``fx_span``: date span the given FX feed covers (default: the anchors)."""
+        """A model whose raw feeds are given (e.g. read back from a bronze layer); stock
+        as ``snapshots_raw`` or as ``shelf_raw`` and ``dispatch_raw``. ``fx_rows``: a proven
+        bound of the rate dimension, if there is one."""
         m = cls(spark, sf_dir="", anchors=anchors, **kw)
-        for name in cls.BRONZE:
-            m.__dict__[name] = bronze[name]
-        if fx_span is not None:
-            m.__dict__["_fx_span"] = tuple(fx_span)
+        for name, df in bronze.items():
+            m.__dict__[name] = df.drop(*LINEAGE)
+        m.__dict__["fx_rows"] = fx_rows
         return m
 
     # ------------------------------------------------------------ anchors
@@ -82,7 +83,7 @@ class RetailModel:
 
     @cached_property
     def fx_raw(self) -> DataFrame:
-        return b.fx_raw(self.spark, *self._sales_span)
+        return b.fx_raw(self.spark, self.sf_dir)
 
     @cached_property
     def catalog_raw(self) -> DataFrame:
@@ -125,9 +126,9 @@ class RetailModel:
     def cost(self) -> DataFrame:
         return dim.cost_dimension(self.catalog_raw)
 
-    @property
-    def fx_rows(self) -> int:
-        return b.fx_rows_bound(*self.__dict__.get("_fx_span", self._sales_span))
+    @cached_property
+    def fx_rows(self) -> int | None:
+        return b.fx_rows_bound(*self._sales_span)
 
     @cached_property
     def pos(self) -> DataFrame:

@@ -53,6 +53,10 @@ def money(x: str) -> str:
 
 ERP_SKU = "printf('ERP-PROV-MX-%03d-A', {})"
 
+_MARGIN = f"""{money('sum(amount)')} AS revenue, {money('sum(cost_total)')} AS cogs, {money('sum(margin)')} AS margin,
+    CAST(sum(units) AS BIGINT) AS units, count(*) AS lines, count(*) FILTER (cost IS NULL) AS lines_without_cost,
+    count(*) FILTER (amount IS NULL) AS lines_without_rate"""
+
 CTES: dict[str, str] = {
     "ccy": """
         SELECT n_nationkey AS nationkey, n_name AS nation, r_name AS region,
@@ -75,24 +79,15 @@ CTES: dict[str, str] = {
                     WHEN l_returnflag = 'R' AND l_linestatus = 'O' THEN 'P' END AS doc_type
         FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey
              LEFT JOIN ccy k ON s_nationkey = k.nationkey""",
-    "lead_line": """
-        SELECT l_orderkey, l_partkey, l_quantity FROM (
-            SELECT l_orderkey, l_partkey, l_quantity,
-                   row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_quantity) AS rn
-            FROM lineitem) WHERE rn = 1""",
     "online_raw": """
-        SELECT 'W' || CAST(o_orderkey AS VARCHAR) AS order_id, o_orderdate AS ts,
-               CASE WHEN ll.l_partkey IS NOT NULL THEN printf('item-%03d', ll.l_partkey) END AS handle,
-               CAST(ll.l_quantity AS INTEGER) AS units,
-               CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DECIMAL(18,4)) AS amount,
+        SELECT 'W' || CAST(o_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS order_id, o_orderdate AS ts,
+               printf('item-%03d', l_partkey) AS handle,
+               CAST(l_quantity AS INTEGER) AS units,
+               CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,4)) AS amount,
                k.currency
-        FROM orders LEFT JOIN lead_line ll ON o_orderkey = ll.l_orderkey
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
              LEFT JOIN customer ON o_custkey = c_custkey
              LEFT JOIN ccy k ON c_nationkey = k.nationkey""",
-    "span": """
-        SELECT min(d) AS lo, max(d) AS hi FROM (
-            SELECT CAST(l_shipdate AS DATE) AS d FROM lineitem
-            UNION ALL SELECT CAST(o_orderdate AS DATE) FROM orders)""",
     "cutoffs": """
         SELECT max(d) AS sales_cutoff FROM (
             SELECT CAST(ts AS DATE) AS d FROM pos_raw
@@ -102,25 +97,33 @@ CTES: dict[str, str] = {
                CAST(date_trunc('month', sales_cutoff) - INTERVAL 5 MONTH AS DATE) AS s6,
                CAST(date_trunc('month', sales_cutoff) - INTERVAL 11 MONTH AS DATE) AS s12
         FROM cutoffs""",
-    "fx_days": """
-        SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date
-        FROM span""",
-    "fx_raw": """
-        SELECT date, 'USD' AS currency, (170 + dayofyear(date) % 10) / 10.0 AS rate
-        FROM fx_days WHERE dayofweek(date) <> 0
+    "fx_months": """
+        SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, o_orderstatus AS status,
+               sum(CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT)) % 100 AS usd, count(*) % 100 AS eur
+        FROM orders WHERE o_orderdate IS NOT NULL GROUP BY ALL""",
+    "fx_quotes": """
+        SELECT month, CASE status WHEN 'O' THEN ' USD ' ELSE 'USD' END AS currency, 17 + usd / 100.0 AS rate FROM fx_months
         UNION ALL
-        SELECT date, 'EUR' AS currency, (200 + dayofyear(date) % 7) / 10.0 AS rate
-        FROM fx_days WHERE dayofweek(date) <> 0""",
+        SELECT month, CASE status WHEN 'O' THEN ' eur ' ELSE 'eur' END AS currency, 20 + eur / 100.0 AS rate FROM fx_months""",
+    "fx_raw": """
+        SELECT * FROM (
+            SELECT CAST(unnest(generate_series(CAST(month AS TIMESTAMP), CAST(last_day(month) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date,
+                   currency, rate
+            FROM fx_quotes)
+        WHERE dayofweek(date) <> 0""",
+    "fx_rates": """
+        SELECT date, upper(trim(currency)) AS currency, min(CAST(rate AS DECIMAL(9,4))) AS rate FROM fx_raw
+        GROUP BY date, upper(trim(currency))""",
     "fx": """
-        SELECT date, currency, CAST(rate AS DECIMAL(9,4)) AS rate FROM fx_raw
+        SELECT date, currency, rate FROM fx_rates
         UNION ALL
-        SELECT DISTINCT date, 'MXN' AS currency, CAST(1 AS DECIMAL(9,4)) AS rate FROM fx_raw""",
+        SELECT DISTINCT date, 'MXN' AS currency, CAST(1 AS DECIMAL(9,4)) AS rate FROM fx_rates""",
     "pos_dedup": """
         SELECT doc_id, ts, store_id, sku, units, amount, currency, doc_type FROM (
             SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY ts NULLS FIRST, store_id NULLS FIRST,
                    sku NULLS FIRST, units NULLS FIRST, amount NULLS FIRST, currency NULLS FIRST,
                    doc_type NULLS FIRST) AS rn
-            FROM pos_raw) WHERE rn = 1""",
+            FROM pos_raw) WHERE rn = 1 OR doc_id IS NULL""",
     "pos_base": f"""
         SELECT doc_id, ts AS local_ts, CAST(ts AS DATE) AS date, store_id,
                {key_pos('sku')} AS product_key, doc_type,
@@ -137,7 +140,7 @@ CTES: dict[str, str] = {
         SELECT order_id, ts, handle, units, amount, currency FROM (
             SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY ts NULLS FIRST, handle NULLS FIRST,
                    units NULLS FIRST, amount NULLS FIRST, currency NULLS FIRST) AS rn
-            FROM online_raw) WHERE rn = 1""",
+            FROM online_raw) WHERE rn = 1 OR order_id IS NULL""",
     "online_fact": f"""
         SELECT o.order_id AS doc_id, 'online' AS channel, CAST(o.ts AS DATE) AS date, o.ts AS local_ts,
                'ONLINE' AS store_id, {key_handle('o.handle')} AS product_key, 'WEB' AS doc_type,
@@ -175,11 +178,11 @@ CTES: dict[str, str] = {
             FROM (SELECT {ERP_SKU.format('p_partkey')} AS sku_erp, p_name AS name, p_type AS category FROM part))
         WHERE rn = 1 AND product_key IS NOT NULL""",
     "mappings_raw": f"""
-        SELECT printf('CN-%05d', p_partkey) AS sku_pos,
+        SELECT CASE WHEN p_size < 48 THEN printf('CN-%05d', p_partkey) END AS sku_pos,
                CASE WHEN p_size > 2 THEN {ERP_SKU.format('p_partkey')} END AS sku_erp,
                lower(regexp_replace(trim(p_name), ' +', '-', 'g')) || '-' ||
                    printf('%03d', CASE WHEN p_brand = 'Brand#7' THEN CAST(p_size AS BIGINT) ELSE p_partkey END) AS handle
-        FROM part WHERE p_size < 48""",
+        FROM part""",
     "aliases": f"""
         SELECT product_key, sku_pos_mapped, handle FROM (
             SELECT {key_pos('sku_pos')} AS product_key, sku_pos AS sku_pos_mapped, handle,
@@ -211,18 +214,19 @@ CTES: dict[str, str] = {
                                          timezone NULLS FIRST) AS rn
             FROM stores_raw) WHERE rn = 1
         UNION ALL SELECT 'ONLINE', 'N/A', 'digital', 'America/Mexico_City', 'online'""",
-    "ev": "SELECT user_id, CAST(ts AS DATE) AS date, event_type FROM events",
+    "ev": "SELECT user_id, event_id % 3 + 1 AS product, CAST(ts AS DATE) AS date, event_type FROM events",
     "ev_daily": """
-        SELECT user_id, date, max(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS errors,
+        SELECT user_id, product, date, max(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS errors,
                sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS purchases
-        FROM ev GROUP BY user_id, date""",
+        FROM ev GROUP BY user_id, product, date""",
     "ev_grid": """
-        SELECT user_id, CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date
-        FROM (SELECT user_id, min(date) AS lo, max(date) AS hi FROM ev GROUP BY user_id)""",
-    "shelf_raw": """
-        SELECT g.date, printf('U%04d', g.user_id) AS store_id, 'ERP-PROV-MX-001-A' AS sku_erp,
+        SELECT user_id, product,
+               CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date
+        FROM (SELECT user_id, product, min(date) AS lo, max(date) AS hi FROM ev GROUP BY user_id, product)""",
+    "shelf_raw": f"""
+        SELECT g.date, printf('U%04d', g.user_id) AS store_id, {ERP_SKU.format('g.product')} AS sku_erp,
                CASE WHEN d.errors = 1 THEN 'N/A' ELSE CAST(coalesce(d.purchases, 0) AS VARCHAR) END AS stock
-        FROM ev_grid g LEFT JOIN ev_daily d ON g.user_id = d.user_id AND g.date = d.date""",
+        FROM ev_grid g LEFT JOIN ev_daily d ON g.user_id = d.user_id AND g.product = d.product AND g.date = d.date""",
     "dispatch_raw": f"""
         SELECT CAST(l_shipdate AS DATE) AS date, printf('T%04d', l_suppkey) AS store_id,
                {ERP_SKU.format('l_partkey')} AS sku_erp,
@@ -238,7 +242,7 @@ CTES: dict[str, str] = {
         SELECT date, store_id, product_key, units, reading_valid FROM (
             SELECT *, row_number() OVER (PARTITION BY date, store_id, product_key
                                          ORDER BY (NOT reading_valid), units NULLS FIRST) AS rn
-            FROM readings) WHERE rn = 1""",
+            FROM readings) WHERE rn = 1 OR date IS NULL OR store_id IS NULL OR product_key IS NULL""",
     "valued": """
         SELECT i.date, i.store_id, i.product_key, i.units, i.reading_valid, c.cost,
                CAST(i.units * c.cost AS DECIMAL(28,8)) AS value
@@ -290,8 +294,8 @@ CTES: dict[str, str] = {
         SELECT store_id, product_key, date, day - row_number() OVER (PARTITION BY store_id, product_key ORDER BY date) AS isl
         FROM period WHERE reading_valid AND units = 0""",
     "ordv": """
-        SELECT *, CASE WHEN reading_valid THEN row_number() OVER (PARTITION BY store_id, product_key
-                                                                 ORDER BY reading_valid DESC, date) END AS valid_axis
+        SELECT *, count(CASE WHEN reading_valid THEN 1 END) OVER (
+                      PARTITION BY store_id, product_key ORDER BY date ROWS UNBOUNDED PRECEDING) AS valid_axis
         FROM period""",
     "isl_bridged": """
         SELECT store_id, product_key, date, valid_axis - row_number() OVER (PARTITION BY store_id, product_key ORDER BY date) AS isl
@@ -330,29 +334,22 @@ CTES: dict[str, str] = {
     # ---------------------------------------------------------------- margin
     "m_base": "SELECT costed.* FROM costed, win WHERE is_revenue AND date >= s12 AND date <= c",
     "m_product": f"""
-        SELECT product_key, revenue, cogs, margin, units,
-               {rhu(div('CAST(100 AS DOUBLE) * margin', 'revenue'), 2)} AS margin_pct
-        FROM (SELECT product_key, {money('sum(amount)')} AS revenue, {money('sum(cost_total)')} AS cogs,
-                     {money('sum(margin)')} AS margin, CAST(sum(units) AS BIGINT) AS units
-              FROM m_base GROUP BY product_key)
+        SELECT *, {rhu(div('CAST(100 AS DOUBLE) * margin', 'revenue'), 2)} AS margin_pct
+        FROM (SELECT product_key, {_MARGIN} FROM m_base GROUP BY product_key)
         WHERE margin < 0""",
     "m_fine": f"""
-        SELECT product_key, store_id, channel, revenue, cogs, margin, units,
-               {rhu(div('CAST(100 AS DOUBLE) * margin', 'revenue'), 2)} AS margin_pct
-        FROM (SELECT product_key, store_id, channel, {money('sum(amount)')} AS revenue,
-                     {money('sum(cost_total)')} AS cogs, {money('sum(margin)')} AS margin,
-                     CAST(sum(units) AS BIGINT) AS units
-              FROM m_base GROUP BY product_key, store_id, channel)""",
+        SELECT *, {rhu(div('CAST(100 AS DOUBLE) * margin', 'revenue'), 2)} AS margin_pct
+        FROM (SELECT product_key, store_id, channel, {_MARGIN} FROM m_base GROUP BY product_key, store_id, channel)""",
 }
 
 
-def _check(name: str, severity: str, failed: str, total: str, limit: float, source: str) -> str:
+def _check(name: str, severity: str, failed: str, total: str, limit: float, source: str, what: str) -> str:
     return f"""
         SELECT '{name}' AS "check", '{severity}' AS severity,
                f * 100 <= CAST({limit} AS DECIMAL(9,4)) * t AS ok,
                f AS failed, t AS total,
                coalesce({rhu(div('f * 100', 't'), 4)}, 0.0) AS pct,
-               CAST({limit} AS DOUBLE) AS limit_pct
+               CAST({limit} AS DOUBLE) AS limit_pct, f || ' of ' || t || ' {what}' AS detail
         FROM (SELECT CAST(coalesce({failed}, 0) AS BIGINT) AS f, CAST(coalesce({total}, 0) AS BIGINT) AS t FROM {source})"""
 
 
@@ -360,48 +357,56 @@ _SALES_SRC = "(SELECT s.*, k.product_key IS NOT NULL AS known FROM sales s LEFT
 
 CHECKS = {
     "check_mapping": _check(
-        "mapping_consistent", "error", "sum(CASE WHEN discrepant THEN 1 ELSE 0 END)", "count(*)", 0.0, "mapping_flags"
+        "mapping_consistent", "error", "sum(CASE WHEN discrepant THEN 1 ELSE 0 END)", "count(*)", 0.0, "mapping_flags",
+        "mapping rows contradict the derived key",
     ),
     "check_orphan_sales": _check(
-        "sales_have_product", "error", "sum(CASE WHEN NOT known THEN 1 ELSE 0 END)", "count(*)", 0.5, _SALES_SRC
+        "sales_have_product", "error", "sum(CASE WHEN NOT known THEN 1 ELSE 0 END)", "count(*)", 0.5, _SALES_SRC,
+        "lines have no catalogue product",
     ),
     "check_missing_fx": _check(
-        "amounts_converted", "error", "sum(CASE WHEN amount IS NULL THEN 1 ELSE 0 END)", "count(*)", 0.0, _SALES_SRC
+        "amounts_converted", "error", "sum(CASE WHEN amount IS NULL THEN 1 ELSE 0 END)", "count(*)", 0.0, _SALES_SRC,
+        "lines have no rate",
     ),
     "check_sign": _check(
         "sign_coherent", "error",
         "sum(CASE WHEN (units > 0 AND amount < 0) OR (units < 0 AND amount > 0) THEN 1 ELSE 0 END)",
-        "count(*)", 0.0, "sales",
+        "count(*)", 0.0, "sales", "lines have units and amount of opposite sign",
     ),
     "check_orphan_store": _check(
         "sales_have_store", "error", "sum(CASE WHEN k.store_id IS NULL THEN 1 ELSE 0 END)", "count(*)", 0.0,
         "sales s LEFT JOIN (SELECT DISTINCT store_id FROM stores) k ON s.store_id = k.store_id",
+        "lines have no known store",
     ),
     "check_unknown_doc_types": _check(
         "document_types_known", "warning",
         "sum(CASE WHEN doc_type IS NULL OR doc_type NOT IN ('I', 'E', 'P', 'T', 'N') THEN 1 ELSE 0 END)",
-        "count(*)", 0.0, "pos_raw",
+        "count(*)", 0.0, "pos_raw", "documents have an unknown type",
     ),
     "check_cost_covered": _check(
-        "cost_covered", "warning", "sum(CASE WHEN product_key IS NOT NULL AND cost IS NULL THEN 1 ELSE 0 END)",
-        "count(*)", 0.0, "(SELECT * FROM costed WHERE is_revenue)",
+        "cost_covered", "warning", "sum(CASE WHEN is_revenue AND product_key IS NOT NULL AND cost IS NULL THEN 1 ELSE 0 END)",
+        "count(*)", 0.0, "costed", "lines have no cost on their day",
     ),
     "check_invalid_readings": _check(
-        "readings_valid", "warning", "sum(CASE WHEN NOT reading_valid THEN 1 ELSE 0 END)", "count(*)", 5.0, "inventory"
+        "readings_valid", "warning", "sum(CASE WHEN NOT reading_valid THEN 1 ELSE 0 END)", "count(*)", 5.0, "inventory",
+        "readings are unknown",
     ),
     "check_grain_unique": _check(
         "grain_unique", "error", "sum(CASE WHEN n > 1 THEN 1 ELSE 0 END)", "count(*)", 0.0,
         "(SELECT date, store_id, product_key, count(*) AS n FROM readings GROUP BY date, store_id, product_key)",
+        "grain keys repeat",
     ),
     "check_non_negative": _check(
-        "stock_not_negative", "error", "sum(CASE WHEN units < 0 THEN 1 ELSE 0 END)", "count(*)", 0.0, "inventory"
+        "stock_not_negative", "error", "sum(CASE WHEN units < 0 THEN 1 ELSE 0 END)", "count(*)", 0.0, "inventory",
+        "readings are below zero",
     ),
     "check_revenue_positive": _check(
-        "monthly_revenue_positive", "error", "sum(CASE WHEN revenue <= 0 THEN 1 ELSE 0 END)", "count(*)", 0.0, "growth"
+        "monthly_revenue_positive", "error", "sum(CASE WHEN revenue <= 0 THEN 1 ELSE 0 END)", "count(*)", 0.0, "growth",
+        "channel-months have no revenue",
     ),
     "check_turnover_valid": _check(
         "turnover_valid", "error", "sum(CASE WHEN turnover IS NULL OR turnover <= 0 THEN 1 ELSE 0 END)", "count(*)",
-        0.0, "turnover_top",
+        0.0, "turnover_top", "products have no turnover",
     ),
 }
 
@@ -418,7 +423,10 @@ FINAL: dict[str, str] = {
     "csv_strict_roundtrip": "SELECT doc_id, ts, store_id, sku, units, CAST(amount AS DOUBLE) AS amount, currency, doc_type FROM pos_raw",
     "fx_csv_dimension": "SELECT date, currency, CAST(rate AS DOUBLE) AS rate FROM fx",
     "parquet_projected": "SELECT c_custkey, c_nationkey, c_mktsegment FROM customer",
-    "json_explode_snapshots": "SELECT strftime(date, '%Y-%m-%d') AS date, store_id, sku_erp, stock FROM shelf_raw",
+    "json_explode_snapshots": "SELECT strftime(date, '%Y-%m-%d') AS date, store_id, sku_erp, stock FROM snapshots_raw",
+    "json_document_stores": "SELECT store_id, city, region, timezone FROM stores_raw",
+    "json_document_mappings": "SELECT sku_pos, sku_erp, handle FROM mappings_raw",
+    "json_multiline_catalog": "SELECT sku_erp, name, category, valid_from, CAST(cost AS DOUBLE) AS cost, supplier FROM catalog_versions",
     "json_explode_nested_costs": "SELECT sku_erp, name, category, valid_from, CAST(cost AS DOUBLE) AS cost, supplier FROM catalog_versions",
     "lineage_stamp": "SELECT doc_id, store_id, sku, 'pos:lineitem' AS _source FROM pos_raw",
     "partitioned_parquet_roundtrip": f"""
@@ -516,11 +524,13 @@ FINAL: dict[str, str] = {
             GROUP BY scenario) r ON v.scenario = r.scenario""",
     "mom_growth_by_channel": "SELECT * FROM growth",
     "negative_margin_product": """
-        SELECT m.product_key, p.sku_pos, p.sku_erp, p.name, p.category, m.units, m.revenue, m.cogs, m.margin, m.margin_pct
+        SELECT m.product_key, p.sku_pos, p.sku_erp, p.name, p.category, m.units, m.revenue, m.cogs, m.margin, m.margin_pct,
+               m.lines, m.lines_without_cost, m.lines_without_rate
         FROM m_product m JOIN products p ON m.product_key = p.product_key""",
     "negative_margin_product_store": """
         SELECT f.product_key, p.sku_pos, p.name, p.category, f.store_id, s.city, s.region, f.channel,
-               f.units, f.revenue, f.cogs, f.margin, f.margin_pct
+               f.units, f.revenue, f.cogs, f.margin, f.margin_pct,
+               f.lines, f.lines_without_cost, f.lines_without_rate
         FROM m_fine f JOIN products p ON f.product_key = p.product_key
              JOIN stores s ON f.store_id = s.store_id
         WHERE f.margin < 0 OR f.product_key IN (SELECT product_key FROM m_product)""",
@@ -528,7 +538,8 @@ FINAL: dict[str, str] = {
     "quality_report": "SELECT * FROM quality_report",
     "quality_gate": "SELECT * FROM quality_report WHERE NOT ok AND severity = 'error'",
     "layered_negative_margin_product": """
-        SELECT m.product_key, p.sku_pos, p.sku_erp, p.name, p.category, m.units, m.revenue, m.cogs, m.margin, m.margin_pct
+        SELECT m.product_key, p.sku_pos, p.sku_erp, p.name, p.category, m.units, m.revenue, m.cogs, m.margin, m.margin_pct,
+               m.lines, m.lines_without_cost, m.lines_without_rate
         FROM m_product m JOIN products p ON m.product_key = p.product_key""",
 }
 

@@ -9,16 +9,23 @@ from .files import (
     read_parquet_projected,
     stamp_lineage,
 )
-from .lake import export_csv, read_table, scratch_path, write_table
+from .feeds import FeedPaths, read_erp_documents, read_feeds, read_fx_csv, read_sales_csv
+from .lake import clear_scratch, export_csv, read_table, scratch_path, write_table
 
 __all__ = [
+    "FeedPaths",
     "assert_nonempty",
     "assert_required",
+    "clear_scratch",
     "explode_array",
     "export_csv",
     "read_csv_strict",
+    "read_erp_documents",
+    "read_feeds",
+    "read_fx_csv",
     "read_nested_json",
     "read_parquet_projected",
+    "read_sales_csv",
     "read_table",
     "scratch_path",
     "stamp_lineage",

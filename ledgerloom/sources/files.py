@@ -19,6 +19,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+#: Columns that ``stamp_lineage`` adds.
+LINEAGE = ("_source", "_ingested_at")
+
+
 def read_csv_strict(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     return spark.read.option("header", True).option("mode", "FAILFAST").schema(schema).csv(path)
 

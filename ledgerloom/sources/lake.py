@@ -3,42 +3,80 @@ downstream plans start from a short lineage and get pushdown / pruning.
 
 Scratch space comes from the session's ``spark.checkpoint.dir`` (a shared
 folder on a cluster). Only when nothing is configured, as in local tests, a
-private temporary folder is set for the session.
+private temporary folder is set for the session. Scratch belongs to the
+application that made it: ``clear_scratch`` removes all of it, which also happens
+when the process ends in good order.
 """
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+_owned: set[str] = set()
+
 
 def _checkpoint_dir(spark: SparkSession) -> str:
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
     try:
         sc = spark.sparkContext
-    except Exception as e:  # e.g. a remote (Connect) session: no context to ask
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder for scratch tables") from e
-    current = sc.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    if not sc.master.startswith("local"):
-        raise RuntimeError(
-            "set spark.checkpoint.dir to a shared folder: scratch tables must survive executor loss"
-        )
+    except Exception:  # a remote (Connect) session: no context to ask
+        sc = None
+    local = sc is not None and sc.master.startswith("local") and not sc.master.startswith("local-cluster")
+    configured = spark.conf.get("spark.checkpoint.dir", None) or (sc and sc.getCheckpointDir())
+    if configured:
+        return configured.rstrip("/")
+    if not local:
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder: scratch tables must survive executor loss")
     # unset in a local session (tests): a private folder on this machine is fine
-    local = tempfile.mkdtemp(prefix="ledgerloom-ckpt-")
-    sc.setCheckpointDir(local)
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerloom-ckpt-"))
     return sc.getCheckpointDir().rstrip("/")
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{_checkpoint_dir(spark)}/ledgerloom/{spark.conf.get('spark.app.id', 'app')}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the session's checkpoint directory."""
-    return f"{_checkpoint_dir(spark)}/ledgerloom/{name}-{uuid.uuid4().hex[:12]}"
+    root = _scratch_root(spark)
+    if root not in _owned:
+        _owned.add(root)
+        atexit.register(_clear_at_exit, spark)
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Removes every scratch table of this application; frames that read them end with it."""
+    remove(spark, _scratch_root(spark))
+
+
+def _clear_at_exit(spark: SparkSession) -> None:
+    with contextlib.suppress(Exception):  # the session may have ended before
+        clear_scratch(spark)
+
+
+def _path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    p, fs = _path(spark, path)
+    fs.delete(p, True)
+
+
+def publish(spark: SparkSession, staged: str, final: str) -> None:
+    """Moves a finished table to its place; what was there before is replaced."""
+    (src, fs), (dst, _) = _path(spark, staged), _path(spark, final)
+    fs.mkdirs(dst.getParent())
+    fs.delete(dst, True)
+    if not fs.rename(src, dst):
+        raise OSError(f"cannot move {staged} to {final}")
 
 
 def write_table(

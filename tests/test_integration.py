@@ -46,32 +46,25 @@ def test_asof_cost_matches_merge_asof(spark, sf_small):
 
 
 def test_breaks_scenario_matches_python_scan(spark, sf_small):
-    m = RetailModel(spark, sf_small)
-    cutoff = m.stock_cutoff
+    cutoff = RetailModel(spark, sf_small).stock_cutoff
     q_start = date(cutoff.year, 3 * ((cutoff.month - 1) // 3) + 1, 1)
-    ev = pd.read_parquet(f"{sf_small}/events.parquet", columns=["user_id", "ts", "event_type"])
-    ev["date"] = ev["ts"].dt.date
-    daily = ev.groupby(["user_id", "date"]).agg(
-        errors=("event_type", lambda s: (s == "error").any()),
-        purchases=("event_type", lambda s: int((s == "purchase").sum())),
-    )
-    expected = []
-    for user, g in daily.groupby(level="user_id"):
-        g = g.droplevel("user_id")
-        day, last = min(g.index), max(g.index)
-        run = 0
+    ev = pd.read_parquet(f"{sf_small}/events.parquet", columns=["event_id", "user_id", "ts", "event_type"])
+    ev["date"], ev["product"] = ev["ts"].dt.date, ev["event_id"] % 3 + 1
+    expected, products = [], set()
+    for (user, product), g in ev.groupby(["user_id", "product"]):
+        sold = g[g["event_type"] == "purchase"].groupby("date").size()
+        failed = set(g.loc[g["event_type"] == "error", "date"])
+        day, last, run = g["date"].min(), g["date"].max(), 0
         while day <= last + timedelta(days=1):
-            zero = False
-            if day <= last and q_start <= day <= cutoff:
-                row = g.loc[day] if day in g.index else None
-                zero = row is None or (not row["errors"] and row["purchases"] == 0)
-            if zero:
+            inside = day <= last and q_start <= day <= cutoff
+            if inside and day not in failed and sold.get(day, 0) == 0:
                 run += 1
             else:
                 if run > 3:
-                    expected.append((f"U{user:04d}", run))
+                    expected.append((f"U{user:04d}", product, run))
+                    products.add(product)
                 run = 0
             day += timedelta(days=1)
-    got = sorted((r["store_id"], r["days"]) for r in queries()["streaks_unknown_breaks"](spark, sf_small).collect())
+    got = sorted((r["store_id"], r["product_key"], r["days"]) for r in queries()["streaks_unknown_breaks"](spark, sf_small).collect())
     assert got == sorted(expected)
-    assert got, "fixture should contain at least one long run"
+    assert len(products) > 1, "fixture should contain long runs of several products"

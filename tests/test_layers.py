@@ -1,50 +1,111 @@
-"""Layered run on the smallest benchmark tables."""
+"""Layered run on the smallest benchmark tables and on raw files."""
 
 from __future__ import annotations
 
+from datetime import date
+
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerloom.operators.checks import QualityError
+from ledgerloom.plans import bindings as b
 from ledgerloom.plans.layers import run_layers
+from ledgerloom.plans.model import RetailModel
+from ledgerloom.sources import FeedPaths, lake
+
 
+@pytest.fixture(scope="module")
+def full(spark, sf_small, tmp_path_factory):
+    root = tmp_path_factory.mktemp("full") / "lake"
+    return root, run_layers(spark, sf_small, str(root), stop_on_error=False)
 
-def test_full_run_writes_every_layer_and_report(spark, sf_small, tmp_path):
-    r = run_layers(spark, sf_small, str(tmp_path / "lake"), stop_on_error=False)
+
+def test_full_run_writes_every_layer_and_report(spark, full):
+    root, r = full
     for name in ("pos_raw", "fx_raw", "fct_sales", "fct_inventory", "negative_margin_product", "stockout_sensitivity"):
-        assert name in r.tables
-    assert len(r.report) == 12
-    assert (tmp_path / "lake" / "reports" / "quality").is_dir()
+        assert name in r.tables and r.tables[name].count() >= 0
+    assert len(r.report) == 12 and all(x["detail"] for x in r.report)
+    saved = spark.read.json(str(root / "reports" / "quality"))
+    assert {x["check"] for x in saved.collect()} == {x["check"] for x in r.report}
     # facts are partitioned by month
-    assert any(p.name.startswith("month=") for p in (tmp_path / "lake" / "silver" / "fct_sales").iterdir())
+    assert any(p.name.startswith("month=") for p in (root / "silver" / "fct_sales").iterdir())
     assert r.tables["stockout_sensitivity"].count() == 3
+    assert not list((root / "_staging").iterdir())
+
+
+def test_bronze_carries_lineage(full):
+    _, r = full
+    for name in RetailModel.BRONZE:
+        assert [x[0] for x in r.tables[name].select("_source").distinct().collect()] == [f"tables:{name}"]
+        assert r.tables[name].where(F.col("_ingested_at").isNull()).count() == 0
+    assert not {"_source", "_ingested_at"} & set(r.tables["fct_sales"].columns)
+
 
+def test_failed_error_check_leaves_what_was_published(spark, sf_small, full):
+    """D22: the report is there, and silver and gold are those of the run before."""
+    root, before = full
+    files = {p: p.stat().st_mtime_ns for layer in ("silver", "gold") for p in (root / layer).rglob("*.parquet")}
+    (root / "reports" / "quality" / "_SUCCESS").unlink()
+    with pytest.raises(QualityError, match="mapping_consistent"):
+        run_layers(spark, sf_small, str(root), stop_on_error=True)
+    assert {p: p.stat().st_mtime_ns for layer in ("silver", "gold") for p in (root / layer).rglob("*.parquet")} == files
+    assert (root / "reports" / "quality" / "_SUCCESS").is_file()
+    assert not list((root / "_staging").iterdir())
+    assert before.tables["negative_margin_product"].count() >= 0
 
-def test_failed_error_check_stops_after_writing_report(spark, sf_small, tmp_path):
-    """D22: the report is published first, then the run stops before gold."""
-    lake = tmp_path / "lake"
+
+def test_a_first_failed_run_publishes_nothing(spark, sf_small, tmp_path):
     with pytest.raises(QualityError):
-        run_layers(spark, sf_small, str(lake), stop_on_error=True)
-    assert (lake / "reports" / "quality").is_dir()
-    assert not (lake / "gold").exists()
+        run_layers(spark, sf_small, str(tmp_path / "lake"))
+    assert (tmp_path / "lake" / "reports" / "quality").is_dir()
+    assert not (tmp_path / "lake" / "silver").exists() and not (tmp_path / "lake" / "gold").exists()
+
+
+def test_fixed_cutoffs_move_windows_not_rates(spark, sf_small, full, tmp_path):
+    root, free = full
+    fixed = run_layers(
+        spark, sf_small, str(tmp_path / "b"), stop_on_error=False, cutoff=date(2001, 6, 30), stock_cutoff=free.stock_cutoff.replace(day=1)
+    )
+    assert (fixed.cutoff, fixed.stock_cutoff) == (date(2001, 6, 30), free.stock_cutoff.replace(day=1))
+    assert fixed.tables["fx_raw"].count() == spark.read.parquet(str(root / "bronze" / "fx_raw")).count()
+    missing = {r["check"]: r["failed"] for r in free.report}["amounts_converted"]
+    assert {r["check"]: r["failed"] for r in fixed.report}["amounts_converted"] == missing
+    assert fixed.tables["stockout_detail"].agg(F.max("stockout_end")).first()[0] <= fixed.stock_cutoff
+
+
+@pytest.fixture(scope="module")
+def files(spark, sf_small, tmp_path_factory):
+    """The feeds as files: CSV, Parquet, and ERP documents as JSON Lines."""
+    root, m = tmp_path_factory.mktemp("feeds"), RetailModel(spark, sf_small)
+    lake.export_csv(m.pos_raw, str(root / "sales"))
+    lake.export_csv(m.fx_raw.withColumn("date", F.col("date").cast("string")), str(root / "fx"))
+    m.online_raw.withColumn("email", F.lit("private")).write.parquet(str(root / "orders"))
+    docs = b.snapshot_documents(m.snapshots_raw)
+    for name, rows in (("stores", m.stores_raw), ("mappings", m.mappings_raw), ("catalog", m.catalog_raw)):
+        docs = docs.unionByName(b.single_documents(rows, name), allowMissingColumns=True)
+    docs.write.json(str(root / "erp"))
+    return FeedPaths(*(str(root / n) for n in ("sales", "fx", "orders", "erp")), erp_multiline=False)
 
 
-def test_run_until_bronze(spark, sf_small, tmp_path):
-    from ledgerloom.plans.bindings import resolve_anchors
+def test_raw_files_give_the_same_marts(spark, full, files, tmp_path):
+    _, tables = full
+    shelf = tables.stock_cutoff  # the files do not tell shelf and dispatch counts apart
+    r = run_layers(spark, lake_dir=str(tmp_path / "lake"), stop_on_error=False, stock_cutoff=shelf, feeds=files)
+    assert r.cutoff == tables.cutoff
+    for name in ("negative_margin_product", "negative_margin_product_store", "growth_by_channel", "turnover_top", "stockout_detail", "zero_days_by_store"):
+        assert sorted(map(str, r.tables[name].collect())) == sorted(map(str, tables.tables[name].collect())), name
+    assert "email" not in r.tables["online_raw"].columns
+    assert all("_source" in r.tables[n].columns for n in ("pos_raw", "fx_raw", "online_raw", "stores_raw", "mappings_raw", "catalog_raw", "snapshots_raw"))
 
-    r = run_layers(spark, sf_small, str(tmp_path / "lake"), until="bronze")
-    # anchors observed during the bronze writes equal the ones an aggregate job computes
-    a = resolve_anchors(spark, sf_small)
-    assert (r.cutoff, r.stock_cutoff) == (a.sales_cutoff, a.stock_cutoff)
-    assert set(r.tables) >= {"pos_raw", "online_raw", "fx_raw", "shelf_raw"}
-    assert not (tmp_path / "lake" / "silver").exists()
 
+def test_files_with_missing_values_are_refused(spark, files, tmp_path):
+    (tmp_path / "fx.csv").write_text("date,currency,rate\n2001-01-01,,17\n")
+    with pytest.raises(ValueError, match="currency"):
+        run_layers(spark, lake_dir=str(tmp_path / "lake"), feeds=FeedPaths(files.sales_csv, str(tmp_path / "fx.csv"), files.orders_parquet, files.erp_json, False))
 
-def test_fixed_cutoff_moves_windows_not_rates(spark, sf_small, tmp_path):
-    from datetime import date
 
-    free = run_layers(spark, sf_small, str(tmp_path / "a"), until="silver", stop_on_error=False)
-    fixed = run_layers(spark, sf_small, str(tmp_path / "b"), until="silver", stop_on_error=False, cutoff=date(2001, 6, 30))
-    assert fixed.cutoff == date(2001, 6, 30)
-    assert fixed.tables["fx_raw"].count() == free.tables["fx_raw"].count()
-    fx = {r["check"]: r["failed"] for r in free.report}["amounts_converted"]
-    assert {r["check"]: r["failed"] for r in fixed.report}["amounts_converted"] == fx
+def test_arguments(spark, sf_small):
+    with pytest.raises(ValueError):
+        run_layers(spark)
+    with pytest.raises(ValueError):
+        run_layers(spark, sf_small, until="copper")

@@ -102,6 +102,39 @@ def test_scratch_path_uses_session_checkpoint_dir(spark):
     assert p1.startswith(base.rstrip("/") + "/ledgerloom/")
 
 
+def test_scratch_belongs_to_the_application_and_is_cleared(spark):
+    from pyspark.sql import SparkSession
+
+    other = spark.newSession()
+    path = lake.scratch_path(other, "cleared")
+    spark.range(3).write.parquet(path)
+    assert spark.conf.get("spark.app.id") in path and spark.read.parquet(path).count() == 3
+    lake.remove(spark, path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    assert isinstance(other, SparkSession) and lake._scratch_root(spark) in lake._owned
+
+
+def test_publish_replaces_a_table(spark, tmp_path):
+    old, new = str(tmp_path / "final" / "t"), str(tmp_path / "staged" / "t")
+    spark.range(3).write.parquet(old)
+    spark.range(7).write.parquet(new)
+    lake.publish(spark, new, old)
+    assert spark.read.parquet(old).count() == 7 and not (tmp_path / "staged" / "t").exists()
+
+
+def test_erp_documents_give_four_tables(spark, tmp_path):
+    from ledgerloom.sources import read_erp_documents
+
+    (tmp_path / "a.json").write_text(
+        '{\n "stores": [{"store_id": "K1", "city": "c"}, {"store_id": "K2"}],\n "catalog": [{"sku_erp": "E", "cost_history": []}]\n}'
+    )
+    (tmp_path / "b.json").write_text('{"snapshots": [{"date": "2022-01-01", "stock": "1"}],\n "mappings": [{"handle": "h"}], "other": 1}')
+    got = read_erp_documents(spark, str(tmp_path))
+    assert {n: t.count() for n, t in got.items()} == {"stores": 2, "mappings": 1, "catalog": 1, "snapshots": 1}
+    assert sorted(r.store_id for r in got["stores"].collect()) == ["K1", "K2"]
+
+
 def test_export_csv_roundtrip(spark, tmp_path):
     df = spark.createDataFrame([("a", 1.5), ("b", None)], "k string, v double")
     path = str(tmp_path / "out")

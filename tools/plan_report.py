@@ -14,7 +14,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 WRITES_FIRST = {
     "csv_strict_roundtrip", "fx_csv_dimension", "json_explode_snapshots", "json_explode_nested_costs",
-    "partitioned_parquet_roundtrip", "csv_export_roundtrip", "layered_negative_margin_product",
+    "json_document_stores", "json_document_mappings", "json_multiline_catalog", "partitioned_parquet_roundtrip",
+    "csv_export_roundtrip", "quality_report", "quality_gate", "layered_negative_margin_product",
 }
 DETAIL = ["sales_costed_asof", "streak_sensitivity", "negative_margin_product_store"]
 KEEP = re.compile(
