@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.anchors import quarter_start
 from ledgerloom.operators.checks import QualityError
 from ledgerloom.plans import bindings as b
 from ledgerloom.plans.layers import run_layers
@@ -64,13 +65,15 @@ def test_a_first_failed_run_publishes_nothing(spark, sf_small, tmp_path):
 def test_fixed_cutoffs_move_windows_not_rates(spark, sf_small, full, tmp_path):
     root, free = full
     fixed = run_layers(
-        spark, sf_small, str(tmp_path / "b"), stop_on_error=False, cutoff=date(2001, 6, 30), stock_cutoff=free.stock_cutoff.replace(day=1)
+        spark, sf_small, str(tmp_path / "b"), stop_on_error=False, cutoff=date(2001, 6, 30), stock_cutoff=free.stock_cutoff - timedelta(days=9)
     )
-    assert (fixed.cutoff, fixed.stock_cutoff) == (date(2001, 6, 30), free.stock_cutoff.replace(day=1))
+    assert (fixed.cutoff, fixed.stock_cutoff) == (date(2001, 6, 30), free.stock_cutoff - timedelta(days=9))
     assert fixed.tables["fx_raw"].count() == spark.read.parquet(str(root / "bronze" / "fx_raw")).count()
     missing = {r["check"]: r["failed"] for r in free.report}["amounts_converted"]
     assert {r["check"]: r["failed"] for r in fixed.report}["amounts_converted"] == missing
-    assert fixed.tables["stockout_detail"].agg(F.max("stockout_end")).first()[0] <= fixed.stock_cutoff
+    stock = fixed.tables["fct_inventory"].where(F.col("date").between(quarter_start(fixed.stock_cutoff), fixed.stock_cutoff))
+    observed = stock.join(fixed.tables["dim_store"], "store_id").where("reading_valid").count()
+    assert fixed.tables["zero_days_by_store"].agg(F.sum("observed_days")).first()[0] == observed > 0
 
 
 @pytest.fixture(scope="module")
