@@ -5,6 +5,8 @@ from __future__ import annotations
 from ledgerloom.llm.catalog import WEIGHTS
 from ledgerloom.llm.licences import EQUIVALENT, KNOWN, NOTICE
 from ledgerloom.llm.mixing import EPOCHS, SEED
+from ledgerloom.llm.ngram_join import PERCENT, SHINGLE
+from ledgerloom.llm.repeats import LENGTH
 
 _WORDS = r"[^\x20\x09-\x0D]+"
 _OTHER = r"[^\p{L}\p{N}]+"
@@ -46,6 +48,50 @@ def _op1() -> str:
     """
 
 
+def _op3() -> str:
+    """Every window of the corpus by its MD5 number; spans by a run of starts that touch."""
+    return f"""
+    WITH docs AS (SELECT row_number() OVER () AS r, doc_id, hex(coalesce(text, '')) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+    starts AS (SELECT r, h, unnest(range(n - {LENGTH - 1})) AS p FROM docs WHERE n >= {LENGTH}),
+    windows AS (SELECT r, p, md5_number(substr(h, 2 * p + 1, {2 * LENGTH})) AS k FROM starts),
+    twice AS (SELECT k FROM windows GROUP BY k HAVING count(*) > 1),
+    hits AS (SELECT r, p FROM windows SEMI JOIN twice USING (k)),
+    marked AS (SELECT r, p, CASE WHEN p - lag(p) OVER (PARTITION BY r ORDER BY p) <= {LENGTH} THEN 0 ELSE 1 END AS new FROM hits),
+    runs AS (SELECT r, min(p) AS a, max(p) + {LENGTH} AS b FROM (SELECT r, p, sum(new) OVER (PARTITION BY r ORDER BY p) AS run FROM marked) GROUP BY r, run),
+    gaps AS (
+      SELECT r, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS x, a AS y FROM runs
+      UNION ALL SELECT r, max(b), max(n) FROM runs JOIN docs USING (r) GROUP BY r),
+    kept AS (SELECT r, string_agg(substr(h, 2 * x + 1, 2 * (y - x)), '' ORDER BY x) AS k FROM gaps JOIN docs USING (r) GROUP BY r),
+    gone AS (SELECT r, sum(b - a) AS removed, count(*) AS spans FROM runs GROUP BY r)
+    SELECT doc_id, n::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+           sha256(unhex(coalesce(k, h))) AS kept_sha256
+    FROM docs LEFT JOIN gone USING (r) LEFT JOIN kept USING (r)
+    """
+
+
+def _op4() -> str:
+    """All pairs that share a shingle, and what is reachable over the links."""
+    return f"""
+    WITH RECURSIVE docs AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_WORDS}') AS w
+      FROM documents),
+    shingles AS (
+      SELECT DISTINCT doc_id, array_to_string(w[i : i + {SHINGLE - 1}], ' ') AS s
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {SHINGLE - 2}, 2))) AS i FROM docs WHERE len(w) > 0)),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    met AS (
+      SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+      FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+    links AS (
+      SELECT a, b FROM met JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+      WHERE 100 * common >= {PERCENT} * (x.n + y.n - common)),
+    reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+    SELECT d.doc_id, coalesce(z.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(c.least, d.doc_id)) AS component_id
+    FROM docs d LEFT JOIN sizes z USING (doc_id)
+    LEFT JOIN (SELECT a AS doc_id, min(b) AS least FROM reach GROUP BY a) c USING (doc_id)
+    """
+
+
 def _level(name: str, path: list[str], above: str) -> str:
     """Shares of one level of the tree: the budget that is left when the fullest children have theirs, by weight."""
     parent = path[:-1]
@@ -118,4 +164,7 @@ def _op10() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": _op1(), "op6_mixing": _op6(), "op10_token_counts": _op10()}
+    return {
+        "op1_license_scan": _op1(), "op3_suffix_dedup": _op3(), "op4_ngram_join": _op4(),
+        "op6_mixing": _op6(), "op10_token_counts": _op10(),
+    }
