@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK = 1_500_000
+CHUNK = 1_000_000
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -56,7 +56,7 @@ def _power_table(size: int, base: int) -> np.ndarray:
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """B**i and B**-i for i <= n (tables grow by doubling)."""
-    size = 1 << max(21, int(n + 1).bit_length())
+    size = 1 << max(20, int(n + 1).bit_length())
     return _power_table(size, _BASE), _power_table(size, _INVERSE)
 
 
@@ -130,7 +130,7 @@ class Dealer:
     moves blocks instead of millions of small rows. ``add`` deals entries out;
     ``flush`` gives the rows gathered so far."""
 
-    def __init__(self, buckets: int, limit: int = 2_000_000):
+    def __init__(self, buckets: int, limit: int = 600_000):
         self.buckets, self.limit, self.held, self.parts = buckets, limit, 0, []
 
     def add(self, key: np.ndarray, *columns: np.ndarray) -> None:
