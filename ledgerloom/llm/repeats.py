@@ -271,8 +271,8 @@ def _compared(hulls: DataFrame, length: int) -> DataFrame:
 def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
     """``docs(doc_id, text)`` -> one row per input row: doc_id, n_bytes, n_removed, n_spans
     (maximal removed runs), kept_sha256 (of the remaining bytes), kept (those bytes; null if all are kept)."""
-    if length < GRAM:
-        raise ValueError(f"length must be {GRAM} bytes at least")
+    if not GRAM <= length <= 32_000:
+        raise ValueError(f"length must be {GRAM} to 32000 bytes")
     buckets = buckets_of(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     docs = docs.select(F.col("doc_id").cast("long"), text.alias("text")).withColumn("cls", F.xxhash64("text"))
