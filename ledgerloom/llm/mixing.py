@@ -36,6 +36,8 @@ EPOCHS = 3
 SEED = 17
 #: Hexadecimal digits of the order's key that name a slice.
 SLICE_DIGITS = 3
+#: Parts of a leaf while its documents meet their budget.
+SALTS = 64
 BIG = "decimal(38,0)"
 
 
@@ -100,7 +102,10 @@ def mix(
         F.expr("case when tokens > 0 then budget % tokens else 0 end").alias("rest"),
     )
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    placed = slim.join(plan, list(LEVELS)).withColumn("place", key).withColumn("slice", F.substring("place", 1, slice_digits))
+    # joined by leaf and salt: by leaf alone the whole of it would lie in one task, and stay there
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salted = slim.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "n_tokens"), F.lit(SALTS)).cast("int"))
+    placed = salted.join(plan.withColumn("_salt", salts), [*LEVELS, "_salt"]).withColumn("place", key).withColumn("slice", F.substring("place", 1, slice_digits))
     leaf = list(LEVELS)
     sums = placed.groupBy(*leaf, "slice").agg(F.sum("n_tokens").alias("sum"))
     before = Window.partitionBy(*leaf).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
