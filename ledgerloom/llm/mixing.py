@@ -31,6 +31,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.shared import saved
+
 LEVELS = ("domain", "lang", "source")
 EPOCHS = 3
 SEED = 17
@@ -94,7 +96,8 @@ def mix(
     """``docs(doc_id, domain, lang, source, text)`` -> the chosen documents: doc_id, domain,
     lang, source, n_tokens, copies (how often each is taken)."""
     name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("unknown")).alias(c)
-    slim = docs.select("doc_id", *(name(c) for c in LEVELS), token_count(F.col("text")).alias("n_tokens"))
+    # texts are read once; the tree needs the counts at every level
+    slim = saved(docs.select("doc_id", *(name(c) for c in LEVELS), token_count(F.col("text")).alias("n_tokens")))
     leaves = slim.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"))
     plan = budgets(leaves, weights, total, epochs).select(
         *LEVELS,
