@@ -27,14 +27,17 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None =
     first = [c for c in (order or []) if c in others]
     packed = first + [c for c in others if c not in first]
     nullable = [c for c in keys if df.schema[c].nullable]
-    unkeyed = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in nullable]) if nullable else None
-    keyed = df if unkeyed is None else df.where(~unkeyed)
-    if not packed:
-        out = keyed.select(*keys).distinct()
-    else:
-        agg = keyed.groupBy(*keys).agg(F.min(F.struct(*[F.col(c) for c in packed])).alias("_first"))
-        out = agg.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in packed]).select(*df.columns)
-    return out if unkeyed is None else out.unionByName(df.where(unkeyed))
+    if not packed and not nullable:
+        return df.select(*keys).distinct()
+    row = F.struct(*[F.col(c) for c in packed]) if packed else F.struct(F.lit(0).alias("_none"))
+    columns = [*keys, *[F.col(f"_first.{c}").alias(c) for c in packed]]
+    if not nullable:
+        return df.groupBy(*keys).agg(F.min(row).alias("_first")).select(*columns).select(*df.columns)
+    # in the same pass a row without key is a group of its own content, as often as it was there
+    unkeyed = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in nullable])
+    agg = df.groupBy(*keys, F.when(unkeyed, row).alias("_own")).agg(F.min(row).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    kept = F.when(unkeyed, F.array_repeat("_first", F.col("_n").cast("int"))).otherwise(F.array("_first"))
+    return agg.select(*keys, F.explode(kept).alias("_first")).select(*columns).select(*df.columns)
 
 
 def broadcast_if_small(df: DataFrame, rows: int, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
