@@ -4,10 +4,14 @@ The two halves of a vector are quantised on their own with ``k`` centroids each,
 which cuts space into ``k * k`` cells. A query sorts the centroids of either half by
 their distance to its own half (here: how much smaller the inner product is than
 with the best centroid) and takes pairs of centroids by the sum of both distances
-from a heap, until the cells taken hold the share ``probe`` of all vectors. The sum
-reached is the query's limit: every vector in a cell within it is compared exactly,
+from a heap, until the cells taken hold the share ``probe`` of all different vectors. The
+sum reached is the query's limit: every vector in a cell within it is compared exactly,
 in double precision, dimension by dimension.
 
+Equal vectors are one class, indexed, counted and compared once, so that copies use up
+no probe. A class carries its ``top + 1`` smallest ids (equal scores rank by id, and one
+may be the query's own); the others cannot be among the first ``top``.
+
 ``k`` and ``probe`` are fixed, so recall holds as the table grows. They are set for
 vectors with little structure (recall of the 20 nearest is measured in the README);
 clustered vectors need a far smaller share. The codebooks are fitted on at most
@@ -15,7 +19,7 @@ clustered vectors need a far smaller share. The codebooks are fitted on at most
 
 Index and queries meet by shelf: ``SHELF`` neighbouring centroids of the first half. A
 query goes to the shelves that have a cell within its limit. A shelf with more than
-``block`` vectors (one vector may be a third of all) or queries is cut into parts, and
+``block`` classes or queries (a third of which may be one vector) is cut into parts, and
 a task holds one part of each at a time.
 
 Vectors that are null, zero, hold null or non-finite components, or have another
@@ -109,6 +113,28 @@ def valid_vectors(vectors: DataFrame) -> DataFrame:
     return good.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
 
 
+def classes(good: DataFrame, members: int) -> DataFrame:
+    """(embedding, vec_ids): the different vectors, each with its ``members`` smallest ids in order."""
+
+    def fold(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids, x = batch.column(0).to_numpy(), np.ascontiguousarray(_matrix(batch.column(1)))
+            own = np.unique(x.view(f"V{x.shape[1] * x.itemsize}").ravel(), return_inverse=True)[1]
+            order = np.lexsort((ids, own))
+            first = np.flatnonzero(np.diff(own[order], prepend=-1))
+            order = order[np.arange(len(order)) - np.repeat(first, np.diff(first, append=len(order))) < members]
+            first = np.flatnonzero(np.diff(own[order], prepend=-1))
+            held = pa.ListArray.from_arrays(pa.array([*first, len(order)], pa.int32()), pa.array(ids[order], pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(order[first])), held], names=["embedding", "vec_ids"])
+
+    # cut in each batch first: no list of all ids of a common vector is ever made
+    some = good.select("vec_id", "embedding").mapInArrow(fold, "embedding array<double>, vec_ids array<long>")
+    every = F.array_sort(F.flatten(F.collect_list("vec_ids")))
+    return some.groupBy("embedding").agg(F.slice(every, 1, members).alias("vec_ids"))
+
+
 def search(
     vectors: DataFrame, is_query: Column, top: int = TOP, probe: float = PROBE, k: int = CENTROIDS,
     max_sample: int = MAX_SAMPLE, block: int = BLOCK,
@@ -116,6 +142,7 @@ def search(
     """``vectors(vec_id, embedding)`` -> query_id, rank, vec_id, score of the ``top`` nearest found."""
     spark = vectors.sparkSession
     good = saved(valid_vectors(vectors))
+    different = saved(classes(good, top + 1).select(F.col("vec_ids")[0].alias("vec_id"), "embedding", "vec_ids"))
 
     def train(batches):
         rows = [b for b in batches if b.num_rows]
@@ -130,7 +157,7 @@ def search(
             names=["half", "a", "b", "n", "m"],
         )
 
-    sample = good.orderBy(F.xxhash64("vec_id"), "vec_id").limit(max_sample).repartition(1)  # the bound of the sample
+    sample = different.select("vec_id", "embedding").orderBy(F.xxhash64("vec_id"), "vec_id").limit(max_sample).repartition(1)  # the bound of the sample
     fitted = sample.mapInArrow(train, "half long, a binary, b binary, n long, m long").collect()
     if not fitted:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -141,9 +168,9 @@ def search(
         for batch in batches:
             x = _matrix(batch.column(1))
             cell = nearest(x[:, :half], a) * len(b) + nearest(x[:, half:], b) if len(x) else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(np.int32))], names=["vec_id", "embedding", "cell"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(np.int32))], names=["vec_id", "embedding", "vec_ids", "cell"])
 
-    index = saved(good.mapInArrow(place, "vec_id long, embedding array<double>, cell int"))
+    index = saved(different.mapInArrow(place, "vec_id long, embedding array<double>, vec_ids array<long>, cell int"))
     index = index.withColumn("shelf", F.floor(F.col("cell") / (len(b) * SHELF)).cast("int"))
     size = np.zeros(len(a) * len(b), np.int64)
     for r in index.groupBy("cell").count().collect():  # k * k rows at most
@@ -173,19 +200,20 @@ def search(
                 names=["query_id", "query", "limit", "shelf"],
             )
 
-    queries = index.filter(is_query).select("vec_id", "embedding").repartition(spark.sparkContext.defaultParallelism)
+    queries = good.filter(is_query).select("vec_id", "embedding").repartition(spark.sparkContext.defaultParallelism)
     visits = saved(queries.mapInArrow(walk, "query_id long, query array<double>, limit double, shelf int"))
     parts = index.groupBy("shelf").agg(F.ceil(F.count("*") / block).cast("int").alias("vparts"))
     parts = parts.join(visits.groupBy("shelf").agg(F.ceil(F.count("*") / block).cast("int").alias("qparts")), "shelf")
     v = index.join(parts, "shelf").withColumn("v", F.pmod(F.xxhash64("vec_id"), "vparts").cast("int"))
-    v = v.withColumn("q", F.explode(F.sequence(F.lit(0), F.col("qparts") - 1))).select("shelf", "v", "q", "vec_id", "embedding", "cell")
+    v = v.withColumn("q", F.explode(F.sequence(F.lit(0), F.col("qparts") - 1))).select("shelf", "v", "q", "vec_id", "embedding", "vec_ids", "cell")
     q = visits.join(parts, "shelf").withColumn("q", F.pmod(F.xxhash64("query_id"), "qparts").cast("int"))
     q = q.withColumn("v", F.explode(F.sequence(F.lit(0), F.col("vparts") - 1))).select("shelf", "v", "q", "query_id", "query", "limit")
 
     def compare(some: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         out = [pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})]
         found = found.sort_values("vec_id")
-        ids, cell = found["vec_id"].to_numpy(), found["cell"].to_numpy()
+        cell, members = found["cell"].to_numpy(), found["vec_ids"].map(len).to_numpy(np.int64)
+        ids, start = (np.concatenate(found["vec_ids"].to_numpy()), np.cumsum(members) - members) if len(found) else (None, None)
         x = np.stack(found["embedding"].to_numpy()) if len(found) else np.zeros((0, 1))
         for at in range(0, len(some) if len(found) else 0, 256):
             own = some["query_id"].to_numpy()[at : at + 256]
@@ -193,15 +221,20 @@ def search(
             to_a, to_b = far(y)
             s = y @ x.T
             s[to_a[:, cell // len(b)] + to_b[:, cell % len(b)] > some["limit"].to_numpy()[at : at + 256, None]] = -np.inf
-            s[own[:, None] == ids[None, :]] = -np.inf
-            # what may be among the first by the exact measure, which this one follows closely
-            least = np.partition(s, -top, axis=1)[:, -top] if s.shape[1] > top else np.full(len(s), -np.inf)
+            # classes that may be among the first by the exact measure, which this one follows
+            # closely; one more than ``top``, as the query's own may have no other id
+            least = np.partition(s, -top - 1, axis=1)[:, -top - 1] if s.shape[1] > top + 1 else np.full(len(s), -np.inf)
             row, col = np.nonzero((s >= (least - 1e-6 * (1 + np.abs(least)))[:, None]) & (s > -np.inf))
             exact = inner(y[row], x[col])
-            order = np.lexsort((ids[col], -exact, row))
-            row, col, exact = row[order], col[order], exact[order]
+            n = members[col]
+            at_id = np.repeat(start[col], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            row, exact, found_id = np.repeat(row, n), np.repeat(exact, n), ids[at_id]
+            other = found_id != own[row]
+            row, exact, found_id = row[other], exact[other], found_id[other]
+            order = np.lexsort((found_id, -exact, row))
+            row, exact, found_id = row[order], exact[order], found_id[order]
             keep = np.arange(len(row)) - np.searchsorted(row, row) < top
-            out.append(pd.DataFrame({"query_id": own[row[keep]], "vec_id": ids[col[keep]], "score": exact[keep]}))
+            out.append(pd.DataFrame({"query_id": own[row[keep]], "vec_id": found_id[keep], "score": exact[keep]}))
         return pd.concat(out)
 
     keys = ["shelf", "v", "q"]

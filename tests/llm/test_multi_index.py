@@ -47,6 +47,21 @@ def test_everything_probed_is_exact_with_ties_first_by_id(spark, block):
         assert [r.rank for r in got if r.query_id == q] == list(range(1, 21))
 
 
+def test_copies_of_one_vector_use_up_no_probe(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[::3] = x[0]  # a third are one vector
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = M.search(df, F.col("vec_id") % 20 == 1).toPandas()
+    assert (got.groupby("query_id").size() == 20).all()
+    by = got.groupby("query_id").vec_id.apply(list)
+    # queries that meet the cell of the copies early; among copies any counts
+    early = [q for q in range(1, 3000, 20) if q % 3 and x[q] @ x[0] > 0]
+    least = {q: np.sort(np.delete(x @ x[q], q))[-20] - 1e-9 for q in early}
+    assert np.mean([np.mean(x[by[q]] @ x[q] >= least[q]) for q in early]) >= 0.9
+
+
 def test_edge_cases(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, None), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [1.0, None]), (7, [1.0]), (8, []), (None, [1.0, 1.0]), (9, [0.9, 0.1]), (9, [0.9, 0.1]), (20, [0.0, 1.0])]
