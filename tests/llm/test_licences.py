@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import textwrap
+
 from ledgerloom.llm import licences as L
 
 
@@ -23,6 +25,32 @@ def test_variants_of_a_text_are_one(spark, docs_of):
     assert got == {i: "MIT" if i < len(variants) else None for i in range(len(rows))}
 
 
+def test_whole_files_with_and_without_title(spark, docs_of):
+    files = L.files("ledgerloom.llm").joinpath("licence_texts")
+    text = lambda name: files.joinpath(f"{name}.txt").read_text("utf-8")
+    mit = next(t for n, t in L.NOTICES if n == "MIT" and t.startswith("Permission"))
+    apache = text("Apache-2.0")
+    want = [
+        ("MIT", "MIT License\n\nCopyright (c) 2020 Jane Doe\n\n" + "\n\n".join(textwrap.fill(p, 78) for p in mit.split("\n\n"))),
+        ("MIT", "The MIT License (MIT)\n\nCopyright © 2020 Jane Doe\n\n" + mit),
+        ("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2020, Jane Doe\nAll rights reserved.\n\n" + text("BSD-3-Clause")),
+        ("BSD-2-Clause", "Copyright (c) 2020, Jane Doe\n\n" + text("BSD-2-Clause").replace("1. ", "* ").replace("2. ", "* ")),
+        ("Zlib", text("Zlib")), ("Zlib", "zlib License\n\n(C) 2020 Jane Doe\n\n" + text("Zlib")),
+        ("Apache-2.0", apache), ("Apache-2.0", apache.replace(L.BLANK_NOTICE, "Copyright 2020 Jane Doe")),
+        ("Apache-2.0", apache[: apache.index(L.END)] + L.END), ("Apache-2.0", text("Apache-2.0.spdx")),
+        ("Apache-2.0", "Copyright 2020 Jane Doe\n\n" + text("Apache-2.0.header")),
+        ("GPL-2.0-only", text("GPL-2.0-only")), ("GPL-3.0-only", text("GPL-3.0-only")),
+        ("GPL-3.0-only", "\n".join(text("GPL-3.0-only").split("\n")[2:])),
+        ("MPL-2.0", text("MPL-2.0")), ("MPL-2.0", "\n".join(text("MPL-2.0").split("\n")[2:])),
+        ("CC0-1.0", text("CC0-1.0")), ("CC-BY-SA-4.0", text("CC-BY-SA-4.0")), ("ISC", "ISC License\n\nCopyright 2020 Jane Doe\n\n" + next(t for n, t in L.NOTICES if n == "ISC")),
+    ]
+    header = "\n".join("# " + x for x in text("Apache-2.0.header").split("\n")) + "\nprint(1)"
+    rows = [(i, t) for i, (_, t) in enumerate(want)] + [(99, header)]
+    got = {r.doc_id: r for r in L.scan(docs_of(rows), L.known_licences(spark)).collect()}
+    assert [got[i].licence for i in range(len(want))] == [n for n, _ in want]
+    assert (got[99].licence, got[99].line_licences) == (None, "Apache-2.0")
+
+
 def test_notices_on_lines(spark, docs_of):
     rows = [(1, "some text\n// Licensed under the Apache Licence, version 2.0\nmore\nReleased under the MIT license!"), (2, "Licensed under the Apache License, Version 2.0 and more"), (3, "released UNDER the mit licence")]
     got = {r.doc_id: (r.licence, r.n_lines, r.line_licences) for r in L.scan(docs_of(rows), L.known_licences(spark)).collect()}
