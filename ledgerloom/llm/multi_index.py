@@ -175,7 +175,7 @@ def search(
     size = np.zeros(len(a) * len(b), np.int64)
     for r in index.groupBy("cell").count().collect():  # k * k rows at most
         size[r.cell] = r["count"]
-    want = int(np.ceil(probe * size.sum()))
+    want = max(int(np.ceil(probe * size.sum())), top + 1)  # one may be the query's own
 
     def far(q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distances of each query to the centroids of either half."""

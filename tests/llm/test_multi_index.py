@@ -72,6 +72,15 @@ def test_edge_cases(spark):
     assert M.search(df.filter("vec_id = 0"), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_small_tables_give_all_that_is_asked_for(spark):
+    rng = np.random.default_rng(4)
+    for n in (12, 40):
+        rows = [(i, rng.normal(size=8).tolist()) for i in range(n)]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        got = M.search(df, F.col("vec_id") % 20 == 0).groupBy("query_id").count().collect()
+        assert {r.query_id: r["count"] for r in got} == {q: min(20, n - 1) for q in range(0, n, 20)}
+
+
 def test_reach_takes_cells_by_summed_distance():
     rng = np.random.default_rng(3)
     for _ in range(20):
