@@ -7,12 +7,15 @@ whole corpus, the information that term ``t`` gives about entity ``e`` is the
 pointwise mutual information ``PMI = log2(N n(t,e) / (n(t) n(e)))``, and its share of
 the entity's own information ``-log2(n(e) / N)`` is the disclosure, at most 1.
 Terms near an entity whose disclosure reaches ``generalise`` are replaced by a
-placeholder of their kind, those that reach ``remove`` are removed. A pair counts
-only if it was seen in ``support`` different contexts: copies and near copies of one
-passage are one context and prove nothing.
+placeholder of their kind, those that reach ``remove`` are removed.
 
-Corpus counts are exact: pairs and entities are counted from the contexts; for the
-terms of pairs with enough support a second scan of all texts counts documents,
+Most entities are rare, so the evidence of a term is pooled: a pair counts if its term
+stands beside entities of that kind in ``support`` different texts, or beside the entity
+itself in ``support`` different texts or, where it has fewer, in all of them, two at
+least. Copies of a text are one text and prove nothing.
+
+Corpus counts are exact: pairs and entities are counted from the scan; for the
+terms of pairs that may reach ``generalise`` a second scan of all texts counts documents,
 with a fixed-size bit table as the only broadcast.
 
 Null texts are empty. Repeated rows each get their row; they count as documents.
@@ -121,9 +124,9 @@ def _term_hash(terms: list[bytes]) -> np.ndarray:
 
 _SPAN = pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64())])
 _PLACE = pa.struct([("start", pa.int64()), ("end", pa.int64())])
-_NEAR = pa.struct([("entity", pa.string()), ("term", pa.int64()), ("context", pa.int64()), ("places", pa.list_(_PLACE))])
+_NEAR = pa.struct([("entity", pa.string()), ("term", pa.int64()), ("places", pa.list_(_PLACE))])
 _SPAN_SQL = "array<struct<kind:int,start:long,end:long>>"
-_NEAR_SQL = "array<struct<entity:string,term:long,context:long,places:array<struct<start:long,end:long>>>>"
+_NEAR_SQL = "array<struct<entity:string,term:long,places:array<struct<start:long,end:long>>>>"
 
 
 def _entity(kind: int, value: str) -> str:
@@ -131,7 +134,7 @@ def _entity(kind: int, value: str) -> str:
 
 
 def _near(text: str, spans: list[tuple[int, int, int]], window: int) -> list[dict]:
-    """Terms beside each entity of a text, with their places and the hash of the context."""
+    """Terms beside each entity of a text, with their places."""
     by: dict[str, dict[tuple[int, int], bytes]] = {}
     for kind, start, end in spans:
         own = by.setdefault(_entity(kind, text[start:end]), {})
@@ -142,11 +145,10 @@ def _near(text: str, spans: list[tuple[int, int, int]], window: int) -> list[dic
     for entity, places in by.items():
         order = sorted(places)
         hashes = _term_hash([places[p] for p in order])
-        context = int(np.bitwise_xor.reduce(np.unique(hashes))) if len(hashes) else 0
         at: dict[int, list] = {}
         for p, h in zip(order, hashes.tolist(), strict=True):
             at.setdefault(h, []).append({"start": p[0], "end": p[1]})
-        out.extend({"entity": entity, "term": h, "context": context, "places": p} for h, p in at.items())
+        out.extend({"entity": entity, "term": h, "places": p} for h, p in at.items())
     return out
 
 
@@ -213,16 +215,23 @@ def disclosures(
     docs: DataFrame, scanned: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE
 ) -> DataFrame:
     """(entity, term, disclosure) of the pairs that reach ``generalise``."""
-    near = scanned.select(F.explode("near").alias("x")).select("x.entity", "x.term", "x.context")
-    pairs = near.groupBy("entity", "term").agg(F.count("*").alias("n_te"), F.count_distinct("context").alias("contexts"))
-    pairs = saved(pairs.filter(F.col("contexts") >= support))
-    n_e = scanned.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
-    n_t = term_counts(docs, pairs.select("term").distinct()).withColumnRenamed("n", "n_t")
+    near = scanned.select("text_key", F.explode("near").alias("x")).select("text_key", "x.entity", "x.term")
+    near = near.withColumn("kind", F.substring_index("entity", ":", 1))
+    texts = F.count_distinct("text_key")
+    pairs = near.groupBy("kind", "entity", "term").agg(F.count("*").alias("n_te"), texts.alias("texts_te"))
+    pooled = near.groupBy("kind", "term").agg(texts.alias("texts_t"))
+    entities = scanned.select("text_key", F.explode("entities").alias("entity"))
+    n_e = entities.groupBy("entity").agg(F.count("*").alias("n_e"), texts.alias("texts_e"))
     total = scanned.agg(F.count("*").alias("total"))
-    found = pairs.join(n_e, "entity").join(n_t, "term").join(F.broadcast(total))  # one row
+    met = pairs.join(pooled, ["kind", "term"]).join(n_e, "entity").join(F.broadcast(total)).filter("n_e < total")  # one row
     own = -F.log2(F.col("n_e") / F.col("total"))
-    pmi = F.log2(F.col("total") * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
-    return found.filter("n_e < total").select("entity", "term", (pmi / own).alias("disclosure")).filter(F.col("disclosure") >= generalise)
+    share = lambda n_t: F.log2(F.col("total") * F.col("n_te") / (F.col(n_t) * F.col("n_e"))) / own
+    enough = (F.col("texts_t") >= support) | (F.col("texts_te") >= F.least(F.lit(support), F.greatest(F.lit(2), F.col("texts_e"))))
+    # a term has at least the documents counted here, so that common ones go before their count
+    met = saved(met.filter(enough & (share("texts_t") >= generalise)))
+    n_t = term_counts(docs, met.select("term").distinct()).withColumnRenamed("n", "n_t")
+    found = met.join(n_t, "term").select("entity", "term", share("n_t").alias("disclosure"))
+    return found.filter(F.col("disclosure") >= generalise)
 
 
 def revealing(scanned: DataFrame, flagged: DataFrame) -> DataFrame:

@@ -87,6 +87,21 @@ def test_terms_that_give_an_entity_away(spark, docs_of):
     assert clean[0] == texts[0] and clean[200] == "zebra quagga <EMAIL> okapi"
 
 
+def test_rare_entities_count_too(spark, docs_of):
+    rows = [(1000 + i, f"some words w{i} of the text number {i}") for i in range(600)]
+    # every address in one document; a name beside three of them
+    rows += [(300 + i, f"text {i} by Falcon x{i}@b.org in the end") for i in range(3)]
+    # an address in two texts, a name beside it in both, in the same context
+    rows += [(400 + i, f"filler{i} " * 9 + "the text of Heron y@b.org in the end of the text") for i in range(2)]
+    # copies of a text are one text
+    rows += [(500 + i, "zebra z@b.org") for i in range(4)]
+    texts = dict(rows)
+    got = {r.doc_id: {texts[r.doc_id][x.start : x.end] for x in r.terms} for r in pii.find(docs_of(rows)).collect()}
+    assert all("Falcon" in got[300 + i] for i in range(3)) and all("Heron" in got[400 + i] for i in range(2))
+    assert not any("the" in x or "text" in x for x in got.values())
+    assert all(not got[i] for i in texts if i >= 500)
+
+
 def test_disclosure_is_the_stated_share(spark, docs_of):
     import math
 
