@@ -7,13 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import language, licences, mixing, multi_index, pii, repeats, rollups, tiling, toxicity
+from ledgerloom.llm import language, licences, mixing, multi_index, pieces, pii, repeats, rollups, tiling, toxicity
 from ledgerloom.llm.ngram_join import similar_documents
 from ledgerloom.llm.shared import table
 from ledgerloom.sources.lake import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: The public model whose pieces op11 uses, by its name in the package of public tokenizers.
+PIECE_MODEL = "piece_bpe_32k.model"
+
 #: Target weights of the mixture: by domain, language and source; what is not named weighs 1.
 WEIGHTS = (
     ("domain", "d0", 4), ("domain", "d1", 3), ("domain", "d2", 2), ("domain", "d3", 1),
@@ -113,9 +116,16 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.totals()
 
 
+def op11_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    model = pieces.read_model(public_tokenizers.path(PIECE_MODEL))
+    return pieces.digests(table(spark, sf_dir, "documents"), model)
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_license_scan, op2_pii, op3_suffix_dedup, op4_ngram_join, op5_toxicity, op6_mixing, op7_language_id,
-        op8_multi_index, op9_decontamination, op10_token_counts,
+        op8_multi_index, op9_decontamination, op10_token_counts, op11_piece_codec,
     )
     return {f.__name__: f for f in found}
