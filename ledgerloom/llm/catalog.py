@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import language, licences, mixing, multi_index, periodic, pieces, pii, repeats, rollups, tiling, toxicity
+from ledgerloom.llm import dialogue, language, licences, mixing, multi_index, periodic, pieces, pii, repeats, rollups, tiling, toxicity
 from ledgerloom.llm.ngram_join import similar_documents
 from ledgerloom.llm.shared import table
 from ledgerloom.sources.lake import scratch_path
@@ -123,6 +123,11 @@ def op11_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"), model)
 
 
+def op12_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return dialogue.repair_report(conversations, dialogue.damage(conversations))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.digests(table(spark, sf_dir, "documents"))
 
@@ -131,6 +136,6 @@ def queries() -> dict[str, Query]:
     found = (
         op1_license_scan, op2_pii, op3_suffix_dedup, op4_ngram_join, op5_toxicity, op6_mixing, op7_language_id,
         op8_multi_index, op9_decontamination, op10_token_counts, op11_piece_codec,
-        op13_periodic_runs,
+        op12_dialogue_repair, op13_periodic_runs,
     )
     return {f.__name__: f for f in found}
