@@ -319,18 +319,22 @@ def similar_documents(
     wanted = wanted.select("rep", "c1", "c2", "block", "part", "parts")
     texts = docs.join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id")
     links = _linked(_sets(texts, size), percent)
-    found = components(saved(links))
+    # documents that share an id are one document: their classes are linked through it
+    known = classes.filter("n_shingles > 0 and doc_id is not null")
+    shared_ids = known.groupBy("doc_id").agg(*(f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("c1", "c2")))
+    shared_ids = shared_ids.filter("min_c1 <> max_c1 or min_c2 <> max_c2").select("doc_id")
+    own = known.join(shared_ids, "doc_id").join(leads, ["c1", "c2"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    found = components(links.unionByName(own))
 
     grouped = leads.join(found.select(F.col("node").alias("rep"), F.col("component").alias("linked")), "rep", "left")
     grouped = grouped.select("c1", "c2", F.coalesce("linked", "rep").alias("component"))
-    # documents that share an id are one document
     out = classes.join(grouped, ["c1", "c2"], "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def _sets(texts: DataFrame, size: int) -> DataFrame:
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("block", pa.int64()), ("part", pa.int32()), ("parts", pa.int32()), ("s", pa.binary())]
+        [(x, pa.int64()) for x in ("doc_id", "c1", "c2", "block")] + [("part", pa.int32()), ("parts", pa.int32()), ("s", pa.binary())]
     )
 
     def run(batches):
@@ -343,12 +347,12 @@ def _sets(texts: DataFrame, size: int) -> DataFrame:
                 same = (d1 == c1[rows]) & (d2 == c2[rows])
                 end = np.cumsum(n)
                 sets = [g[e - k : e].tobytes() if ok else None for e, k, ok in zip(end, n, same, strict=True)]
-                out = [col[x].slice(first, len(n)) for x in ("doc_id", "block", "part", "parts")]
+                out = [col[x].slice(first, len(n)) for x in ("doc_id", "c1", "c2", "block", "part", "parts")]
                 whole = pa.RecordBatch.from_arrays([*out, pa.array(sets, pa.binary())], schema=schema)
                 yield whole.filter(pa.array(same))
 
     return texts.select("doc_id", "text", "c1", "c2", "block", "part", "parts").mapInArrow(
-        run, "doc_id long, block long, part int, parts int, s binary"
+        run, "doc_id long, c1 long, c2 long, block long, part int, parts int, s binary"
     )
 
 
@@ -361,10 +365,12 @@ def _linked(sets: DataFrame, percent: int) -> DataFrame:
             lambda x: F.struct(F.least(x, "part").alias("i"), F.greatest(x, "part").alias("j")),
         )
     )
-    groups = sets.withColumn("ij", F.explode(pairs)).select("doc_id", "block", "ij.i", "ij.j", "s")
+    groups = sets.withColumn("ij", F.explode(pairs)).select("doc_id", "c1", "c2", "block", "ij.i", "ij.j", "s")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("doc_id").drop_duplicates("doc_id")
+        # several texts can share the id that stands for them
+        key = ["doc_id", "c1", "c2"]
+        pdf = pdf.sort_values(key).drop_duplicates(key)
         ids = pdf["doc_id"].to_numpy()
         found = link_block([np.frombuffer(x, dtype=U) for x in pdf["s"]], percent)
         return pd.DataFrame(

@@ -104,3 +104,35 @@ def test_components(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 8: 8, 9: 8, **{100 + i: 100 for i in range(41)}, 500: 500, **{600 + i: 500 for i in range(30)}}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def shared_id_brute(rows):
+    """Components over rows, then over rows of one id."""
+    found = brute([(k, t) for k, (_, t) in enumerate(rows)])
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for k, (i, _) in enumerate(rows):
+        if found[k][0]:
+            parent[find(("row", found[k][1]))] = find(("id", i))
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        if found[k][0]:
+            root = find(("id", i))
+            least[root] = min(i, least.get(root, i))
+    return sorted((i, found[k][0], least[find(("id", i))] if found[k][0] else i) for k, (i, _) in enumerate(rows))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_rows_that_share_an_id(spark, docs_of, seed):
+    rnd = random.Random(seed)
+    a, b = (" ".join(f"{c}{k}" for k in range(60)) for c in "ab")
+    rows = [(1, a), (1, b), (2, a + " x"), (3, b + " x"), (9, "c d e f g h")]
+    if seed:
+        rows = [(rnd.randrange(40), t) for _, t in corpus(seed, 8, 7)] + [(50, None), (50, ""), (50, "x y")]
+    got = sorted(tuple(r) for r in J.similar_documents(docs_of(rows)).collect())
+    assert got == shared_id_brute(rows)
