@@ -18,9 +18,11 @@ committed without rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.sources.lake import remove
+
 
 KEY = ("doc_id", "version")
 STATE = ("source", "lang", "n_tokens")
@@ -96,7 +98,11 @@ class TokenLedger:
         """Commits a batch, or replaces it by the same number; later batches must not exist yet
         unless the batch is repeated unchanged."""
         delta = self.delta(batch, changes).withColumn("batch", F.lit(batch).cast("long"))
-        self._replace(delta, self.rows_path)
+        if not self._replace(delta, self.rows_path):
+            # no rows name the partition, so it is not overwritten: what the number had goes now
+            for path in (self.totals_path, self.rows_path):
+                remove(self.spark, f"{path}/batch={batch}")
+            return
         rows = self.signed().filter(F.col("batch") == batch)
         totals = rows.groupBy("version", "source", "lang").agg(
             F.sum(F.col("sign").cast("long")).alias("n_docs"), F.sum(F.col("sign") * F.col("n_tokens")).alias("n_tokens")
@@ -104,9 +110,11 @@ class TokenLedger:
         self._replace(totals.withColumn("batch", F.lit(batch).cast("long")), self.totals_path)
 
     @staticmethod
-    def _replace(rows: DataFrame, path: str) -> None:
-        # each partition found in the rows is replaced when the whole write has succeeded
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
+    def _replace(rows: DataFrame, path: str) -> bool:
+        """Each partition found in the rows is replaced when the whole write has succeeded; whether there were any."""
+        seen = Observation()
+        rows.observe(seen, F.count("*").alias("n")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
+        return seen.get["n"] > 0
 
     def totals(self) -> DataFrame:
         """(version, source, lang, n_docs, n_tokens): sums of the batches' sums."""

@@ -88,3 +88,15 @@ def test_byte_pair_counter(spark, docs_of):
     rows = [(1, None), (2, ""), (3, "the the"), (4, "Öl 12")]
     got = {r.doc_id: r.n for r in docs_of(rows).select("doc_id", count("text").alias("n")).collect()}
     assert got[1] == got[2] == 0 and got[3] == 3 and 4 <= got[4] <= 6 and size > 1
+
+
+def test_a_batch_replaced_by_an_empty_one(spark, tmp_path):
+    ledger = R.TokenLedger(spark, f"file://{tmp_path}/ledger")
+    docs = spark.createDataFrame([(1, "a b c", "s", "en"), (2, "d", "s", "en")], "doc_id long, text string, source string, lang string")
+    changes = R.changes_of(docs, "v", R.word_tokens(docs.text))
+    ledger.commit(1, changes.limit(0))
+    assert ledger.totals().count() == 0
+    ledger.commit(1, changes)
+    assert [tuple(r) for r in ledger.totals().collect()] == [("v", "s", "en", 2, 4)]
+    ledger.commit(1, changes.limit(0))
+    assert ledger.totals().count() == 0 and ledger.state().count() == 0
