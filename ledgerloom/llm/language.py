@@ -119,11 +119,14 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, families: dict =
     The sample is turned to features by the executors, and one task fits the
     machines on these ``per_language`` rows for each language at most."""
     rows = labelled.select("doc_id", "text", "lang").filter("lang is not null and text is not null")
-    # which rows: only ids and languages are shuffled; a bound for each part first, then for all
+    # which rows: only ids and languages are shuffled
     key = F.struct(F.xxhash64(F.col("doc_id").cast("string")), "doc_id")
-    slim = rows.select("lang", "doc_id").distinct().withColumn("k", key).withColumn("part", F.pmod(F.xxhash64("k"), F.lit(64)))
-    for by in (("lang", "part"), ("lang",)):
-        slim = slim.withColumn("r", F.row_number().over(Window.partitionBy(*by).orderBy("k"))).filter(F.col("r") <= per_language)
+    # a threshold on the hash leaves some times the bound; only what is below it is ordered
+    slim = rows.select("lang", "doc_id").withColumn("k", key)
+    known = slim.groupBy("lang").agg(F.approx_count_distinct("doc_id", 0.02).alias("n"))
+    below = F.shiftrightunsigned(F.col("k.col1"), 1) / F.lit(2.0**63) * F.col("n") <= 4 * per_language + 1000
+    slim = slim.join(known, "lang").filter(below).select("lang", "doc_id", "k").distinct()
+    slim = slim.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("k"))).filter(F.col("r") <= per_language)
     picked = rows.join(F.broadcast(slim.select("lang", "doc_id")), ["lang", "doc_id"])  # bounded by the sample
     schema = pa.schema([("lang", pa.string()), ("x", pa.binary())])
 
