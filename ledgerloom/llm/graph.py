@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.shared import saved
+from ledgerloom.llm.shared import observed, saved
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -26,23 +26,25 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     return out.filter("a <> b").distinct()
 
 
-def components(links: DataFrame, rounds: int = 40) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """``links(a, b)`` of long ids -> ``(node, component)``, the smallest id reachable.
 
     Nodes without links to others are left out; null ends, self links and repeated
-    links change nothing; no links give no rows."""
+    links change nothing; no links give no rows. It has settled when a round leaves the same
+    links; their count and hash are observed while they are written (a task that is run again can only make
+    them differ, which costs a round)."""
     now = saved(
         links.filter("a <> b")
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .distinct()
     )
     seen = None
-    for _ in range(rounds):
-        now = saved(_star(_star(now, large=True), large=False))
-        mark = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % F.lit(1 << 40))).first()
-        if tuple(mark) == seen:
+    while True:
+        now, mark = observed(
+            _star(_star(now, large=True), large=False), F.count("*").alias("n"), F.sum(F.xxhash64("a", "b") % F.lit(1 << 40)).alias("h")
+        )
+        if mark == seen:
             return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
                 now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
             )
-        seen = tuple(mark)
-    raise RuntimeError(f"components did not settle in {rounds} rounds")
+        seen = mark

@@ -85,7 +85,8 @@ def budgets(leaves: DataFrame, weights: DataFrame, total: Column, epochs: int =
         own = known.filter(F.col("level") == level).groupBy("_name").agg(F.max("_weight").alias("_weight"))
         nodes = nodes.join(own, nodes[level] == own["_name"], "left").select(*path, "capacity", F.coalesce("_weight", F.lit(1)).alias("weight"))
         nodes = nodes.join(above, parent) if parent else nodes.join(F.broadcast(above))  # one row
-        above = split_budget(nodes, parent, level).select(*path, F.col("share").alias("budget"))
+        # one row a node: written, so that the next level's plan begins anew
+        above = saved(split_budget(nodes, parent, level).select(*path, F.col("share").alias("budget")))
         parent = path
     return leaves.join(above, list(LEVELS)).select(*LEVELS, "tokens", "budget")
 
@@ -98,7 +99,7 @@ def mix(
     name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("unknown")).alias(c)
     # texts are read once; the tree needs the counts at every level
     slim = saved(docs.select("doc_id", *(name(c) for c in LEVELS), token_count(F.col("text")).alias("n_tokens")))
-    leaves = slim.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"))
+    leaves = saved(slim.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens")))
     plan = budgets(leaves, weights, total, epochs).select(
         *LEVELS,
         F.expr("case when tokens > 0 then budget div tokens else 0 end").alias("whole"),

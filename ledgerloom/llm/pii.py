@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.shared import saved
 from ledgerloom.llm.texthash import NOT_ALNUM, U, chunks, lower_latin, word_hash, words
-from ledgerloom.llm.tiling import seed_table
+from ledgerloom.llm.tiling import in_table, seed_table
 
 WINDOW = 6
 SUPPORT = 3
@@ -190,14 +190,13 @@ def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     schema = pa.schema([("term", pa.int64()), ("n", pa.int64())])
 
     def run(batches):
-        bit, mask = table.value, U((1 << bits) - 1)
         for batch in batches:
             parts = []
             for _, _, buf, off in chunks(batch.column(0)):
                 low = lower_latin(buf)
                 start, end, doc = words(low, off, NOT_ALNUM)
                 h = word_hash(low, start, end)
-                hit = bit[(h & mask).astype(np.int64)] > 0
+                hit = in_table(table.value, h)
                 h, doc = h[hit], doc[hit]
                 order = np.lexsort((h, doc))
                 h, doc = h[order], doc[order]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from ledgerloom.sources.lake import scratch_path
 
@@ -17,3 +17,9 @@ def saved(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "llm")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def observed(df: DataFrame, *metrics: Column) -> tuple[DataFrame, dict]:
+    """``saved``, and aggregates over the rows taken while they are written."""
+    seen = Observation()
+    return saved(df.observe(seen, *metrics)), seen.get

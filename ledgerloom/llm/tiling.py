@@ -69,7 +69,7 @@ def item_seeds(items: DataFrame, size: int) -> DataFrame:
 
 
 def seed_table(seeds: DataFrame, bits: int = TABLE_BITS) -> np.ndarray:
-    """A bit for ``seed mod 2**bits``; at most 2**bits / 64 rows reach the driver."""
+    """A bit for ``seed mod 2**bits``, packed; at most 2**bits / 64 rows reach the driver."""
     slot = F.pmod(F.col("seed"), F.lit(1 << bits))
     rows = (
         seeds.select((F.floor(slot / 64)).cast("int").alias("word"), F.expr("shiftleft(1L, cast(pmod(seed, 64) as int))").alias("bit"))
@@ -78,7 +78,13 @@ def seed_table(seeds: DataFrame, bits: int = TABLE_BITS) -> np.ndarray:
     )
     out = np.zeros(1 << max(0, bits - 6), np.int64)
     out[rows["word"].to_numpy(np.int64)] = rows["set"].to_numpy(np.int64)
-    return np.unpackbits(out.view(np.uint8), bitorder="little")
+    return out.view(np.uint8)
+
+
+def in_table(table: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Whether the bit of each hash is set."""
+    slot = h & U(8 * len(table) - 1)
+    return (table[(slot >> U(3)).astype(np.int64)] >> (slot & U(7)).astype(np.uint8)) & 1 > 0
 
 
 def tiles(pairs: np.ndarray, size: int, reach: int) -> list[tuple[int, int, int]]:
@@ -134,14 +140,13 @@ def contaminated(
     schema = pa.schema([(x, pa.int64()) for x in ("seed", "doc_id", "text_digest", "place")])
 
     def run(batches):
-        bit, mask = table.value, U((1 << bits) - 1)
         for batch in batches:
             ids = batch.column(0)
             for first, _, digest, h, doc in _hashed(batch.column(1)):
                 begin = np.searchsorted(doc, np.arange(len(digest)))
                 for k in (size, *shorter):
                     g, at = grams(h, doc, k)
-                    hit = np.flatnonzero(bit[(g & mask).astype(np.int64)])
+                    hit = np.flatnonzero(in_table(table.value, g))
                     owner = doc[at[hit]]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(g[hit].view(np.int64)), ids.take(pa.array(owner + first)), pa.array(digest[owner]),
