@@ -2,12 +2,14 @@
 
 Each stage takes the documents that its predecessor kept, written as Parquet and
 read again, and returns a DataFrame; all but the last return the columns of
-``documents`` and no others. Rows are told apart by ``doc_id``; rows that share one are
-one document, and rows without one are kept by the stages that drop documents by id.
+``documents`` and no others. Every row is a document of its own, also where rows share an id
+or have none: the stages that drop documents tell rows apart by their place in the Parquet
+files (of which a 64-bit hash stands for the row).
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,16 @@ from ledgerloom.llm.shared import saved, table
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_row``, a number of each row by its file and place there, the same in every job."""
+    try:
+        place = docs.select("*", F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("_row"))
+        place.schema  # fails where the rows come from no files  # noqa: B018
+        return place
+    except AnalysisException:
+        return numbered(saved(docs))
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told, with that language; the rest (no letters, no text) goes."""
     found = language.identify(docs, catalog.language_model(docs), COLUMNS)
@@ -26,16 +38,21 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones: the smallest id."""
-    groups = similar_documents(docs.select("doc_id", "text"))
-    drop = groups.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(drop, "doc_id", "left_anti").select(*COLUMNS)
+    """One document of each group of similar ones: the smallest id (none last), then the smallest digest of the text."""
+    rows = numbered(docs)
+    groups = similar_documents(rows.select(F.col("_row").alias("doc_id"), "text"))
+    groups = saved(groups.select(F.col("doc_id").alias("_row"), "component_id"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), "_row")
+    first = groups.join(rows.select("_row", order.alias("order")), "_row").groupBy("component_id").agg(F.min("order").alias("order"))
+    drop = groups.join(first.select(F.col("order._row").alias("_row")), "_row", "left_anti").select("_row")
+    return rows.join(drop, "_row", "left_anti").select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark passages."""
-    found = tiling.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*COLUMNS)
+    rows = numbered(docs)
+    found = tiling.contaminated(rows.select(F.col("_row").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    return rows.join(found.select(F.col("doc_id").alias("_row")).distinct(), "_row", "left_anti").select(*COLUMNS)
 
 
 def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
