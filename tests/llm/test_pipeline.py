@@ -81,3 +81,15 @@ def test_edge_cases(spark, sf_small):
             assert now.count() >= 0
             if i < 4:
                 assert now.columns == docs.columns
+
+
+def test_rows_without_id_and_with_shared_ids(spark, sf_small):
+    """Decisions reach rows by what they are, not by their id."""
+    item = spark.read.parquet(f"{sf_small}/benchmark.parquet").first().text
+    clean = " ".join(f"clean{i}" for i in range(40))
+    texts = [(None, item), (None, clean), (7, item + " x"), (7, "Another " + clean[::-1]), (8, clean), (8, clean)]
+    rows = spark.createDataFrame([(i, t, "en", "src1", len(t)) for i, t in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.decontamination(spark, rows, sf_small)
+    assert sorted(map(str, ((r.doc_id, r.text) for r in left.collect()))) == sorted(map(str, (x for x in texts if item not in x[1])))
+    once = [r.text for r in corpus_pipeline.near_duplicates(spark, rows, sf_small).collect()]
+    assert sorted(x for x in once if item not in x) == sorted({t for _, t in texts if item not in t})
