@@ -70,15 +70,6 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def publish(spark: SparkSession, staged: str, final: str) -> None:
-    """Moves a finished table to its place; what was there before is replaced."""
-    (src, fs), (dst, _) = _path(spark, staged), _path(spark, final)
-    fs.mkdirs(dst.getParent())
-    fs.delete(dst, True)
-    if not fs.rename(src, dst):
-        raise OSError(f"cannot move {staged} to {final}")
-
-
 def write_table(
     df: DataFrame,
     path: str,

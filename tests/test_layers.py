@@ -13,6 +13,7 @@ from ledgerloom.plans import bindings as b
 from ledgerloom.plans.layers import run_layers
 from ledgerloom.plans.model import RetailModel
 from ledgerloom.sources import FeedPaths, lake
+from ledgerloom.sources.versions import Lake
 
 
 @pytest.fixture(scope="module")
@@ -29,9 +30,10 @@ def test_full_run_writes_every_layer_and_report(spark, full):
     saved = spark.read.json(str(root / "reports" / "quality"))
     assert {x["check"] for x in saved.collect()} == {x["check"] for x in r.report}
     # facts are partitioned by month
-    assert any(p.name.startswith("month=") for p in (root / "silver" / "fct_sales").iterdir())
+    published = Lake(spark, str(root)).current().entries
+    assert any(p.name.startswith("month=") for p in (root / published["silver/fct_sales"]).iterdir())
     assert r.tables["stockout_sensitivity"].count() == 3
-    assert not list((root / "_staging").iterdir())
+    assert {n.split("/")[0] for n in published} == {"bronze", "silver", "gold", "reports"}
 
 
 def test_bronze_carries_lineage(full):
@@ -45,13 +47,14 @@ def test_bronze_carries_lineage(full):
 def test_failed_error_check_leaves_what_was_published(spark, sf_small, full):
     """D22: the report is there, and silver and gold are those of the run before."""
     root, before = full
-    files = {p: p.stat().st_mtime_ns for layer in ("silver", "gold") for p in (root / layer).rglob("*.parquet")}
+    files = {p: p.stat().st_mtime_ns for p in (root / "versions").rglob("*.parquet")}
+    published = Lake(spark, str(root)).current()
     (root / "reports" / "quality" / "_SUCCESS").unlink()
     with pytest.raises(QualityError, match="mapping_consistent"):
         run_layers(spark, sf_small, str(root), stop_on_error=True)
-    assert {p: p.stat().st_mtime_ns for layer in ("silver", "gold") for p in (root / layer).rglob("*.parquet")} == files
+    assert {p: p.stat().st_mtime_ns for p in (root / "versions").rglob("*.parquet")} == files
+    assert Lake(spark, str(root)).current() == published
     assert (root / "reports" / "quality" / "_SUCCESS").is_file()
-    assert not list((root / "_staging").iterdir())
     assert before.tables["negative_margin_product"].count() >= 0
 
 
@@ -59,7 +62,8 @@ def test_a_first_failed_run_publishes_nothing(spark, sf_small, tmp_path):
     with pytest.raises(QualityError):
         run_layers(spark, sf_small, str(tmp_path / "lake"))
     assert (tmp_path / "lake" / "reports" / "quality").is_dir()
-    assert not (tmp_path / "lake" / "silver").exists() and not (tmp_path / "lake" / "gold").exists()
+    assert Lake(spark, str(tmp_path / "lake")).current().number == 0
+    assert not list((tmp_path / "lake" / "versions").rglob("*.parquet"))
 
 
 def test_fixed_cutoffs_move_windows_not_rates(spark, sf_small, full, tmp_path):
@@ -68,7 +72,7 @@ def test_fixed_cutoffs_move_windows_not_rates(spark, sf_small, full, tmp_path):
         spark, sf_small, str(tmp_path / "b"), stop_on_error=False, cutoff=date(2001, 6, 30), stock_cutoff=free.stock_cutoff - timedelta(days=9)
     )
     assert (fixed.cutoff, fixed.stock_cutoff) == (date(2001, 6, 30), free.stock_cutoff - timedelta(days=9))
-    assert fixed.tables["fx_raw"].count() == spark.read.parquet(str(root / "bronze" / "fx_raw")).count()
+    assert fixed.tables["fx_raw"].count() == spark.read.parquet(str(root / Lake(spark, str(root)).current().entries["bronze/fx_raw"])).count()
     missing = {r["check"]: r["failed"] for r in free.report}["amounts_converted"]
     assert {r["check"]: r["failed"] for r in fixed.report}["amounts_converted"] == missing
     stock = fixed.tables["fct_inventory"].where(F.col("date").between(quarter_start(fixed.stock_cutoff), fixed.stock_cutoff))

@@ -115,14 +115,6 @@ def test_scratch_belongs_to_the_application_and_is_cleared(spark):
     assert isinstance(other, SparkSession) and lake._scratch_root(spark) in lake._owned
 
 
-def test_publish_replaces_a_table(spark, tmp_path):
-    old, new = str(tmp_path / "final" / "t"), str(tmp_path / "staged" / "t")
-    spark.range(3).write.parquet(old)
-    spark.range(7).write.parquet(new)
-    lake.publish(spark, new, old)
-    assert spark.read.parquet(old).count() == 7 and not (tmp_path / "staged" / "t").exists()
-
-
 def test_erp_documents_give_four_tables(spark, tmp_path):
     from ledgerloom.sources import read_erp_documents
 
