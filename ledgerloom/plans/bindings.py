@@ -324,3 +324,18 @@ def catalog_documents(catalog: DataFrame, size: int = 500) -> DataFrame:
     """A document for each ``block`` of about ``size`` products, by number."""
     block = F.floor(F.regexp_extract("sku_erp", "([0-9]+)", 1).cast("long") / size).alias("block")
     return catalog.groupBy(block).agg(F.collect_list(F.struct(*catalog.columns)).alias("catalog"))
+
+
+def write_erp_document(arrays: dict[str, DataFrame], path: str) -> None:
+    """One document in one file with all rows of each array, as an ERP system exports it. The
+    file is written by one task, row after row."""
+    spark = next(iter(arrays.values())).sparkSession
+    out, sign = spark.createDataFrame([], "part int, at long, value string"), "{"
+    for i, (name, rows) in enumerate(arrays.items()):
+        head = spark.range(1).select(F.lit(2 * i).alias("part"), F.lit(0).cast("long").alias("at"), F.lit(f'{sign}"{name}": [').alias("value"))
+        # numbered in one partition, so that 0 is the first row
+        one = rows.select(F.to_json(F.struct(*rows.columns)).alias("value")).coalesce(1).withColumn("at", F.monotonically_increasing_id())
+        body = one.select(F.lit(2 * i + 1).alias("part"), "at", F.concat(F.when(F.col("at") == 0, "").otherwise(","), "value").alias("value"))
+        out, sign = out.unionByName(head).unionByName(body), "], "
+    end = spark.range(1).select(F.lit(2 * len(arrays)).alias("part"), F.lit(0).cast("long").alias("at"), F.lit("]}").alias("value"))
+    out.unionByName(end).coalesce(1).sortWithinPartitions("part", "at").select("value").write.text(path)

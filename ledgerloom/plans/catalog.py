@@ -109,6 +109,29 @@ def json_multiline_catalog(spark, sf_dir):
     return _costs_out(_erp_table(spark, b.catalog_documents(_m(spark, sf_dir).catalog_raw), "catalog", multiline=True))
 
 
+def json_document_ranges(spark, sf_dir):
+    """One document with all stores, mappings, products and snapshots, read in byte ranges."""
+    m = _m(spark, sf_dir)
+    path = lake.scratch_path(spark, "erp-document")
+    day = F.date_format("date", "yyyy-MM-dd").alias("date")
+    b.write_erp_document({
+        "stores": m.stores_raw, "mappings": m.mappings_raw, "catalog": m.catalog_raw,
+        "snapshots": m.snapshots_raw.select(day, "store_id", "sku_erp", "stock"),
+    }, path)
+    erp = feeds.read_erp_documents(spark, path, ranges=True)
+    costs = src.explode_array(erp["catalog"], "cost_history", keep=["sku_erp", "name", "category"])
+
+    def rows(name: str, table: DataFrame, key: str, *details) -> DataFrame:
+        return table.select(F.lit(name).alias("array"), F.col(key).alias("id"), F.concat_ws("|", *details).alias("detail"))
+
+    return (
+        rows("stores", erp["stores"], "store_id", "city", "region", "timezone")
+        .unionByName(rows("mappings", erp["mappings"], "handle", "sku_pos", "sku_erp"))
+        .unionByName(rows("catalog", costs, "sku_erp", "name", "category", "valid_from", F.col("cost").cast("string"), "supplier"))
+        .unionByName(rows("snapshots", erp["snapshots"], "store_id", "date", "sku_erp", "stock"))
+    )
+
+
 def lineage_stamp(spark, sf_dir):
     stamped = src.stamp_lineage(_m(spark, sf_dir).pos_raw, "pos:lineitem")
     return stamped.select("doc_id", "store_id", "sku", "_source")
@@ -399,6 +422,7 @@ def queries() -> dict[str, Query]:
         "json_document_stores": json_document_stores,
         "json_document_mappings": json_document_mappings,
         "json_multiline_catalog": json_multiline_catalog,
+        "json_document_ranges": json_document_ranges,
         "lineage_stamp": lineage_stamp,
         "partitioned_parquet_roundtrip": partitioned_parquet_roundtrip,
         "csv_export_roundtrip": csv_export_roundtrip,

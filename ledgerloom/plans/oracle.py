@@ -427,6 +427,11 @@ FINAL: dict[str, str] = {
     "json_document_stores": "SELECT store_id, city, region, timezone FROM stores_raw",
     "json_document_mappings": "SELECT sku_pos, sku_erp, handle FROM mappings_raw",
     "json_multiline_catalog": "SELECT sku_erp, name, category, valid_from, CAST(cost AS DOUBLE) AS cost, supplier FROM catalog_versions",
+    "json_document_ranges": """
+        SELECT 'stores' AS "array", store_id AS id, concat_ws('|', city, region, timezone) AS detail FROM stores_raw
+        UNION ALL SELECT 'mappings', handle, concat_ws('|', sku_pos, sku_erp) FROM mappings_raw
+        UNION ALL SELECT 'catalog', sku_erp, concat_ws('|', name, category, valid_from, CAST(cost AS VARCHAR), supplier) FROM catalog_versions
+        UNION ALL SELECT 'snapshots', store_id, concat_ws('|', strftime(date, '%Y-%m-%d'), sku_erp, stock) FROM snapshots_raw""",
     "json_explode_nested_costs": "SELECT sku_erp, name, category, valid_from, CAST(cost AS DOUBLE) AS cost, supplier FROM catalog_versions",
     "lineage_stamp": "SELECT doc_id, store_id, sku, 'pos:lineitem' AS _source FROM pos_raw",
     "partitioned_parquet_roundtrip": f"""

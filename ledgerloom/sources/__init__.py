@@ -10,6 +10,7 @@ from .files import (
     stamp_lineage,
 )
 from .feeds import FeedPaths, read_erp_documents, read_feeds, read_fx_csv, read_sales_csv
+from .ranges import read_document_arrays
 from .lake import clear_scratch, export_csv, read_table, scratch_path, write_table
 
 __all__ = [
@@ -20,6 +21,7 @@ __all__ = [
     "explode_array",
     "export_csv",
     "read_csv_strict",
+    "read_document_arrays",
     "read_erp_documents",
     "read_feeds",
     "read_fx_csv",
