@@ -103,8 +103,8 @@ def cost_dimension(catalog: DataFrame, history: str = "cost_history") -> DataFra
 
 def fx_dimension(fx: DataFrame, report_currency: str = REPORT_CURRENCY) -> DataFrame:
     """``date, currency, rate``: the smallest quote of each currency and day, by its
-    trimmed upper-case code. Amounts already in the report currency find the rate 1
-    here, on any day that some currency is quoted; what finds no row has no rate."""
+    trimmed upper-case code, and the rate 1 of the report currency on each day that some
+    currency is quoted."""
     rates = keep_first(
         fx.select(
             as_date(fx, "date").alias("date"),

@@ -14,7 +14,7 @@ from ..functions.money import MONEY, RATE
 from ..functions.readings import STOCK_SENTINELS, parse_stock
 from .asof import asof_join
 from .common import as_date, as_timestamp, broadcast_if_small, keep_first
-from .dimensions import ONLINE_STORE
+from .dimensions import ONLINE_STORE, REPORT_CURRENCY
 
 SALES_COLUMNS = [
     "doc_id",
@@ -46,8 +46,10 @@ def attach_rate(
     ccy_col: str,
     missing_rate: str = "null",
     fx_rows: int | None = None,
+    report_currency: str = REPORT_CURRENCY,
 ) -> DataFrame:
-    """Rate of the day of the document (left join on date x currency).
+    """Rate of the day of the document (left join on date x currency). An amount in the
+    report currency needs no quote: its rate is 1 on any day.
     ``missing_rate``: ``"null"`` leaves the converted amount NULL (caught by the
     FX check); ``"identity"`` applies 1.0. The rate table grows with the calendar,
     not with the facts; it is broadcast when its proven bound ``fx_rows`` is small
@@ -62,6 +64,8 @@ def attach_rate(
     out = df.join(
         rates, (df[date_col] == rates["_fx_date"]) & (df[ccy_col] == rates["_fx_ccy"]), "left"
     ).drop("_fx_date", "_fx_ccy")
+    same = F.when(F.col(ccy_col) == report_currency, F.lit(1).cast(RATE))
+    out = out.withColumn("_rate", F.coalesce(same, F.col("_rate")))
     if missing_rate == "identity":
         out = out.withColumn("_rate", F.coalesce("_rate", F.lit(1).cast(RATE)))
     elif missing_rate != "null":
@@ -177,9 +181,14 @@ def inventory_readings(
 def inventory_daily(
     snapshots: DataFrame, sentinels: Sequence[str] = STOCK_SENTINELS
 ) -> DataFrame:
-    """One reading per date x store x product; a valid reading wins over an
+    """One reading per date x store x product of raw snapshots."""
+    return settle_readings(inventory_readings(snapshots, sentinels))
+
+
+def settle_readings(readings: DataFrame) -> DataFrame:
+    """One of the readings per date x store x product; a valid reading wins over an
     unknown one, then the smaller count."""
-    r = inventory_readings(snapshots, sentinels).withColumn("_unknown", ~F.col("reading_valid"))
+    r = readings.withColumn("_unknown", ~F.col("reading_valid"))
     grain = ["date", "store_id", "product_key"]
     return keep_first(r, grain, order=["_unknown", "units"]).select(READING_COLUMNS)
 

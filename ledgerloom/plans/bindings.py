@@ -6,9 +6,9 @@ deterministic rule (the SQL oracle derives the same rows independently):
 
 * point-of-sale lines   <- ``lineitem`` (store = supplier; currency from the
   supplier's region; document type from return flag x line status)
-* web orders            <- one document line per line of ``orders``; currency from
-  the customer's region
-* FX rates              <- ``orders``: per month and order status a quote from the
+* web orders            <- one document line per line of ``orders`` (one without units for
+  an order without lines); currency from the customer's region
+* FX rates              <- ``orders`` and ``lineitem``: per month and status a quote from the
   month's totals, published for every day of the month but Sundays
 * catalogue + cost      <- ``part``; five cost versions per product, nested
 * official mapping      <- ``part`` (incomplete and partly wrong on purpose)
@@ -122,7 +122,8 @@ def pos_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def online_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Web orders: ``order_id, ts, handle, units, amount, currency``, one document line
-    for each line of an order, with that line's product, units and amount."""
+    for each line of an order, with that line's product, units and amount. An order without
+    lines is one document, numbered 0, of its total price, without product or units."""
     li = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -131,14 +132,17 @@ def online_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         cust.join(ccy, cust["c_nationkey"] == ccy["nationkey"], "left").select("c_custkey", "currency"),
         rows=cust.count(),
     )
-    head = orders.join(cust_ccy, orders["o_custkey"] == cust_ccy["c_custkey"], "left").select("o_orderkey", "o_orderdate", "currency")
-    j = li.join(head, li["l_orderkey"] == head["o_orderkey"])
+    head = orders.join(cust_ccy, orders["o_custkey"] == cust_ccy["c_custkey"], "left").select(
+        "o_orderkey", "o_orderdate", "o_totalprice", "currency"
+    )
+    j = li.join(head, li["l_orderkey"] == head["o_orderkey"], "right")
+    total = F.when(F.col("l_orderkey").isNull(), F.col("o_totalprice").cast("decimal(18,4)"))
     return j.select(
-        F.concat(F.lit("W"), F.col("o_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("order_id"),
+        F.concat(F.lit("W"), F.col("o_orderkey").cast("string"), F.lit("-"), F.coalesce("l_linenumber", F.lit(0)).cast("string")).alias("order_id"),
         F.col("o_orderdate").alias("ts"),
         ident(HANDLE, "l_partkey").alias("handle"),
         F.col("l_quantity").cast("int").alias("units"),
-        _line_amount().alias("amount"),
+        F.coalesce(total, _line_amount()).alias("amount"),
         "currency",
     )
 
@@ -179,16 +183,21 @@ def fx_rows_bound(lo: date, hi: date) -> int:
 
 
 def fx_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily USD and EUR quotes (``date, currency, rate``) from the orders: each order
-    status of a month quotes a rate whose decimals are its total in cents (USD) or its
-    number of orders (EUR), for every day of the month. Statuses write the currency
+    """Daily USD and EUR quotes (``date, currency, rate``) from the dates of both sales feeds: each
+    status of a month's orders and shipped lines quotes a rate whose decimals are its total in cents
+    (USD) or its number of rows (EUR), for every day of the month. Statuses write the currency
     differently and disagree on the rate. Like a central-bank feed it publishes nothing on Sundays,
-    so a Sunday sale in USD or EUR has no rate (the FX check must see it), nor
-    has one in a month without orders."""
-    month = F.trunc("o_orderdate", "MM")
-    cents = (F.col("o_totalprice").cast("decimal(18,2)") * 100).cast("long")
-    totals = table(spark, sf_dir, "orders").groupBy(month.alias("month"), F.col("o_orderstatus").alias("status")).agg(
-        F.pmod(F.sum(cents), F.lit(100)).alias("USD"), F.pmod(F.count(F.lit(1)), F.lit(100)).alias("EUR")
+    so a Sunday sale in USD or EUR has no rate (the FX check must see it)."""
+
+    def sold(name: str, day: str, status: str, price: str) -> DataFrame:
+        cents = (F.col(price).cast("decimal(18,2)") * 100).cast("long")
+        return table(spark, sf_dir, name).select(F.trunc(day, "MM").alias("month"), F.col(status).alias("status"), cents.alias("cents"))
+
+    both = sold("orders", "o_orderdate", "o_orderstatus", "o_totalprice").unionByName(
+        sold("lineitem", "l_shipdate", "l_linestatus", "l_extendedprice")
+    )
+    totals = both.groupBy("month", "status").agg(
+        F.pmod(F.sum("cents"), F.lit(100)).alias("USD"), F.pmod(F.count(F.lit(1)), F.lit(100)).alias("EUR")
     )
     written = F.create_map(*[F.lit(x) for kv in QUOTE_TEXT.items() for x in kv])
     text = F.coalesce(written[F.col("status")], F.lit("{}"))

@@ -12,17 +12,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import key_from_erp, key_from_handle, key_from_pos
-from ..functions.money import money_out
+from ..functions.money import UNIT_COST, money_out
 from ..operators import anchors as anc
 from ..operators import checks as chk
 from ..operators import marts
-from ..operators.dimensions import calendar, fx_dimension
-from ..operators.facts import POS_RAW, cost_sales, dedup_documents
+from ..operators.dimensions import calendar, close_intervals, fx_dimension
+from ..operators.facts import POS_RAW, cost_sales, dedup_documents, settle_readings
 from ..operators.keys import mapping_discrepancies
+from ..operators.splice import splice_intervals
 from ..sources import feeds
 from ..sources import files as src
 from ..sources import lake
 from . import bindings as b
+from .incremental import SalesLake
 from .model import RetailModel
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -194,6 +196,22 @@ def scd2_intervals(spark, sf_dir):
     return c.select("product_key", "valid_from", "valid_to", F.col("cost").cast("double").alias("cost"), "supplier")
 
 
+def scd2_spliced(spark, sf_dir):
+    """Intervals of an older state of the catalogue (no first change, the second one at double cost), and
+    the changes that two products in three got since: the first change late, the second
+    corrected, the last deleted."""
+    versions = _m(spark, sf_dir).cost.select("product_key", "valid_from", "cost", "supplier")
+    second = F.col("supplier") == "SUP-2"
+    older = versions.where("supplier <> 'SUP-1'").withColumn("cost", F.when(second, F.col("cost") * 2).otherwise(F.col("cost")).cast(UNIT_COST))
+    intervals = close_intervals(older)
+    sent = versions.where("product_key % 3 <> 0 and supplier in ('SUP-1', 'SUP-2', 'SUP-4')")
+    changes = sent.withColumn("deleted", F.col("supplier") == "SUP-4")
+    spliced = splice_intervals(intervals, changes, ["cost", "supplier"])
+    rest = intervals.join(changes.select("product_key").distinct(), "product_key", "left_anti")
+    both = rest.unionByName(spliced)
+    return both.select("product_key", "valid_from", "valid_to", F.col("cost").cast("double").alias("cost"), "supplier")
+
+
 def fx_dimension_identity(spark, sf_dir):
     fx = _m(spark, sf_dir).fx
     return fx.select("date", "currency", F.col("rate").cast("double").alias("rate"))
@@ -275,6 +293,24 @@ def sales_costed_asof_window(spark, sf_dir):
     return _costed_out(cost_sales(m.sales, m.cost, strategy="window", salt=4))
 
 
+def sales_incremental(spark, sf_dir):
+    """O43 by batches: the feeds arrive in three loads with documents sent again, quotes and cost versions
+    late; the costed sales are those of a full run."""
+    m = _m(spark, sf_dir)
+    store = SalesLake(spark, lake.scratch_path(spark, "incremental"))
+    costs = m.cost.select("product_key", "valid_from", "cost", "supplier", F.lit(False).alias("deleted"))
+
+    def share(df: DataFrame, k: int, *by: str) -> DataFrame:
+        return df.where(F.pmod(F.xxhash64(*by), F.lit(3)) == k)
+
+    for k in range(3):
+        store.load(
+            f"batch-{k}", share(m.pos_raw, k, "doc_id", "ts", "sku", "units"), share(m.online_raw, k, "order_id"),
+            share(m.fx_raw, k, "date", "currency"), share(costs, k, "product_key", "valid_from"),
+        )
+    return _costed_out(store.costed())
+
+
 def _costed_out(c: DataFrame) -> DataFrame:
     return c.select(
         "doc_id", "channel", "date", "product_key", "is_revenue", "units",
@@ -378,21 +414,23 @@ def _one_check(name: str, build: Callable[[RetailModel], DataFrame]) -> Query:
 
 
 def quality_report(spark, sf_dir):
-    """All checks of a run. The facts are written once and read back, so each raw feed is
-    conformed once and each fact scanned once for its checks."""
+    """All checks of a run. The conformed feeds are written once and read back, so each raw feed
+    is conformed once and each fact scanned once for its checks."""
     m = _m(spark, sf_dir)
-    facts = {}
-    for name in ("costed", "inventory"):
+
+    def kept(name: str, df: DataFrame) -> DataFrame:
         path = lake.scratch_path(spark, f"report-{name}")
-        lake.write_table(getattr(m, name), path)
-        facts[name] = lake.read_table(spark, path)
-    sales, inventory = facts["costed"], facts["inventory"]
+        lake.write_table(df, path)
+        return lake.read_table(spark, path)
+
+    sales, readings = kept("costed", m.costed), kept("readings", m.readings)
+    inventory = kept("inventory", settle_readings(readings))
     checks = [
         chk.check_mapping(m.mappings_raw),
         chk.sales_checks(sales, m.products, stores=m.stores),
         chk.check_document_types(m.pos_raw),
         chk.inventory_checks(inventory),
-        chk.check_grain_unique(m.readings),
+        chk.check_grain_unique(readings),
         chk.check_revenue_positive(marts.growth_by_channel(sales, m.sales_cutoff)),
         chk.check_turnover_valid(marts.inventory_turnover(sales.drop("cost"), inventory, m.cost, m.products, m.sales_cutoff)),
     ]
@@ -433,6 +471,7 @@ def queries() -> dict[str, Query]:
         "dim_store_with_online": dim_store_with_online,
         "dim_product_alias_fallback": dim_product_alias_fallback,
         "scd2_intervals": scd2_intervals,
+        "scd2_spliced": scd2_spliced,
         "fx_dimension_identity": fx_dimension_identity,
         "calendar_days": calendar_days,
         "document_sign_totals": document_sign_totals,
@@ -445,6 +484,7 @@ def queries() -> dict[str, Query]:
         "inventory_valued_asof": inventory_valued_asof,
         "sales_costed_asof": sales_costed_asof,
         "sales_costed_asof_window": sales_costed_asof_window,
+        "sales_incremental": sales_incremental,
         "cutoff_date": cutoff_date,
         "month_window_bounds": month_window_bounds,
         "quarter_window_bounds": quarter_window_bounds,

@@ -80,12 +80,13 @@ CTES: dict[str, str] = {
         FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey
              LEFT JOIN ccy k ON s_nationkey = k.nationkey""",
     "online_raw": """
-        SELECT 'W' || CAST(o_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS order_id, o_orderdate AS ts,
-               printf('item-%03d', l_partkey) AS handle,
+        SELECT 'W' || CAST(o_orderkey AS VARCHAR) || '-' || CAST(coalesce(l_linenumber, 0) AS VARCHAR) AS order_id, o_orderdate AS ts,
+               CASE WHEN l_partkey IS NOT NULL THEN printf('item-%03d', l_partkey) END AS handle,
                CAST(l_quantity AS INTEGER) AS units,
-               CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,4)) AS amount,
+               CASE WHEN l_orderkey IS NULL THEN CAST(o_totalprice AS DECIMAL(18,4))
+                    ELSE CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,4)) END AS amount,
                k.currency
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+        FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey
              LEFT JOIN customer ON o_custkey = c_custkey
              LEFT JOIN ccy k ON c_nationkey = k.nationkey""",
     "cutoffs": """
@@ -98,9 +99,11 @@ CTES: dict[str, str] = {
                CAST(date_trunc('month', sales_cutoff) - INTERVAL 11 MONTH AS DATE) AS s12
         FROM cutoffs""",
     "fx_months": """
-        SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, o_orderstatus AS status,
-               sum(CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT)) % 100 AS usd, count(*) % 100 AS eur
-        FROM orders WHERE o_orderdate IS NOT NULL GROUP BY ALL""",
+        SELECT CAST(date_trunc('month', day) AS DATE) AS month, status,
+               sum(CAST(CAST(price AS DECIMAL(18,2)) * 100 AS BIGINT)) % 100 AS usd, count(*) % 100 AS eur
+        FROM (SELECT o_orderdate AS day, o_orderstatus AS status, o_totalprice AS price FROM orders
+              UNION ALL SELECT l_shipdate, l_linestatus, l_extendedprice FROM lineitem)
+        WHERE day IS NOT NULL GROUP BY ALL""",
     "fx_quotes": """
         SELECT month, CASE status WHEN 'O' THEN ' USD ' ELSE 'USD' END AS currency, 17 + usd / 100.0 AS rate FROM fx_months
         UNION ALL
@@ -133,7 +136,8 @@ CTES: dict[str, str] = {
     "pos_fact": """
         SELECT b.doc_id, 'physical' AS channel, b.date, b.local_ts, b.store_id, b.product_key, b.doc_type,
                b.sign <> 0 AS is_revenue, b.sign * b.units AS units,
-               CAST(CAST(b.sign * b.amount AS DECIMAL(28,8)) * x.rate AS DECIMAL(28,8)) AS amount,
+               CAST(CAST(b.sign * b.amount AS DECIMAL(28,8)) *
+                    CASE WHEN b.currency = 'MXN' THEN CAST(1 AS DECIMAL(9,4)) ELSE x.rate END AS DECIMAL(28,8)) AS amount,
                b.currency, CAST(b.sign * b.amount AS DECIMAL(28,8)) AS amount_src
         FROM pos_base b LEFT JOIN fx x ON b.date = x.date AND b.currency = x.currency""",
     "online_dedup": """
@@ -145,7 +149,8 @@ CTES: dict[str, str] = {
         SELECT o.order_id AS doc_id, 'online' AS channel, CAST(o.ts AS DATE) AS date, o.ts AS local_ts,
                'ONLINE' AS store_id, {key_handle('o.handle')} AS product_key, 'WEB' AS doc_type,
                true AS is_revenue, o.units,
-               CAST(CAST(o.amount AS DECIMAL(28,8)) * x.rate AS DECIMAL(28,8)) AS amount,
+               CAST(CAST(o.amount AS DECIMAL(28,8)) *
+                    CASE WHEN upper(trim(o.currency)) = 'MXN' THEN CAST(1 AS DECIMAL(9,4)) ELSE x.rate END AS DECIMAL(28,8)) AS amount,
                upper(trim(o.currency)) AS currency, CAST(o.amount AS DECIMAL(28,8)) AS amount_src
         FROM online_dedup o LEFT JOIN fx x
              ON CAST(o.ts AS DATE) = x.date AND upper(trim(o.currency)) = x.currency""",
@@ -447,6 +452,13 @@ FINAL: dict[str, str] = {
     "dim_store_with_online": "SELECT * FROM stores",
     "dim_product_alias_fallback": "SELECT * FROM products",
     "scd2_intervals": "SELECT product_key, valid_from, valid_to, CAST(cost AS DOUBLE) AS cost, supplier FROM cost_dim",
+    "scd2_spliced": """
+        SELECT product_key, valid_from,
+               coalesce(CAST(lead(valid_from) OVER (PARTITION BY product_key ORDER BY valid_from) - 1 AS DATE), DATE '9999-12-31') AS valid_to,
+               CAST(cost AS DOUBLE) AS cost, supplier
+        FROM (SELECT product_key, valid_from, supplier,
+                     CASE WHEN product_key % 3 = 0 AND supplier = 'SUP-2' THEN cost * 2 ELSE cost END AS cost
+              FROM cost_dedup WHERE supplier <> CASE WHEN product_key % 3 = 0 THEN 'SUP-1' ELSE 'SUP-4' END)""",
     "fx_dimension_identity": "SELECT date, currency, CAST(rate AS DOUBLE) AS rate FROM fx",
     "calendar_days": """
         SELECT date, CAST(year(date) AS INTEGER) AS year, strftime(date, '%Y-%m') AS month,
@@ -487,6 +499,10 @@ FINAL: dict[str, str] = {
         SELECT doc_id, channel, date, product_key, is_revenue, units, CAST(amount AS DOUBLE) AS amount,
                CAST(cost AS DOUBLE) AS cost, CAST(cost_total AS DOUBLE) AS cost_total, CAST(margin AS DOUBLE) AS margin
         FROM costed""",
+    "sales_incremental": """
+        SELECT doc_id, channel, date, product_key, is_revenue, units, CAST(amount AS DOUBLE) AS amount,
+               CAST(cost AS DOUBLE) AS cost, CAST(cost_total AS DOUBLE) AS cost_total, CAST(margin AS DOUBLE) AS margin
+        FROM costed""",
     "cutoff_date": "SELECT sales_cutoff AS cutoff FROM cutoffs",
     "month_window_bounds": """
         SELECT sales_cutoff AS cutoff, n AS months,
