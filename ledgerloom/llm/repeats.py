@@ -1,18 +1,20 @@
 """Removal of long repeated substrings by a hash-compared suffix sort.
 
 Every byte covered by a string of ``length`` bytes that also starts anywhere else in
-the corpus goes. Strings are compared through prefix polynomial hashes: the hash of any
-span is one subtraction, so suffixes are ordered by merge sort on the hash of their
-first ``length`` bytes, equal neighbours are extended to their longest common extension
-by binary search on prefix hashes, and the bytes of each such match are compared once
-to rule collisions out. Only suffixes that can matter are sorted:
-
-1. Exact copies are found by their digests; they go whole, one of each goes on.
+the corpus goes. Suffixes are put in order by a merge sort whose comparison finds their longest
+common extension by binary search on prefix polynomial hashes (the hash of any span is one
+subtraction) and then compares one byte. The order is verified: the bytes of all neighbours are
+compared, and where a collision has spoiled it the suffixes are ordered by their bytes. Neighbours
+that agree in ``length`` bytes repeat. Only suffixes that can matter are sorted:
+
+1. Exact copies are classes by a 64-bit hash that is checked against SHA-256 over the whole table
+   (and drawn anew, with another seed, if two texts share one); they go whole, one of each goes on.
 2. Each window of ``length`` bytes is assigned to its *anchor*, the ``GRAM``-byte string in
    it with the smallest hash (the leftmost of equals). Equal windows have equal
    anchors at equal places. The windows of one anchor start next to each other; the
    bytes that they cover are its *hull*. Anchors are dealt out by their hash in packed
-   blocks. One that occurs once has no repeated window. Equal hulls repeat whole.
+   blocks. One that occurs once has no repeated window. Hulls with equal 128-bit BLAKE2 digests of
+   their bytes repeat whole.
 3. For anchors that occur again with another hull (the edges of repeated passages),
    hulls meet by anchor, and the suffixes at their windows are sorted. An anchor with
    more than ``HOT`` hulls is cut into slices of neighbouring windows that meet by the
@@ -32,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.shared import saved
+from ledgerloom.llm.shared import observed, saved
 from ledgerloom.llm.texthash import U, Dealer, buckets_of, chunks, gather, mix, prefix_hash, span_hash
 
 LENGTH = 400
@@ -43,13 +45,13 @@ _EMPTY = hashlib.sha256(b"").hexdigest()
 
 
 def anchors(buf: np.ndarray, off: np.ndarray, length: int = LENGTH, gram: int = GRAM):
-    """(prefix hashes, document, anchor, first and last window start, anchor hash, hull hash) of a chunk."""
+    """(prefix hashes, document, anchor, first and last window start, anchor hash) of a chunk."""
     h = prefix_hash(buf)
     n, reach = len(buf), length - gram + 1
     none = np.zeros(0, np.int64)
     starts = np.concatenate([np.arange(a, b - length + 1) for a, b in zip(off, off[1:], strict=False) if b - a >= length] or [none])
     if not len(starts):
-        return h, none, none, none, none, np.zeros(0, U), np.zeros(0, U)
+        return h, none, none, none, none, np.zeros(0, U)
     at = np.arange(n - gram + 1)
     key = mix(span_hash(h, at, at + gram))
     low = U((1 << 32) - 1)
@@ -63,7 +65,13 @@ def anchors(buf: np.ndarray, off: np.ndarray, length: int = LENGTH, gram: int =
     new = np.flatnonzero(np.concatenate([[True], (np.diff(anchor) != 0) | (np.diff(starts) != 1)]))
     s1, s2, a = starts[new], starts[np.append(new[1:], len(starts)) - 1], anchor[new]
     doc = np.searchsorted(off, a, "right") - 1
-    return h, doc, a, s1, s2, key[a], mix(span_hash(h, s1, s2 + length))
+    return h, doc, a, s1, s2, key[a]
+
+
+def hull_digests(raw: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """128 bits of BLAKE2 of each span of bytes, as two columns."""
+    spans = zip(start.tolist(), end.tolist(), strict=True)
+    return np.frombuffer(b"".join(hashlib.blake2b(raw[a:b], digest_size=16).digest() for a, b in spans), U).reshape(-1, 2)
 
 
 def extension(h: np.ndarray, i: np.ndarray, j: np.ndarray, most: np.ndarray) -> np.ndarray:
@@ -76,6 +84,68 @@ def extension(h: np.ndarray, i: np.ndarray, j: np.ndarray, most: np.ndarray) ->
     return low
 
 
+def less(buf: np.ndarray, h: np.ndarray, i: np.ndarray, j: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Whether the suffix at i comes before, and whether it is equal to, that at j in their first ``length`` bytes."""
+    run = extension(h, i, j, np.full(len(i), length))
+    equal = run == length
+    at = np.where(equal, 0, run)
+    return ~equal & (buf[i + at] < buf[j + at]), equal
+
+
+def suffix_order(buf: np.ndarray, h: np.ndarray, start: np.ndarray, part: np.ndarray, length: int) -> np.ndarray:
+    """Order of the suffixes at ``start`` within each part (``part`` ascending), by merge sort.
+
+    All parts are sorted together: in each round runs of ``width`` suffixes are merged in pairs, and a suffix
+    finds its place in the other run by binary search with ``less``."""
+    n = len(start)
+    first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+    size = np.diff(np.append(first, n))
+    base, count = np.repeat(first, size), np.repeat(size, size)
+    place = np.arange(n) - base
+    order, width = np.arange(n), 1
+    while width < size.max():
+        run = place // width
+        other = run ^ 1
+        low = other * width
+        there = low < count  # the last run of a part can be alone
+        high = np.where(there, np.minimum(low + width, count), low)
+        low, left = low.copy(), run % 2 == 0
+        open_ = np.flatnonzero(low < high)
+        lo, hi = low.copy(), high.copy()
+        while len(open_):
+            mid = (lo[open_] + hi[open_]) // 2
+            mine, theirs = start[order[open_]], start[order[base[open_] + mid]]
+            before, equal = less(buf, h, theirs, mine, length)
+            # what is equal in the left run stays in front
+            behind = before | (equal & ~left[open_])
+            lo[open_] = np.where(behind, mid + 1, lo[open_])
+            hi[open_] = np.where(behind, hi[open_], mid)
+            open_ = open_[lo[open_] < hi[open_]]
+        pair = (run // 2) * 2 * width
+        new = base + np.where(there, pair + (place - run * width) + (lo - low), place)
+        moved = np.full_like(order, -1)
+        moved[new] = order
+        if (moved < 0).any():  # comparisons that contradict each other: a collision, which is found when the order is verified
+            return np.arange(n)
+        order, width = moved, 2 * width
+    return order
+
+
+def in_order(buf: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Whether the bytes at a are less than, and whether they equal, those at b; compared byte by byte."""
+    before, equal = np.zeros(len(a), bool), np.zeros(len(a), bool)
+    step = max(1, 20_000_000 // length)
+    for k in range(0, len(a), step):
+        x = buf[a[k : k + step, None] + np.arange(length)]
+        y = buf[b[k : k + step, None] + np.arange(length)]
+        differ = x != y
+        at = differ.argmax(axis=1)
+        rows = np.arange(len(x))
+        equal[k : k + step] = ~differ[rows, at]
+        before[k : k + step] = x[rows, at] < y[rows, at]
+    return before, equal
+
+
 def repeated(hulls: list[bytes], groups: np.ndarray, lead: np.ndarray, windows: np.ndarray, length: int = LENGTH):
     """(hull, start, end) of what repeats among different hulls of a group.
 
@@ -83,52 +153,59 @@ def repeated(hulls: list[bytes], groups: np.ndarray, lead: np.ndarray, windows:
     Suffixes are compared with those that start as far before the anchor."""
     buf = np.frombuffer(b"".join(hulls), np.uint8)
     off = np.concatenate([[0], np.cumsum([len(x) for x in hulls])])
-    h = prefix_hash(buf)
     hull = np.repeat(np.arange(len(hulls)), windows)
     t = np.arange(len(hull)) - np.repeat(np.cumsum(windows) - windows, windows)
-    start = off[hull] + t
-    suffix = mix(span_hash(h, start, start + length) ^ mix(groups[hull].view(U) + (lead[hull] - t).astype(U)))
-    order = np.argsort(suffix, kind="stable")  # merge sort on the hash of the first bytes
-    same = np.flatnonzero(suffix[order[1:]] == suffix[order[:-1]])
-    i, j = order[same], order[same + 1]
-    # of each two neighbours the first window in common: their match runs on from there
-    if not len(i):
+    part = mix(groups[hull].view(U) + (lead[hull] - t).astype(U))
+    sort = np.argsort(part, kind="stable")
+    hull, t, part = hull[sort], t[sort], part[sort]
+    # a suffix that is alone in its part repeats nothing
+    new = part[1:] != part[:-1]
+    alone = np.concatenate([[True], new]) & np.concatenate([new, [True]])
+    hull, t, part = hull[~alone], t[~alone], part[~alone]
+    if not len(hull):
         return []
-    sort = np.lexsort((t[i], hull[j], hull[i]))
-    i, j = i[sort], j[sort]
-    lead_in = np.flatnonzero(np.concatenate([[True], (hull[i][1:] != hull[i][:-1]) | (hull[j][1:] != hull[j][:-1])]))
-    i, j = i[lead_in], j[lead_in]
-    most = np.minimum(off[hull[i] + 1] - start[i], off[hull[j] + 1] - start[j])
-    run = extension(h, start[i], start[j], most)
-    out = []
-    for a, b, ta, tb, n in zip(hull[i], hull[j], t[i], t[j], run, strict=True):
-        ta, tb, n = int(ta), int(tb), int(n)
-        if n >= length and hulls[a][ta : ta + n] == hulls[b][tb : tb + n]:
-            out += [(int(a), ta, ta + n), (int(b), tb, tb + n)]
-    return out
+    start = off[hull] + t
+    order = suffix_order(buf, prefix_hash(buf), start, part, length)
+    inside = part[1:] == part[:-1]
+    before, equal = in_order(buf, start[order[:-1]], start[order[1:]], length)
+    if (inside & ~before & ~equal).any():  # a collision
+        raw = buf.tobytes()
+        order = np.array(sorted(range(len(start)), key=lambda k: (part[k], raw[start[k] : start[k] + length])))
+        before, equal = in_order(buf, start[order[:-1]], start[order[1:]], length)
+    equal &= inside
+    found = np.zeros(len(start), bool)
+    found[order[:-1][equal]] = found[order[1:][equal]] = True
+    hull, t = hull[found], t[found]
+    # windows in a row are one span
+    sort = np.lexsort((t, hull))
+    hull, t = hull[sort], t[sort]
+    ends = np.flatnonzero(np.append((np.diff(hull) != 0) | (np.diff(t) != 1), True)) if len(hull) else np.zeros(0, np.int64)
+    begins = np.append(0, ends[:-1] + 1) if len(ends) else ends
+    return [(int(hull[b]), int(t[b]), int(t[e]) + length) for b, e in zip(begins, ends, strict=True)]
 
 
 def _entries(docs: DataFrame, buckets: int, length: int) -> DataFrame:
-    schema = pa.schema([("bucket", pa.int32()), *((x, pa.binary()) for x in ("key", "cls", "place", "lead", "tail", "hull"))])
+    schema = pa.schema([("bucket", pa.int32()), *((x, pa.binary()) for x in ("key", "cls", "place", "lead", "tail", "d1", "d2"))])
 
     def run(batches):
         out = Dealer(buckets)
         for batch in batches:
             cls = batch.column(0).to_numpy()
             for first, last, buf, off in chunks(batch.column(1)):
-                _, doc, a, s1, s2, key, hull = anchors(buf, off, length)
+                _, doc, a, s1, s2, key = anchors(buf, off, length)
                 _, lead = np.unique(cls[first:last], return_index=True)  # copies in one run are dealt out once
                 keep = np.isin(doc, lead)
                 a, s1, s2, doc = (x[keep] for x in (a, s1, s2, doc))
-                key, hull = key[keep], hull[keep]
+                key, digest = key[keep], hull_digests(buf.tobytes(), s1, s2 + length)
                 out.add(
-                    key, key, cls[first + doc], (a - off[doc]).astype(np.int32), (a - s1).astype(np.int16), (a - s2).astype(np.int16), hull
+                    key, key, cls[first + doc], (a - off[doc]).astype(np.int32), (a - s1).astype(np.int16), (a - s2).astype(np.int16),
+                    digest[:, 0], digest[:, 1],
                 )
                 if out.full:
                     yield from out.flush(schema)
         yield from out.flush(schema)
 
-    return docs.mapInArrow(run, "bucket int, key binary, cls binary, place binary, lead binary, tail binary, hull binary")
+    return docs.mapInArrow(run, "bucket int, key binary, cls binary, place binary, lead binary, tail binary, d1 binary, d2 binary")
 
 
 def _met(entries: DataFrame, buckets: int, most: int) -> DataFrame:
@@ -137,13 +214,13 @@ def _met(entries: DataFrame, buckets: int, most: int) -> DataFrame:
 
     def run(batches):
         out = Dealer(buckets)
-        for key, cls, place, lead, tail, hull in gather(batches, [U, np.int64, np.int32, np.int16, np.int16, U]):
-            order = np.lexsort((place, cls, hull, tail, lead, key))
-            key, cls, place, lead, tail, hull = (x[order] for x in (key, cls, place, lead, tail, hull))
+        for key, cls, place, lead, tail, d1, d2 in gather(batches, [U, np.int64, np.int32, np.int16, np.int16, U, U]):
+            order = np.lexsort((place, cls, d2, d1, tail, lead, key))
+            key, cls, place, lead, tail, d1, d2 = (x[order] for x in (key, cls, place, lead, tail, d1, d2))
             new = lambda *c: np.concatenate([[True], np.any([x[1:] != x[:-1] for x in c], axis=0)])
             once = new(key, cls, place)
-            key, cls, place, lead, tail, hull = (x[once] for x in (key, cls, place, lead, tail, hull))
-            at = np.flatnonzero(new(key, lead, tail, hull))
+            key, cls, place, lead, tail, d1, d2 = (x[once] for x in (key, cls, place, lead, tail, d1, d2))
+            at = np.flatnonzero(new(key, lead, tail, d1, d2))
             size = np.diff(np.append(at, len(key)))  # places of each hull
             by_key = np.flatnonzero(new(key[at]))
             hulls = np.diff(np.append(by_key, len(at)))  # hulls of each key
@@ -268,6 +345,21 @@ def _compared(hulls: DataFrame, length: int) -> DataFrame:
     return hulls.mapInArrow(run, "cls long, spans binary")
 
 
+def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Documents with their class, their sizes and SHA-256, and the classes (copies, smallest id): a class is one text."""
+    seed = 0
+    while True:
+        classed = docs.withColumn("cls", F.xxhash64("text", F.lit(seed)))
+        slim = saved(classed.select("doc_id", "cls", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")))
+        found = slim.groupBy("cls").agg(
+            F.count("*").alias("copies"), F.min("doc_id").alias("first"), (F.min("sha") != F.max("sha")).alias("mixed")
+        )
+        classes, seen = observed(found, F.coalesce(F.bool_or("mixed"), F.lit(False)).alias("mixed"))
+        if not seen["mixed"]:
+            return classed, slim, classes.drop("mixed")
+        seed += 1
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
     """``docs(doc_id, text)`` -> one row per input row: doc_id, n_bytes, n_removed, n_spans
     (maximal removed runs), kept_sha256 (of the remaining bytes), kept (those bytes; null if all are kept)."""
@@ -275,15 +367,14 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
         raise ValueError(f"length must be {GRAM} to 32000 bytes")
     buckets = buckets_of(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    docs = docs.select(F.col("doc_id").cast("long"), text.alias("text")).withColumn("cls", F.xxhash64("text"))
+    docs = docs.select(F.col("doc_id").cast("long"), text.alias("text"))
+    docs, slim, classes = _classes(docs)
     long_docs = docs.filter(F.octet_length("text") >= length)
 
     entries = _entries(long_docs.select("cls", "text"), buckets, length).repartition(buckets, "bucket").sortWithinPartitions("bucket")
     met = _met(entries, buckets, hot).repartition(buckets, "bucket").sortWithinPartitions("bucket")
     asked = saved(_by_document(met, length))
 
-    slim = saved(docs.select("doc_id", "cls", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")))
-    classes = slim.groupBy("cls").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first"))
     # texts with candidates, one of each class: its copies are dealt out by their ids
     wanted = asked.join(classes, "cls").withColumnRenamed("cls", "_cls")
     texts = long_docs.join(wanted, (F.col("cls") == F.col("_cls")) & F.col("doc_id").eqNullSafe(F.col("first"))).drop("_cls", "first")
