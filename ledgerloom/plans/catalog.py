@@ -56,6 +56,23 @@ def csv_strict_roundtrip(spark, sf_dir):
     return df.withColumn("amount", F.col("amount").cast("double"))
 
 
+def csv_rejected_rows(spark, sf_dir):
+    """The sales feed with bad rows (fourth lines with a text for their units; lines of orders divisible
+    by 50 without store): what was rejected and why, by document."""
+    pos = _m(spark, sf_dir).pos_raw
+    line, order = F.substring_index("doc_id", "-", -1), F.substring_index("doc_id", "-", 1).cast("long")
+    sent = pos.withColumns({
+        "units": F.when(line == "4", "n/a").otherwise(F.col("units").cast("string")),
+        "store_id": F.when(order % 50 != 0, F.col("store_id")),
+    })
+    path = lake.scratch_path(spark, "pos-bad-csv")
+    lake.export_csv(sent, path)
+    good, bad = src.read_sorting_out(spark, path, feeds.ddl(feeds.POS_CSV), feeds.POS_CSV.names)
+    kept = good.select("doc_id", F.lit("accepted").alias("reason"))
+    lost = bad.select(F.regexp_extract("raw", "^([^,]*)", 1).alias("doc_id"), "reason")
+    return kept.unionByName(lost).groupBy("doc_id", "reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def fx_csv_dimension(spark, sf_dir):
     """The FX feed as it arrives (text CSV: date as text), read strictly and
     conformed: parsed dates, normalised currencies, identity rate added."""
@@ -453,6 +470,7 @@ def layered_negative_margin_product(spark, sf_dir):
 def queries() -> dict[str, Query]:
     return {
         "csv_strict_roundtrip": csv_strict_roundtrip,
+        "csv_rejected_rows": csv_rejected_rows,
         "fx_csv_dimension": fx_csv_dimension,
         "parquet_projected": parquet_projected,
         "json_explode_snapshots": json_explode_snapshots,

@@ -426,6 +426,11 @@ _FACT_OUT = """doc_id, channel, date, store_id, product_key, doc_type, is_revenu
 
 FINAL: dict[str, str] = {
     "csv_strict_roundtrip": "SELECT doc_id, ts, store_id, sku, units, CAST(amount AS DOUBLE) AS amount, currency, doc_type FROM pos_raw",
+    "csv_rejected_rows": """
+        SELECT doc_id, CASE WHEN doc_id LIKE '%-4' THEN 'malformed'
+                            WHEN CAST(split_part(doc_id, '-', 1) AS BIGINT) % 50 = 0 THEN 'no store_id' ELSE 'accepted' END AS reason,
+               count(*) AS rows
+        FROM pos_raw GROUP BY ALL""",
     "fx_csv_dimension": "SELECT date, currency, CAST(rate AS DOUBLE) AS rate FROM fx",
     "parquet_projected": "SELECT c_custkey, c_nationkey, c_mktsegment FROM customer",
     "json_explode_snapshots": "SELECT strftime(date, '%Y-%m-%d') AS date, store_id, sku_erp, stock FROM snapshots_raw",

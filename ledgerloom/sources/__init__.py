@@ -7,6 +7,7 @@ from .files import (
     read_csv_strict,
     read_nested_json,
     read_parquet_projected,
+    read_sorting_out,
     stamp_lineage,
 )
 from .feeds import FeedPaths, read_erp_documents, read_feeds, read_fx_csv, read_sales_csv
@@ -28,6 +29,7 @@ __all__ = [
     "read_nested_json",
     "read_parquet_projected",
     "read_sales_csv",
+    "read_sorting_out",
     "read_table",
     "scratch_path",
     "stamp_lineage",

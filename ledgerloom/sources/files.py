@@ -14,10 +14,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .lake import scratch_path
+
 
 #: Columns that ``stamp_lineage`` adds.
 LINEAGE = ("_source", "_ingested_at")
@@ -27,6 +29,49 @@ def read_csv_strict(spark: SparkSession, path: str, schema: StructType | str) ->
     return spark.read.option("header", True).option("mode", "FAILFAST").schema(schema).csv(path)
 
 
+#: Columns of rejected rows.
+REJECTED = ("file", "reason", "raw")
+
+
+def read_sorting_out(
+    spark: SparkSession,
+    path: str,
+    schema: str,
+    required: Sequence[str] = (),
+    fmt: str = "csv",
+    max_pct: float | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(good rows, rejected rows) of CSV files with header or JSON Lines, from one parse.
+
+    A row that does not fit the declared schema, or has no value in a required column, is rejected with its
+    file, the reason and its text (as it was read, or written again where only a value is missing). The
+    parsed rows are written once to scratch, good and rejected ones apart. ``max_pct``: more rejected
+    rows in a hundred than that raise ``ValueError``."""
+    if fmt not in ("csv", "json"):
+        raise ValueError("fmt must be 'csv' or 'json'")
+    columns = spark.createDataFrame([], schema).columns
+    reader = spark.read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_raw").schema(f"{schema}, _raw string")
+    parsed = reader.option("header", True).csv(path) if fmt == "csv" else reader.json(path)
+    reason = F.when(F.col("_raw").isNotNull(), "malformed")
+    for c in required:
+        reason = reason.when(F.col(c).isNull(), f"no {c}")
+    again = F.to_csv(F.struct(*columns)) if fmt == "csv" else F.to_json(F.struct(*columns))
+    rows = parsed.select(
+        *columns, F.col("_metadata.file_path").alias("_file"), F.coalesce("_raw", again).alias("_text"), reason.alias("_reason"),
+    ).withColumn("_good", F.col("_reason").isNull())
+    rows = rows.withColumn("_text", F.when(~F.col("_good"), F.col("_text")))
+    folder, seen = scratch_path(spark, "sorted-out"), Observation()
+    counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.count("_reason").alias("rejected"))
+    counted.write.partitionBy("_good").parquet(folder)
+    counts = seen.get
+    if max_pct is not None and counts["rejected"] * 100 > max_pct * counts["rows"]:
+        raise ValueError(f"{path}: {counts['rejected']} of {counts['rows']} rows rejected, over {max_pct} %")
+    back = spark.read.schema(rows.schema).parquet(folder)
+    good = back.where("_good").select(*columns)
+    bad = back.where("not _good").select(F.col("_file").alias("file"), F.col("_reason").alias("reason"), F.col("_text").alias("raw"))
+    return good, bad
+
+
 def read_parquet_projected(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """Parquet scan that keeps only the allowed columns (the rest, e.g. personal
     data, never leaves the scan: the projection reaches the reader's ReadSchema)."""

@@ -29,6 +29,24 @@ def test_strict_csv_fails_on_malformed_row(spark, tmp_path):
         df.collect()
 
 
+def test_bad_rows_are_sorted_out_with_their_reason(spark, tmp_path):
+    p = _write(tmp_path / "s.csv", 'id,qty,amount\nA,1,2.5\nB,two,3.0\n,3,1.0\nC,4\nD,5,6,7\n"E,x",6,\n')
+    good, bad = src.read_sorting_out(spark, p, SCHEMA, ["id", "amount"])
+    assert [tuple(r) for r in good.collect()] == [("A", 1, 2.5)]
+    got = sorted((r.reason, r.raw) for r in bad.collect())
+    assert got == [("malformed", "B,two,3.0"), ("malformed", "C,4"), ("malformed", "D,5,6,7"), ("no amount", '"E,x",6,'), ("no id", ",3,1.0")]
+    assert all(r.file.endswith(p) for r in bad.collect()) and good.columns == ["id", "qty", "amount"]
+    assert src.read_sorting_out(spark, p, SCHEMA, ["id"], max_pct=70)[1].count() == 4
+    with pytest.raises(ValueError, match="4 of 6 rows rejected"):
+        src.read_sorting_out(spark, p, SCHEMA, ["id"], max_pct=50)
+    j = _write(tmp_path / "s.json", '{"id": "A", "qty": 1, "amount": 2.0}\n{"id": "B", "qty": "x"}\n{"id": \n{"qty": 3}\n')
+    good, bad = src.read_sorting_out(spark, j, SCHEMA, ["id"], fmt="json")
+    assert [r.id for r in good.collect()] == ["A"]
+    assert sorted((r.reason, r.raw) for r in bad.collect()) == sorted([("malformed", '{"id": "B", "qty": "x"}'), ("malformed", '{"id": '), ("no id", '{"qty":3}')])
+    empty = _write(tmp_path / "e.csv", "id,qty,amount\n")
+    assert [t.count() for t in src.read_sorting_out(spark, empty, SCHEMA, ["id"], max_pct=0)] == [0, 0]
+
+
 def test_required_columns_are_enforced(spark, tmp_path):
     """D2: nullable=False is not enforced by file sources; assert_required is."""
     p = _write(tmp_path / "nulls.csv", "id,qty,amount\nA,1,2.5\n,2,3.0\n")
