@@ -41,6 +41,8 @@ LENGTH = 400
 GRAM = 50
 HOT = 4096
 SLICE = 32
+#: Bytes of hulls that are sorted at once, or those of one key if that has more.
+SOLVED = 1_000_000
 _EMPTY = hashlib.sha256(b"").hexdigest()
 
 
@@ -134,10 +136,10 @@ def suffix_order(buf: np.ndarray, h: np.ndarray, start: np.ndarray, part: np.nda
 def in_order(buf: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Whether the bytes at a are less than, and whether they equal, those at b; compared byte by byte."""
     before, equal = np.zeros(len(a), bool), np.zeros(len(a), bool)
-    step = max(1, 20_000_000 // length)
+    windows = np.lib.stride_tricks.sliding_window_view(buf, length)
+    step = max(1, 4_000_000 // length)
     for k in range(0, len(a), step):
-        x = buf[a[k : k + step, None] + np.arange(length)]
-        y = buf[b[k : k + step, None] + np.arange(length)]
+        x, y = windows[a[k : k + step]], windows[b[k : k + step]]
         differ = x != y
         at = differ.argmax(axis=1)
         rows = np.arange(len(x))
@@ -334,7 +336,7 @@ def _compared(hulls: DataFrame, length: int) -> DataFrame:
         held, size = [], 0
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if size > 2_000_000 and row[0] != held[-1][0]:  # between two keys
+                if size > SOLVED and row[0] != held[-1][0]:  # between two keys
                     yield from solve(held)
                     held, size = [], 0
                 held.append(row)
