@@ -287,8 +287,11 @@ def sanitise(
     """``docs`` with ``text`` sanitised; other columns, rows and null texts are kept."""
     scanned = saved(scan(docs, window))
     terms = saved(revealing(scanned, disclosures(docs, scanned, support, generalise)))
-    keyed = docs.withColumn("text_key", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    joined = _same(keyed, terms)
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    # the caller's columns travel packed, so that none meets a name used here
+    packed = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    )
 
     @F.pandas_udf("string")
     def clean(text, found):
@@ -296,4 +299,5 @@ def sanitise(
             t, base_spans(t), [(x["start"], x["end"], x["disclosure"]) for x in (f if f is not None else [])], remove
         ))
 
-    return joined.withColumn("text", clean("text", "terms")).select(*docs.columns)
+    done = _same(packed, terms).select("row", clean(F.col("row.text").cast("string"), "terms").alias("text"))
+    return done.select(*[(F.col("text") if c.lower() == "text" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

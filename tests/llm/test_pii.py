@@ -7,6 +7,7 @@ import re
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from ledgerloom.llm import catalog, pii
 
@@ -123,6 +124,16 @@ def test_edge_cases(spark, docs_of):
     assert pii.find(docs_of([])).count() == 0
 
 
+def test_sanitise_keeps_columns_named_like_its_own(spark, docs_of):
+    own = ["terms", "_id", "_key", "text_key", "spans", "near", "row", "places"]
+    docs = docs_of(corpus())
+    named = docs.select("*", *[F.concat(F.lit(f"{c} of "), F.col("doc_id").cast("string")).alias(c) for c in own])
+    got = {r.doc_id: r for r in pii.sanitise(named).collect()}
+    want = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    assert {i: r.text for i, r in got.items()} == want
+    assert all(r[c] == f"{c} of {i}" for i, r in got.items() for c in own) and pii.sanitise(named).columns == named.columns
+
+
 def test_redact_overlaps_and_generalises():
     text = "call +1 4111 1111 1111 1111 now 12 Bob"
     out = pii.redact(text, [(2, 5, 27), (3, 7, 27)], [(32, 34, 0.85), (35, 38, 0.99)])
