@@ -1,12 +1,15 @@
 from __future__ import annotations
 
+import math
 import random
+import re
 import zlib
 
 import numpy as np
 import pytest
 
 from ledgerloom.llm import catalog, toxicity
+from ledgerloom.llm.texthash import word_hash
 
 
 def corpus(n=600, seed=4):
@@ -45,6 +48,68 @@ def test_noisy_or_of_sentences():
     assert -np.expm1(none) == pytest.approx([1 - (1 - p[0]) * (1 - p[1]), p[2], 0])
 
 
+def slots_of(text):
+    """Plain version of ``instances``: for each sentence with words its features, without repeats."""
+    out = []
+    for sentence in re.split(r"[.!?\n]", text):
+        low = "".join(c.lower() if c < "\u0100" else c for c in sentence)
+        found = set()
+        for w in re.findall(r"[a-z0-9\u0080-\U0010ffff]+", low):
+            raw = np.frombuffer(w.encode(), np.uint8)
+            for end, flip in ((len(raw), 0), (min(len(raw), toxicity.STEM), (1 << 64) - 1)):
+                h = int(word_hash(raw, np.array([0]), np.array([end]))[0]) ^ flip
+                found.add(h >> (64 - toxicity.WORD_BITS))
+        if found:
+            out.append(sorted(found))
+    return out
+
+
+def chance(sentences, weight, bias):
+    none = 1.0
+    for s in sentences:
+        none *= 1 - 1 / (1 + math.exp(-(bias + sum(weight[k] for k in s))))
+    return 1 - none
+
+
+def test_scores_equal_a_plain_noisy_or(spark, docs_of):
+    rows, labels, _ = corpus(300)
+    rows += [(9000, "É vile. ÖL\nnasty! 12?  foul"), (9001, None), (9002, "... !")]
+    model = toxicity.fit(docs_of(rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    got = {r.doc_id: r.score for r in toxicity.score(docs_of(rows), model).collect()}
+    for i, t in rows:
+        assert got[i] == pytest.approx(chance(slots_of(t or ""), model.weight.astype(float), model.bias), abs=1e-6)
+
+
+def test_steps_follow_the_likelihood_of_the_documents():
+    rows, labels, _ = corpus(120, seed=8)
+    y = np.array([float(x) for _, x in labels])
+    bags = [slots_of(t) for _, t in rows]
+    flat = [(d, s) for d, bag in enumerate(bags) for s in bag]
+    sentence = np.repeat(np.arange(len(flat)), [len(s) for _, s in flat])
+    slot = np.array([k for _, s in flat for k in s])
+    doc = np.array([d for d, _ in flat])
+
+    def fitted(steps):
+        m = toxicity.fit_bags(sentence, slot, doc, y, steps=steps, rate=0.01, penalty=0.0, least=1)
+        return m.weight.astype(float), m.bias
+
+    def likelihood(weight, bias):
+        return sum(math.log(max(1e-12, p if t else 1 - p)) for p, t in zip((chance(b, weight, bias) for b in bags), y, strict=True)) / len(y)
+
+    start, bias = fitted(0)
+    after, _ = fitted(1)
+    # Adam's first step has the sign of the gradient, found here by differences of the plain likelihood
+    for k in random.Random(1).sample(sorted(set(slot.tolist())), 25):
+        up, down = start.copy(), start.copy()
+        up[k] += 1e-4
+        down[k] -= 1e-4
+        gradient = likelihood(up, bias) - likelihood(down, bias)
+        if abs(gradient) > 1e-9:
+            assert np.sign(after[k] - start[k]) == np.sign(gradient)
+    values = [likelihood(*fitted(n)) for n in (0, 20, 80)]
+    assert values[0] < values[1] < values[2]
+
+
 def test_query_contract(spark, sf_small):
     rows = catalog.op5_toxicity(spark, sf_small).collect()
     docs = spark.read.parquet(f"{sf_small}/documents.parquet").collect()
