@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import math
+import re
 import zlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import catalog, language
@@ -31,6 +34,45 @@ def test_families_then_languages(spark):
     assert all(r.lang_pred == r.lang for r in got)
 
 
+def plain_prediction(model, text):
+    """Trigram shares, margins and votes, one text at a time."""
+    if text is None or not re.search(r"[^\W\d_]", text):
+        return "und", 0.0
+    low = "".join(c.lower() if c < "\u0100" else c for c in text).encode()
+    share = {}
+    for i in range(len(low) - 2):
+        slot = (int.from_bytes(low[i : i + 3], "big") * 2654435761 % 2**32) >> (32 - language.FEATURE_BITS)
+        share[slot] = share.get(slot, 0) + 1 / (len(low) - 2)
+
+    def vote(names):
+        if len(names) == 1:
+            return names[0], 30.0
+        beats = {n: [] for n in names}
+        for i, a in enumerate(names):
+            for b in names[i + 1 :]:
+                w = model.machines[a, b]
+                m = sum(v * model.scale * float(w[k]) for k, v in share.items()) + float(w[-1])
+                beats[a].append(m)
+                beats[b].append(-m)
+        best = sorted(names, key=lambda n: (-sum(m > 0 for m in beats[n]), -sum(beats[n]), n))[0]
+        return best, min(beats[best])
+
+    family, sure = vote(sorted(model.families))
+    lang, within = vote(model.families[family])
+    return lang, 1 / (1 + math.exp(-2 * min(sure, within, 30.0)))
+
+
+def test_predictions_equal_plain_votes(spark, sf_small):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    odd = spark.createDataFrame([(-1, None), (-2, "12 !"), (-3, "ab"), (-4, "ÀÉ los NIÑOS"), (-5, "é")], "doc_id long, text string")
+    for model in (catalog.language_model(docs), language.fit(spark.createDataFrame(toy(), "doc_id long, text string, lang string"))):
+        rows = docs.select("doc_id", "text").unionByName(odd)
+        text = {r.doc_id: r.text for r in rows.collect()}
+        for r in language.identify(rows, model).collect():
+            lang, score = plain_prediction(model, text[r.doc_id])
+            assert r.lang_pred == lang and r.score == pytest.approx(score, abs=1e-5)
+
+
 def test_edge_cases(spark, docs_of):
     docs = spark.createDataFrame([*toy(), (900, "the thing", None), (901, None, "en")], "doc_id long, text string, lang string")
     model = language.fit(docs)
