@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import dialogue, language, licences, mixing, multi_index, periodic, pieces, pii, repeats, rollups, tiling, toxicity
 from ledgerloom.llm.ngram_join import similar_documents
-from ledgerloom.llm.shared import table
+from ledgerloom.llm.shared import saved, table
 from ledgerloom.sources.lake import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,16 +100,17 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     under the first where that is shorter than 100 tokens; the third is committed twice."""
     docs = table(spark, sf_dir, "documents")
     ledger = rollups.TokenLedger(spark, scratch_path(spark, "tokens"))
-    counted = rollups.changes_of(docs, "words-1", rollups.word_tokens(F.col("text")))
-    ledger.commit(1, counted)
-    text = F.coalesce(F.col("text"), F.lit(""))
-    keys = docs.select("doc_id", F.sha2(text, 256).alias("key"))
-    first = keys.groupBy("key").agg(F.min("doc_id").alias("first"))
-    copies = keys.join(first, "key").filter("doc_id <> first").select("doc_id").distinct()
+    # texts are read once: every batch is made of their digests and counts
+    counted = saved(docs.select(
+        "doc_id", "source", "lang", F.sha2(F.coalesce(F.col("text"), F.lit("")), 256).alias("key"),
+        rollups.word_tokens(F.col("text")).alias("words"), rollups.piece_tokens(F.col("text")).alias("pieces"),
+    ))
+    ledger.commit(1, rollups.changes_of(counted, "words-1", F.col("words")))
+    first = counted.groupBy("key").agg(F.min("doc_id").alias("first"))
+    copies = saved(counted.select("doc_id", "key").join(first, "key").filter("doc_id <> first").select("doc_id").distinct())
     ledger.commit(2, rollups.deletes_of(copies, "words-1"))
     short = ledger.state().filter("n_tokens < 100").select("doc_id")
-    # counted before the join, which then moves no texts
-    recounted = rollups.changes_of(docs, "pieces-2", rollups.piece_tokens(F.col("text"))).join(copies, "doc_id", "left_anti")
+    recounted = rollups.changes_of(counted, "pieces-2", F.col("pieces")).join(copies, "doc_id", "left_anti")
     third = recounted.unionByName(rollups.deletes_of(short, "words-1"))
     ledger.commit(3, third)
     ledger.commit(3, third)
