@@ -15,11 +15,12 @@ from collections.abc import Sequence
 from datetime import date
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.docs import unknown_document_type
 from ..functions.money import ratio
+from ..sources.footers import footer_bounds
 from .keys import mapping_flags
 
 ERROR = "error"
@@ -46,7 +47,11 @@ class Check(NamedTuple):
 def _evaluate(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """All checks of one table from one aggregate: a row for each."""
     failed = [F.count_if(F.coalesce(c.bad, F.lit(False))).alias(f"_{i}") for i, c in enumerate(checks)]
-    counts = df.agg(F.count(F.lit(1)).alias("total"), *failed)
+    return _report(df.agg(F.count(F.lit(1)).alias("total"), *failed), checks)
+
+
+def _report(counts: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """The rows of checks from one row of counts: ``total``, and ``_i`` failures of the i-th check."""
     rows = F.array(*[
         F.struct(
             F.lit(c.name).alias("check"),
@@ -139,10 +144,30 @@ def inventory_checks(
     invalid_severity: str = WARNING,
 ) -> DataFrame:
     """Share of unknown readings (warning by default) and negative stock, one scan."""
-    return _evaluate(inventory, [
+    return _evaluate(inventory, _stock_checks(max_pct_invalid, invalid_severity))
+
+
+def _stock_checks(max_pct_invalid: float, invalid_severity: str) -> list[Check]:
+    return [
         Check("readings_valid", invalid_severity, ~F.col("reading_valid"), max_pct_invalid, "readings are unknown"),
         Check("stock_not_negative", ERROR, F.col("units") < 0, 0.0, "readings are below zero"),
-    ])
+    ]
+
+
+def inventory_checks_from_footers(
+    spark: SparkSession, path: str, max_pct_invalid: float = MAX_PCT_INVALID_READINGS,
+    invalid_severity: str = WARNING,
+) -> DataFrame:
+    """``inventory_checks`` of a stored inventory: a reading is unknown where its units are null, which
+    footers count, and no stock is negative where their least is not. Rows are read only to
+    count negative ones once there are some."""
+    total, bounds = footer_bounds(spark, path, ["units"])
+    units = bounds["units"]
+    negative = 0
+    if units.least is not None and units.least < 0:
+        negative = spark.read.parquet(path).where(F.col("units") < 0).count()
+    counts = spark.createDataFrame([(total, units.nulls, negative)], "total long, _0 long, _1 long")
+    return _report(counts, _stock_checks(max_pct_invalid, invalid_severity))
 
 
 def check_grain_unique(readings: DataFrame, grain: Sequence[str] = ("date", "store_id", "product_key")) -> DataFrame:

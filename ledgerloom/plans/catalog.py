@@ -16,6 +16,7 @@ from ..functions.money import UNIT_COST, money_out
 from ..operators import anchors as anc
 from ..operators import checks as chk
 from ..operators import marts
+from ..operators import streak_months as summaries
 from ..operators.dimensions import calendar, close_intervals, fx_dimension
 from ..operators.facts import POS_RAW, cost_sales, dedup_documents, settle_readings
 from ..operators.keys import mapping_discrepancies
@@ -23,6 +24,7 @@ from ..operators.splice import splice_intervals
 from ..sources import feeds
 from ..sources import files as src
 from ..sources import lake
+from ..sources.footers import footer_cutoff
 from . import bindings as b
 from .incremental import SalesLake
 from .model import RetailModel
@@ -348,6 +350,23 @@ def cutoff_date(spark, sf_dir):
     return _cutoff_frame(spark, sf_dir)
 
 
+def cutoff_from_footers(spark, sf_dir):
+    """Both cutoffs of a stored lake, from file footers."""
+    m = _m(spark, sf_dir)
+    found = []
+    for name, facts in (("sales", m.sales.select("date", "doc_id")), ("stock", m.inventory)):
+        path = lake.scratch_path(spark, f"dated-{name}")
+        lake.write_table(facts, path)
+        found.append(footer_cutoff(spark, [(path, "date")]))
+    return spark.createDataFrame([tuple(found)], "sales_cutoff date, stock_cutoff date")
+
+
+def checks_from_footers(spark, sf_dir):
+    path = lake.scratch_path(spark, "stock")
+    lake.write_table(_m(spark, sf_dir).inventory, path)
+    return chk.inventory_checks_from_footers(spark, path)
+
+
 def month_window_bounds(spark, sf_dir):
     c = _cutoff_frame(spark, sf_dir).select("cutoff", F.explode(F.array(*[F.lit(n) for n in (1, 3, 6, 12)])).alias("months"))
     return c.select(
@@ -402,6 +421,13 @@ def _scenario(name: str) -> Query:
     return q
 
 
+def streaks_history(spark, sf_dir):
+    """Runs over all days, from month summaries that are stored by month and merged."""
+    path = lake.scratch_path(spark, "streak-months")
+    lake.write_table(summaries.month_summaries(_m(spark, sf_dir).inventory), path, ["month"])
+    return summaries.runs_of(summaries.merge_history(lake.read_table(spark, path)))
+
+
 def streak_sensitivity(spark, sf_dir):
     m = _m(spark, sf_dir)
     return marts.streak_sensitivity(m.inventory, m.stock_cutoff)
@@ -504,6 +530,7 @@ def queries() -> dict[str, Query]:
         "sales_costed_asof_window": sales_costed_asof_window,
         "sales_incremental": sales_incremental,
         "cutoff_date": cutoff_date,
+        "cutoff_from_footers": cutoff_from_footers,
         "month_window_bounds": month_window_bounds,
         "quarter_window_bounds": quarter_window_bounds,
         "inventory_turnover_topn": inventory_turnover_topn,
@@ -514,6 +541,7 @@ def queries() -> dict[str, Query]:
         "streaks_unknown_bridged": _scenario("unknown_bridged"),
         "streaks_unknown_as_zero": _scenario("unknown_as_zero"),
         "streak_sensitivity": streak_sensitivity,
+        "streaks_history": streaks_history,
         "mom_growth_by_channel": mom_growth_by_channel,
         "negative_margin_product": negative_margin_product,
         "negative_margin_product_store": negative_margin_product_store,
@@ -524,6 +552,7 @@ def queries() -> dict[str, Query]:
         "check_invalid_readings": _one_check("readings_valid", lambda m: chk.inventory_checks(m.inventory)),
         "check_grain_unique": _one_check("grain_unique", lambda m: chk.check_grain_unique(m.readings)),
         "check_non_negative": _one_check("stock_not_negative", lambda m: chk.inventory_checks(m.inventory)),
+        "checks_from_footers": checks_from_footers,
         "check_revenue_positive": _one_check(
             "monthly_revenue_positive",
             lambda m: chk.check_revenue_positive(marts.growth_by_channel(m.sales, m.sales_cutoff)),

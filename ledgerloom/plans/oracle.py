@@ -317,6 +317,13 @@ CTES: dict[str, str] = {
     "runs_as_zero": """
         SELECT store_id, product_key, count(*) AS days
         FROM isl_as_zero GROUP BY store_id, product_key, isl HAVING count(*) > 3""",
+    "hist": """
+        SELECT *, datediff('day', DATE '1970-01-01', date) AS day,
+               count(CASE WHEN reading_valid THEN 1 END) OVER w AS valid_axis,
+               count(CASE WHEN reading_valid AND units = 0 THEN 1 END) OVER w AS zeros,
+               count(CASE WHEN units = 0 OR NOT reading_valid THEN 1 END) OVER w AS maybe_zeros
+        FROM inventory WHERE date IS NOT NULL AND store_id IS NOT NULL AND product_key IS NOT NULL
+        WINDOW w AS (PARTITION BY store_id, product_key ORDER BY date ROWS UNBOUNDED PRECEDING)""",
     "streak_detail": """
         SELECT r.store_id, s.city, s.region, r.product_key, p.sku_pos, p.name, p.category,
                r.run_start AS stockout_start, r.run_end AS stockout_end, r.days AS consecutive_days,
@@ -509,6 +516,8 @@ FINAL: dict[str, str] = {
                CAST(cost AS DOUBLE) AS cost, CAST(cost_total AS DOUBLE) AS cost_total, CAST(margin AS DOUBLE) AS margin
         FROM costed""",
     "cutoff_date": "SELECT sales_cutoff AS cutoff FROM cutoffs",
+    "cutoff_from_footers": """
+        SELECT (SELECT max(date) FROM sales) AS sales_cutoff, (SELECT max(date) FROM inventory) AS stock_cutoff""",
     "month_window_bounds": """
         SELECT sales_cutoff AS cutoff, n AS months,
                CAST(date_trunc('month', sales_cutoff) - to_months(n - 1) AS DATE) AS window_start,
@@ -548,6 +557,12 @@ FINAL: dict[str, str] = {
                 UNION ALL SELECT 'unknown_bridged', store_id FROM runs_bridged
                 UNION ALL SELECT 'unknown_as_zero', store_id FROM runs_as_zero)
             GROUP BY scenario) r ON v.scenario = r.scenario""",
+    "streaks_history": """
+        SELECT scenario, store_id, product_key, count(*) AS days FROM (
+            SELECT 'unknown_breaks' AS scenario, store_id, product_key, day - zeros AS isl FROM hist WHERE reading_valid AND units = 0
+            UNION ALL SELECT 'unknown_bridged', store_id, product_key, valid_axis - zeros FROM hist WHERE reading_valid AND units = 0
+            UNION ALL SELECT 'unknown_as_zero', store_id, product_key, day - maybe_zeros FROM hist WHERE units = 0 OR NOT reading_valid)
+        GROUP BY scenario, store_id, product_key, isl HAVING count(*) > 3""",
     "mom_growth_by_channel": "SELECT * FROM growth",
     "negative_margin_product": """
         SELECT m.product_key, p.sku_pos, p.sku_erp, p.name, p.category, m.units, m.revenue, m.cogs, m.margin, m.margin_pct,
@@ -561,6 +576,7 @@ FINAL: dict[str, str] = {
              JOIN stores s ON f.store_id = s.store_id
         WHERE f.margin < 0 OR f.product_key IN (SELECT product_key FROM m_product)""",
     **CHECKS,
+    "checks_from_footers": f"{CHECKS['check_invalid_readings']}\nUNION ALL\n{CHECKS['check_non_negative']}",
     "quality_report": "SELECT * FROM quality_report",
     "quality_gate": "SELECT * FROM quality_report WHERE NOT ok AND severity = 'error'",
     "layered_negative_margin_product": """

@@ -1,0 +1,98 @@
+"""Month summaries of streaks against the sorted series, and how they are added."""
+
+from __future__ import annotations
+
+import random
+from datetime import date, timedelta
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom.operators import marts
+from ledgerloom.operators import streak_months as sm
+from ledgerloom.sources import lake
+
+STOCK = "date date, store_id string, product_key bigint, units int, reading_valid boolean"
+
+
+def scan(series, how, longer_than):
+    """Lengths of the runs of one series, day by day."""
+    found, run, last = [], 0, None
+    for day in sorted(series):
+        units = series[day]
+        if units is None and how == "unknown_bridged":
+            continue
+        if last is not None and how != "unknown_bridged" and day - last > timedelta(days=1):
+            found.append(run)
+            run = 0
+        hit = units == 0 or units is None and how == "unknown_as_zero"
+        if not hit:
+            found.append(run)
+        run = run + 1 if hit else 0
+        last = day
+    return sorted(n for n in [*found, run] if n > longer_than)
+
+
+def world(seed, days=900):
+    rnd = random.Random(seed)
+    first = date(2018, 11, 20)
+    out = {}
+    for s, k, zero in (("A", 1, 30), ("A", 2, 4), ("B", 1, 200), ("B", 7, 1)):
+        out[s, k] = {}
+        gap = rnd.randrange(days - 150)  # months without any reading
+        for d in range(days):
+            if rnd.random() < 0.995 and not gap <= d < gap + 70:
+                out[s, k][first + timedelta(days=d)] = rnd.choices([0, None, 3], [zero, 1, 1])[0]
+    return out
+
+
+def frame(spark, series):
+    return spark.createDataFrame([(d, s, k, u, u is not None) for (s, k), days in series.items() for d, u in days.items()], STOCK)
+
+
+def listed(runs):
+    return sorted((r.scenario, r.store_id, r.product_key, r.days) for r in runs.collect())
+
+
+@pytest.mark.parametrize("seed,longer_than", [(1, 0), (2, 3), (3, 40)])
+def test_merged_months_equal_a_scan_of_the_series(spark, seed, longer_than):
+    series = world(seed)
+    months = sm.month_summaries(frame(spark, series), longer_than)
+    want = sorted(
+        (how, s, k, n) for how in marts.SCENARIOS for (s, k), days in series.items() for n in scan(days, how, longer_than)
+    )
+    assert want and listed(sm.runs_of(sm.merge_history(months, longer_than), longer_than)) == want
+    # any cut into consecutive spans gives the same
+    cut = months.withColumn("part", (F.col("first_day") > 18_000).cast("int"))
+    halves = sm.merge_summaries(cut, ["part"], longer_than)
+    assert listed(sm.runs_of(sm.merge_summaries(halves, [], longer_than), longer_than)) == want
+
+
+def test_a_quarter_equals_the_windowed_streaks(spark):
+    series = world(5)
+    inventory, end = frame(spark, series), date(2020, 3, 17)
+    period = inventory.where(F.col("date").between(date(2020, 1, 1), end))
+    assert listed(sm.runs_of(sm.merge_history(sm.month_summaries(period)))) == listed(marts.streak_scenarios(inventory, end))
+
+
+def test_a_later_month_leaves_stored_months_alone(spark, tmp_path):
+    inventory = frame(spark, world(6, days=400))
+    path = str(tmp_path / "months")
+    early = inventory.where("date < '2019-06-01'")
+    lake.write_table(sm.month_summaries(early), path, ["month"])
+    before = {p: p.stat().st_mtime_ns for p in Path(path).rglob("*.parquet")}
+    lake.write_table(sm.month_summaries(inventory.where("date >= '2019-06-01'")), path, ["month"], mode="append")
+    assert before.items() <= {p: p.stat().st_mtime_ns for p in Path(path).rglob("*.parquet")}.items()
+    merged = sm.runs_of(sm.merge_history(lake.read_table(spark, path)))
+    assert listed(merged) == listed(sm.runs_of(sm.merge_history(sm.month_summaries(inventory))))
+
+
+def test_no_window_and_odd_rows(spark):
+    day = date(2020, 2, 1)
+    rows = [(day + timedelta(days=i), "A", 1, 0, True) for i in range(29)] + [(None, "A", 1, 0, True), (day, None, 1, 0, True), (day, None, 1, 1, True), (day, "A", None, 0, True)]
+    months = sm.month_summaries(spark.createDataFrame(rows, STOCK))
+    runs = sm.runs_of(sm.merge_history(months))
+    assert listed(runs) == [(s, "A", 1, 29) for s in sorted(marts.SCENARIOS)]
+    assert "Window" not in runs._jdf.queryExecution().executedPlan().toString()
+    assert sm.runs_of(sm.merge_history(sm.month_summaries(spark.createDataFrame([], STOCK)))).count() == 0
