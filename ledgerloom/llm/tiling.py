@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.shared import saved
 from ledgerloom.llm.texthash import (
     NOT_ALNUM, U, chunks, grams, lower_latin, mix, prefix_hash, span_hash, word_hash, words,
 )
@@ -32,6 +33,8 @@ SEED_WORDS = 5
 PERCENT = 50
 #: log2 of the bits of the seed table: 2**23 bits are 1 MB, whatever the benchmark's size.
 TABLE_BITS = 23
+#: Pairs of equal seeds that a task holds at once.
+PAIRS = 1 << 20
 
 
 def _hashed(column: pa.Array):
@@ -87,6 +90,42 @@ def in_table(table: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (table[(slot >> U(3)).astype(np.int64)] >> (slot & U(7)).astype(np.uint8)) & 1 > 0
 
 
+def _joined(diagonal: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stretches of document places on a diagonal, those that touch made one."""
+    order = np.lexsort((first, diagonal))
+    diagonal, first, last = diagonal[order], first[order], last[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (np.diff(diagonal) != 0) | (first[1:] != last[:-1] + 1)
+    begin = np.flatnonzero(new)
+    return diagonal[begin], first[begin], last[np.append(begin[1:], len(order))[: len(begin)] - 1]
+
+
+def seed_runs(
+    place: np.ndarray, seed: np.ndarray, at: np.ndarray, item_seed: np.ndarray, most: int = PAIRS
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Equal seeds of a document and an item as stretches (diagonal, first, last place in the
+    document). Places meet the item in chunks of about ``most`` pairs (one place with all of an
+    item at least), so a phrase repeated in both never lies here as all its pairs."""
+    order = np.argsort(place)
+    place, seed = place[order], seed[order]
+    order = np.argsort(item_seed)
+    spots, keys = at[order], item_seed[order]
+    low = np.searchsorted(keys, seed, "left")
+    n = np.searchsorted(keys, seed, "right") - low
+    upto = np.cumsum(n)
+    parts, a = [], 0
+    while a < len(place):
+        b = max(a + 1, int(np.searchsorted(upto, upto[a] - n[a] + most, "right")))
+        row = np.repeat(np.arange(a, b), n[a:b])
+        nth = np.arange(len(row)) - (upto[row] - n[row] - (upto[a] - n[a]))
+        i = place[row]
+        parts.append(_joined(i - spots[low[row] + nth], i, i))
+        a = b
+    if not parts:
+        return (np.zeros(0, np.int64),) * 3
+    return _joined(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+
+
 def tiles(pairs: np.ndarray, size: int, reach: int) -> list[tuple[int, int, int]]:
     """Greedy string tiling from seed matches.
 
@@ -94,14 +133,25 @@ def tiles(pairs: np.ndarray, size: int, reach: int) -> list[tuple[int, int, int]
     words. Returns (document, item, length) of the tiles."""
     if not len(pairs):
         return []
-    diagonal = pairs[:, 0] - pairs[:, 1]
-    order = np.lexsort((pairs[:, 0], diagonal))
-    p, d = pairs[order, 0], diagonal[order]
-    new = np.concatenate([[True], (np.diff(d) != 0) | (np.diff(p) != 1)])
-    first = np.flatnonzero(new)
-    length = np.diff(np.concatenate([first, [len(p)]])) + reach - 1
-    runs = [(int(n), int(p[f]), int(p[f] - d[f])) for n, f in zip(length, first, strict=True)]
+    p = pairs[:, 0]
+    return tile_runs(*_joined(p - pairs[:, 1], p, p), size, reach)
+
+
+def _room(used: set[int], ends: tuple[int, int], size: int) -> bool:
+    """Whether ``size`` unmarked words in a row are left between the ends."""
+    free = 0
+    for j in range(*ends):
+        free = 0 if j in used else free + 1
+        if free >= size:
+            return True
+    return False
+
+
+def tile_runs(diagonal: np.ndarray, first: np.ndarray, last: np.ndarray, size: int, reach: int) -> list[tuple[int, int, int]]:
+    """Greedy string tiling from the stretches of seeds of ``reach`` words (see ``seed_runs``)."""
+    runs = zip((last - first + reach).tolist(), first.tolist(), (first - diagonal).tolist(), strict=True)
     heap = [(-n, i, j) for n, i, j in runs]
+    ends = (min((j for _, _, j in heap), default=0), max((j - n for n, _, j in heap), default=0))
     heapify(heap)
     used_doc, used_item, out = set(), set(), []
     while heap:
@@ -112,6 +162,8 @@ def tiles(pairs: np.ndarray, size: int, reach: int) -> list[tuple[int, int, int]
             out.append((i, j, n))
             used_doc.update(range(i, i + n))
             used_item.update(range(j, j + n))
+            if not _room(used_item, ends, size):
+                break
             continue
         k = 0  # what is left of it waits for its turn
         while k < n:
@@ -127,6 +179,14 @@ def tiles(pairs: np.ndarray, size: int, reach: int) -> list[tuple[int, int, int]
     return out
 
 
+def _lists(column: pa.Array, place: str):
+    """Row -> (places, seeds) of a column of lists of structs."""
+    flat, off = column.flatten(), column.offsets.to_numpy()
+    off = off - off[0]
+    places, seeds = (flat.field(x).to_numpy(zero_copy_only=False) for x in (place, "seed"))
+    return lambda r: (places[off[r] : off[r + 1]], seeds[off[r] : off[r + 1]])
+
+
 def contaminated(
     docs: DataFrame, items: DataFrame, size: int = SEED_WORDS, percent: int = PERCENT, bits: int = TABLE_BITS
 ) -> DataFrame:
@@ -134,7 +194,7 @@ def contaminated(
     item), n_covered, n_tiles, coverage, tiles ("document:item:length" in words, by place),
     text_digest (of the document's whole text; tells apart texts with equal ids)."""
     spark = docs.sparkSession
-    seeds = item_seeds(items, size)
+    seeds = saved(item_seeds(items, size))
     shorter = [r.n for r in seeds.filter(F.col("n") < size).select("n").distinct().collect()]  # below ``size``
     table = spark.sparkContext.broadcast(seed_table(seeds, bits))
     schema = pa.schema([(x, pa.int64()) for x in ("seed", "doc_id", "text_digest", "place")])
@@ -155,11 +215,15 @@ def contaminated(
 
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     hits = docs.mapInArrow(run, "seed long, doc_id long, text_digest long, place long").distinct()
-    met = hits.join(seeds.withColumnRenamed("digest", "item_digest"), "seed")
-    # tiles over enough of an item need at least this many of its seeds, one for each ``size`` words
+    # a place meets an item once, however often its words stand there; where they stand comes with the item's text
+    whose = seeds.select("seed", "item_id", F.col("digest").alias("item_digest"), "n").distinct()
+    # tiles over enough of an item need at least this many places, one for each ``size`` words
     least = F.ceil(F.ceil(F.col("n") * percent / 100) / size)
     groups = ["doc_id", "text_digest", "item_id", "item_digest", "n"]
-    met = met.groupBy(*groups).agg(F.collect_list(F.struct("place", "at")).alias("met"))
+    met = hits.join(whose, "seed").groupBy(*groups).agg(F.collect_list(F.struct("place", "seed")).alias("met"))
+    stand = seeds.select(F.col("digest").alias("item_digest"), "seed", "at").distinct()
+    stand = stand.groupBy("item_digest").agg(F.collect_list(F.struct("at", "seed")).alias("item"))
+    met = met.filter(F.size("met") >= least).join(stand, "item_digest")
     result = pa.schema([
         *((x, pa.int64()) for x in ("doc_id", "item_id", "n_words", "n_covered", "n_tiles")),
         ("tiles", pa.string()), ("text_digest", pa.int64()),
@@ -168,9 +232,10 @@ def contaminated(
     def tile(batches):
         for batch in batches:
             out = []
-            for row in batch.to_pylist():
+            met, item = (_lists(batch.column(c), x) for c, x in (("met", "place"), ("item", "at")))
+            for r, row in enumerate(batch.select(groups).to_pylist()):
                 n, k = row["n"], min(size, row["n"])
-                found = sorted(tiles(np.array([(x["place"], x["at"]) for x in row["met"]]), k, k))
+                found = sorted(tile_runs(*seed_runs(*met(r), *item(r)), k, k))
                 covered = sum(x[2] for x in found)
                 if 100 * covered >= percent * n:
                     spans = ",".join(f"{i}:{j}:{m}" for i, j, m in found)
@@ -178,7 +243,7 @@ def contaminated(
             columns = list(zip(*out, strict=True)) or [[] for _ in result]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, result, strict=True)], schema=result)
 
-    found = met.filter(F.size("met") >= least).mapInArrow(
+    found = met.mapInArrow(
         tile, "doc_id long, item_id long, n_words long, n_covered long, n_tiles long, tiles string, text_digest long"
     )
     return found.withColumn("coverage", F.col("n_covered") / F.col("n_words")).distinct()

@@ -42,6 +42,27 @@ def test_tiles_are_those_of_the_definition(seed):
     assert sorted(T.tiles(np.array(pairs), 3, 3)) == greedy(doc, item, 3)
 
 
+@pytest.mark.parametrize("most", [1, 7, 1 << 20])
+def test_runs_of_places_and_seeds_are_those_of_the_pairs(most):
+    rnd = random.Random(most)
+    for n in (0, 1, 40):
+        place = np.array(sorted(rnd.sample(range(60), n)), np.int64)
+        seed, item = np.array([rnd.randrange(3) for _ in range(n)], np.int64), np.array([rnd.randrange(4) for _ in range(n)], np.int64)
+        pairs = np.array([(i, j) for i, s in zip(place, seed) for j, x in enumerate(item) if s == x], np.int64).reshape(-1, 2)
+        mixed = np.array(rnd.sample(range(n), n), np.int64)
+        runs = T.seed_runs(place[mixed], seed[mixed], np.arange(n), item, most)
+        assert sorted(T.tile_runs(*runs, 2, 2)) == sorted(T.tiles(pairs, 2, 2))
+        assert sum((last - first + 1) for _, first, last in zip(*runs)) == len(pairs)
+
+
+def test_phrases_repeated_in_both(spark, docs_of):
+    phrase = "all work and no play makes jack a dull boy "
+    rows = [(1, phrase * 3_000), (2, "a " * 50_000), (3, phrase), (4, "work and no play " + "x " * 30)]
+    items = spark.createDataFrame([(1, phrase * 20), (2, "a " * 100), (None, phrase * 2)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.n_words, r.n_covered, r.n_tiles) for r in T.contaminated(docs_of(rows), items).collect()}
+    assert got == {(1, 1): (200, 200, 1), (1, None): (20, 20, 1), (2, 2): (100, 100, 1), (3, None): (20, 10, 1)}
+
+
 def test_reordered_short_and_clean(spark, docs_of):
     rnd = random.Random(3)
     text = lambda n: " ".join(f"w{rnd.randrange(10**6)}" for _ in range(n))
