@@ -26,7 +26,8 @@ bucket ``hash(fact columns) mod salt`` (deterministic, so a retried task sends
 the row to the same bucket) and the version side is replicated once per
 bucket. A key holding a third of the facts then lands in ``salt`` tasks even
 where AQE's skew thresholds do not fire; the price is ``salt`` copies of the
-(small) version side.
+(small) version side. Facts that are stored by key and salt already
+(``sources.buckets``) name that column as ``salted_by``: they stay where they lie.
 """
 
 from __future__ import annotations
@@ -61,25 +62,30 @@ def asof_join(
     drop_uncovered: bool = False,
     salt: int = 1,
     strategy: str = "range",
+    salted_by: str | None = None,
 ) -> DataFrame:
-    """Facts with the ``attrs`` of their version (see the module for the rule)."""
+    """Facts with the ``attrs`` of their version (see the module for the rule). ``salted_by``:
+    an int column of the facts, from 0 to below ``salt``; it stays in the result."""
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
+    if salted_by and strategy != "range":
+        raise ValueError("salted_by belongs to the range strategy")
     v = timeline(versions, key, attrs, valid_from, valid_to)
     if strategy == "window":
         return _window_join(facts, v, key, on, attrs, drop_uncovered, salt)
     f = facts
-    if salt > 1:
+    if salt > 1 or salted_by:
         v = v.withColumn("_v_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-        f = facts.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(salt)))
+        if not salted_by:
+            f = facts.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(salt)))
     cond = (
         (f[key] == v["_v_key"])
         & (f[on] >= v["_v_from"])
         & (f[on] <= v["_v_to"])
         & (v["_v_next"].isNull() | (f[on] < v["_v_next"]))
     )
-    if salt > 1:
-        cond = cond & (f["_salt"] == v["_v_salt"])
+    if salt > 1 or salted_by:
+        cond = cond & (f[salted_by or "_salt"] == v["_v_salt"])
     joined = f.join(v, cond, "inner" if drop_uncovered else "left")
     return joined.drop("_v_key", "_v_from", "_v_to", "_v_next", "_v_salt", "_salt")
 

@@ -194,24 +194,29 @@ def settle_readings(readings: DataFrame) -> DataFrame:
 
 
 def value_inventory(
-    inventory: DataFrame, cost: DataFrame, drop_uncovered: bool = False, salt: int = 1, strategy: str = "range"
+    inventory: DataFrame, cost: DataFrame, drop_uncovered: bool = False, salt: int = 1, strategy: str = "range",
+    salted_by: str | None = None,
 ) -> DataFrame:
     """Cost valid on the reading date x units (NULL units stay NULL value)."""
     j = asof_join(
-        inventory, cost, "product_key", "date", ["cost"], drop_uncovered=drop_uncovered, salt=salt, strategy=strategy
+        inventory, cost, "product_key", "date", ["cost"], drop_uncovered=drop_uncovered, salt=salt, strategy=strategy,
+        salted_by=salted_by,
     )
     return j.withColumn("value", (F.col("units") * F.col("cost")).cast(MONEY))
 
 
 def cost_sales(
-    sales: DataFrame, cost: DataFrame, drop_uncovered: bool = False, salt: int = 1, strategy: str = "range"
+    sales: DataFrame, cost: DataFrame, drop_uncovered: bool = False, salt: int = 1, strategy: str = "range",
+    salted_by: str | None = None,
 ) -> DataFrame:
     """Cost valid on the sale date; cost total = units x cost; margin = amount -
     cost total. A sale without a covering cost keeps its row with NULL cost.
     ``salt`` > 1 spreads hot products explicitly; ``strategy="window"`` avoids
-    fact x version pairs for dense histories (see ``asof_join``)."""
+    fact x version pairs for dense histories; ``salted_by`` names the salt of facts that are
+    stored by product and salt (see ``asof_join``)."""
     j = asof_join(
-        sales, cost, "product_key", "date", ["cost"], drop_uncovered=drop_uncovered, salt=salt, strategy=strategy
+        sales, cost, "product_key", "date", ["cost"], drop_uncovered=drop_uncovered, salt=salt, strategy=strategy,
+        salted_by=salted_by,
     )
     cost_total = (F.col("units") * F.col("cost")).cast(MONEY)
     return j.withColumn("cost_total", cost_total).withColumn(

@@ -18,12 +18,13 @@ from ..operators import checks as chk
 from ..operators import marts
 from ..operators import streak_months as summaries
 from ..operators.dimensions import calendar, close_intervals, fx_dimension
-from ..operators.facts import POS_RAW, cost_sales, dedup_documents, settle_readings
+from ..operators.facts import POS_RAW, cost_sales, dedup_documents, settle_readings, value_inventory
 from ..operators.keys import mapping_discrepancies
 from ..operators.splice import splice_intervals
 from ..sources import feeds
 from ..sources import files as src
 from ..sources import lake
+from ..sources.buckets import SALT, write_bucketed
 from ..sources.footers import footer_cutoff
 from . import bindings as b
 from .incremental import SalesLake
@@ -31,6 +32,9 @@ from .model import RetailModel
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Numbers over which the rows of one product are dealt in bucketed facts.
+BUCKET_SALT = 8
+
 def _m(spark: SparkSession, sf_dir: str) -> RetailModel:
     return RetailModel(spark, sf_dir)
 
@@ -295,7 +299,17 @@ def dedup_by_grain(spark, sf_dir):
 
 
 def inventory_valued_asof(spark, sf_dir):
-    v = _m(spark, sf_dir).valued
+    return _valued_out(_m(spark, sf_dir).valued)
+
+
+def inventory_valued_bucketed(spark, sf_dir):
+    """O19 on stored facts: readings bucketed by product and salt meet the costs where they lie."""
+    m = _m(spark, sf_dir)
+    stored = write_bucketed(m.inventory, lake.scratch_path(spark, "buckets"), ["product_key"], salt=BUCKET_SALT)
+    return _valued_out(value_inventory(stored.table, m.cost, salt=stored.salt, salted_by=SALT))
+
+
+def _valued_out(v: DataFrame) -> DataFrame:
     return v.select(
         "date", "store_id", "product_key", "units", "reading_valid",
         F.col("cost").cast("double").alias("cost"), F.col("value").cast("double").alias("value"),
@@ -312,6 +326,13 @@ def sales_costed_asof_window(spark, sf_dir):
     return _costed_out(cost_sales(m.sales, m.cost, strategy="window", salt=4))
 
 
+def sales_costed_bucketed(spark, sf_dir):
+    """O20 on stored facts: sales bucketed by product and salt meet the costs where they lie."""
+    m = _m(spark, sf_dir)
+    stored = write_bucketed(m.sales, lake.scratch_path(spark, "buckets"), ["product_key"], salt=BUCKET_SALT)
+    return _costed_out(cost_sales(stored.table, m.cost, salt=stored.salt, salted_by=SALT))
+
+
 def sales_incremental(spark, sf_dir):
     """O43 by batches: the feeds arrive in three loads with documents sent again, quotes and cost versions
     late; the costed sales are those of a full run."""
@@ -528,6 +549,8 @@ def queries() -> dict[str, Query]:
         "inventory_valued_asof": inventory_valued_asof,
         "sales_costed_asof": sales_costed_asof,
         "sales_costed_asof_window": sales_costed_asof_window,
+        "sales_costed_bucketed": sales_costed_bucketed,
+        "inventory_valued_bucketed": inventory_valued_bucketed,
         "sales_incremental": sales_incremental,
         "cutoff_date": cutoff_date,
         "cutoff_from_footers": cutoff_from_footers,

@@ -511,6 +511,13 @@ FINAL: dict[str, str] = {
         SELECT doc_id, channel, date, product_key, is_revenue, units, CAST(amount AS DOUBLE) AS amount,
                CAST(cost AS DOUBLE) AS cost, CAST(cost_total AS DOUBLE) AS cost_total, CAST(margin AS DOUBLE) AS margin
         FROM costed""",
+    "sales_costed_bucketed": """
+        SELECT doc_id, channel, date, product_key, is_revenue, units, CAST(amount AS DOUBLE) AS amount,
+               CAST(cost AS DOUBLE) AS cost, CAST(cost_total AS DOUBLE) AS cost_total, CAST(margin AS DOUBLE) AS margin
+        FROM costed""",
+    "inventory_valued_bucketed": """
+        SELECT date, store_id, product_key, units, reading_valid, CAST(cost AS DOUBLE) AS cost,
+               CAST(value AS DOUBLE) AS value FROM valued""",
     "sales_incremental": """
         SELECT doc_id, channel, date, product_key, is_revenue, units, CAST(amount AS DOUBLE) AS amount,
                CAST(cost AS DOUBLE) AS cost, CAST(cost_total AS DOUBLE) AS cost_total, CAST(margin AS DOUBLE) AS margin
