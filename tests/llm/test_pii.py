@@ -138,3 +138,77 @@ def test_redact_overlaps_and_generalises():
     text = "call +1 4111 1111 1111 1111 now 12 Bob"
     out = pii.redact(text, [(2, 5, 27), (3, 7, 27)], [(32, 34, 0.85), (35, 38, 0.99)])
     assert out == "call <CARD> now <number> "
+
+
+def lowered(word):
+    return "".join(c.lower() if "A" <= c <= "Z" or "À" <= c <= "Þ" and c != "×" else c for c in word)
+
+
+def revealed(rows, window, support, generalise):
+    """doc_id -> (start, end, disclosure) of revealing terms, straight from the definitions; ids are unique."""
+    import math
+    from collections import defaultdict
+
+    word = re.compile(r"[A-Za-z0-9\u0080-\U0010ffff]+")
+    near, has, texts_of, docs_with = {}, defaultdict(set), {}, defaultdict(set)
+    for i, text in rows:
+        text = text or ""
+        spans = stated(text)
+        texts_of[i] = text
+        for m in word.finditer(text):
+            has[lowered(m.group())].add(i)
+        near[i] = defaultdict(set)
+        for k, a, b in spans:
+            value = text[a:b].lower() if k < 2 else re.sub("[^0-9]", "", text[a:b])
+            entity = (k, value)
+            docs_with[entity].add(i)
+            before = [m.span() for m in word.finditer(text[:a])][-window:]
+            after = [(b + m.start(), b + m.end()) for m in word.finditer(text[b:])][:window]
+            for s, e in before + after:
+                if e - s > 1 and not any(s < y and x < e for _, x, y in spans):
+                    near[i][entity, lowered(text[s:e])].add((s, e))
+    pair_docs, kind_texts = defaultdict(set), defaultdict(set)
+    for i, found in near.items():
+        for entity, term in found:
+            pair_docs[entity, term].add(i)
+            kind_texts[entity[0], term].add(texts_of[i])
+    total, out = len(rows), defaultdict(dict)
+    for (entity, term), docs in pair_docs.items():
+        n_e, texts_e = len(docs_with[entity]), len({texts_of[i] for i in docs_with[entity]})
+        texts_te = len({texts_of[i] for i in docs})
+        if n_e == total or not (len(kind_texts[entity[0], term]) >= support or texts_te >= min(support, max(2, texts_e))):
+            continue
+        share = math.log2(total * len(docs) / (len(has[term]) * n_e)) / -math.log2(n_e / total)
+        if share >= generalise:
+            for i in docs:
+                for place in near[i][entity, term]:
+                    out[i][place] = max(share, out[i].get(place, share))
+    return {i: sorted((s, e, d) for (s, e), d in places.items()) for i, places in out.items()}
+
+
+@pytest.mark.parametrize("generalise", [0.7, 0.3])  # three of so few documents tell less than 0.8
+def test_terms_planted_in_the_tables_texts_equal_brute_force(spark, docs_of, sf_small, generalise):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
+    texts = {r.doc_id: r.text for r in docs}
+    ids = sorted(i for i, t in texts.items() if t)
+    add = lambda i, s: texts.__setitem__(i, texts[i] + s)
+    for n, i in enumerate(ids[:3]):  # a nickname beside three addresses of one document each
+        add(i, f" Said Quillfeather of desk{n}@plant.example on that day.")
+    for i in ids[5:7]:  # a name in both texts of one number, an adjective in other texts too
+        add(i, " The harbourmaster, Ostrava-born, answers +44 (20) 7946 0958 in the end.")
+    for i in ids[8:40]:
+        add(i, " Ostrava is a town.")
+    add(ids[50], " Onlyonce writes from lone@plant.example now.")
+    rows = list(texts.items())
+    got = {r.doc_id: [(x.start, x.end, x.disclosure) for x in r.terms] for r in pii.find(docs_of(rows), generalise=generalise).collect()}
+    want = revealed(rows, pii.WINDOW, pii.SUPPORT, generalise)
+    assert {i: [x[:2] for x in t] for i, t in got.items() if t} == {i: [x[:2] for x in t] for i, t in want.items()}
+    assert all(x[2] == pytest.approx(y[2]) for i, t in want.items() for x, y in zip(got[i], t, strict=True))
+    words = {i: {texts[i][s:e] for s, e, _ in t} for i, t in got.items()}
+    assert all("Quillfeather" in words[i] for i in ids[:3]) and all("harbourmaster" in words[i] for i in ids[5:7])
+    assert "Onlyonce" not in words[ids[50]]
+    if generalise == 0.7:
+        assert not any("Ostrava" in w for w in words.values())
+        clean = {r.doc_id: r.text for r in pii.sanitise(docs_of(rows), generalise=generalise).collect()}
+        assert not any("Quillfeather" in t or "harbourmaster" in t for t in clean.values() if t)
+        assert all(clean[i] == texts[i] for i in texts if not stated(texts[i] or "") and texts[i] is not None)
