@@ -119,3 +119,23 @@ def test_the_caller_names_the_strategy(spark):
     facts = spark.createDataFrame([(1, date(2025, 1, 4), 1, 1.0)], "product_key bigint, date date, units int, amount double")
     with pytest.raises(ValueError):
         cost_sales(facts, costs, strategy="auto")
+
+
+@pytest.mark.parametrize("salt", [1, 8])
+def test_the_range_asof_join_never_broadcasts_a_history(spark, tmp_path, salt):
+    """The planner sees the size of the catalogue's file, not of the versions and salts exploded from
+    it: it would send any history through the driver."""
+    versions = F.transform(F.sequence(F.lit(0), F.lit(199)), lambda i: F.struct(F.date_add(F.lit(date(2025, 1, 1)), i).alias("valid_from"), i.cast("double").alias("cost")))
+    spark.range(300).select(F.col("id").alias("product_key"), versions.alias("v")).write.parquet(str(tmp_path / "catalogue"))
+    catalogue = spark.read.parquet(str(tmp_path / "catalogue"))
+    costs = close_intervals(catalogue.select("product_key", F.explode("v").alias("v")).select("product_key", "v.*"))
+    facts = spark.range(2_000).select(
+        (F.col("id") % 400).alias("product_key"), F.date_add(F.lit(date(2025, 1, 1)), (F.col("id") % 300).cast("int")).alias("date"),
+        F.lit(1).alias("units"), F.lit(10.0).alias("amount"),
+    )
+    out = cost_sales(facts, costs, salt=salt)
+    found = {r["cost"]: r["n"] for r in out.groupBy("cost").agg(F.count("*").alias("n")).collect()}
+    assert sum(found.values()) == 2_000 and found[None] == 500 and found[7.0] > 0
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
