@@ -139,3 +139,15 @@ def test_the_range_asof_join_never_broadcasts_a_history(spark, tmp_path, salt):
     out.collect()
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" not in plan and "SortMergeJoin" in plan
+
+
+def test_window_asof_evaluates_the_facts_once(spark):
+    costs = spark.createDataFrame([(1, date(2025, 1, 1), 5.0)], "product_key bigint, valid_from date, cost double")
+    facts = spark.range(50).select(
+        (F.col("id") % 3).alias("product_key"), F.date_add(F.lit(date(2024, 12, 1)), F.col("id").cast("int")).alias("date"),
+        F.lit(1).alias("units"), F.lit(10.0).alias("amount"),
+    )
+    costed = cost_sales(facts, close_intervals(costs), strategy="window", salt=4)
+    plan = costed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (0, 50") == 1 and "Join" not in plan
+    assert costed.where("cost = 5.0").count() == facts.where("product_key = 1 and date >= date'2025-01-01'").count()
