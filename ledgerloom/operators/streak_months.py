@@ -43,9 +43,12 @@ def month_summaries(inventory: DataFrame, min_days: int = MIN_STREAK_DAYS) -> Da
     month = F.trunc("date", "month")
     # a month has 31 days at most, which bounds the list
     known = inventory.where("date is not null and store_id is not null and product_key is not null")
-    days = known.groupBy(*SERIES, month.alias("month")).agg(F.map_from_entries(F.collect_list(day)).alias("days"))
-    length = F.dayofmonth(F.last_day("month"))
-    line = F.array_join(F.transform(F.sequence(F.lit(1), length), lambda i: F.coalesce(F.try_element_at("days", i), F.lit("-"))), "")
+    days = known.groupBy(*SERIES, month.alias("month")).agg(F.array_sort(F.collect_list(day)).alias("days"))
+    # days are put behind one another, with absent ones between; most series have few in a month
+    repeated = F.raise_error(F.lit("a store, product and day has several readings"))
+    step = lambda line, x: F.when(x.d <= F.length(line), repeated).otherwise(F.concat(F.rpad(line, x.d - 1, "-"), x.sign))
+    known_days = F.aggregate("days", F.lit(""), step)
+    line = F.rpad(known_days, F.dayofmonth(F.last_day("month")), "-")
     cases = F.array(*[
         F.struct(F.lit(name).alias("scenario"), F.translate("line", old, new).alias("axis")) for name, (old, new) in _TREATMENTS.items()
     ])
@@ -95,7 +98,9 @@ def merge_summaries(parts: DataFrame, by: Sequence[str] = (), min_days: int = MI
 
 
 def merge_history(months: DataFrame, min_days: int = MIN_STREAK_DAYS) -> DataFrame:
-    """One summary for each scenario and series: months to years, years to decades, those to the whole."""
+    """One summary for each scenario and series: months to years, years to decades, those to the whole. Summaries
+    are dealt by series once, and all levels merge where they lie."""
+    months = months.repartition("scenario", *SERIES)
     years = merge_summaries(months.withColumn("year", F.year("month")), ["year"], min_days)
     decades = merge_summaries(years.withColumn("decade", F.floor(F.col("year") / 10)), ["decade"], min_days)
     return merge_summaries(decades, [], min_days)

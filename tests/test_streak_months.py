@@ -96,3 +96,16 @@ def test_no_window_and_odd_rows(spark):
     assert listed(runs) == [(s, "A", 1, 29) for s in sorted(marts.SCENARIOS)]
     assert "Window" not in runs._jdf.queryExecution().executedPlan().toString()
     assert sm.runs_of(sm.merge_history(sm.month_summaries(spark.createDataFrame([], STOCK)))).count() == 0
+
+
+def test_levels_merge_without_moving_rows(spark):
+    rows = [(date(2025, 1, 30), "T1", 1, 0, True), (date(2025, 1, 31), "T1", 1, 0, True), (date(2025, 2, 1), "T1", 1, 0, True),
+            (date(2025, 2, 2), "T1", 1, 0, True), (date(2025, 2, 4), "T1", 1, None, False)]
+    months = sm.month_summaries(spark.createDataFrame(rows, STOCK))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    whole = sm.merge_history(months)
+    assert plan(whole).count("Exchange hashpartitioning") == plan(months).count("Exchange hashpartitioning") + 1
+    assert sorted((r.scenario, r.days) for r in sm.runs_of(whole).collect()) == [(s, 4) for s in sorted(marts.SCENARIOS)]
+    again = sm.month_summaries(spark.createDataFrame(rows + rows[:1], STOCK))
+    with pytest.raises(Exception, match="several readings"):
+        again.collect()
