@@ -99,3 +99,18 @@ def test_unknown_document_types(spark):
 def test_empty_table_passes_with_zero_total(spark):
     r = _by_name(chk.inventory_checks(spark.createDataFrame([], INV)))["stock_not_negative"]
     assert (r["failed"], r["total"], r["ok"], r["pct"]) == (0, 0, True, 0.0)
+
+
+def test_a_key_of_most_rows_meets_its_dimension_once(spark):
+    """Sales are counted by store before they meet the stores, which are not broadcast."""
+    sales = spark.range(1_000).selectExpr("if(id % 2 = 0, 'ONLINE', if(id % 50 = 1, null, 'T' || id % 7)) as store_id")
+    stores = spark.createDataFrame([("ONLINE",), ("T1",), ("T1",), (None,)], "store_id string")
+    report = chk.check_sales_have_store(sales, stores)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert any("keys=[store_id" in x and "partial_count(1)" in x for x in plan.splitlines())
+    known = sales.where("store_id in ('ONLINE', 'T1')").count()
+    r = report.first()
+    assert (r["failed"], r["total"]) == (1_000 - known, 1_000)
+    none = chk.check_sales_have_store(sales.limit(0), stores).first()
+    assert (none["failed"], none["total"], none["ok"]) == (0, 0, True)
