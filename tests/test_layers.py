@@ -116,3 +116,23 @@ def test_arguments(spark, sf_small):
         run_layers(spark)
     with pytest.raises(ValueError):
         run_layers(spark, sf_small, until="copper")
+
+
+def test_facts_are_those_of_the_costed_rows(spark, sf_small, full, tmp_path, monkeypatch):
+    """A fact is read from its costed rows, where it lies by month: nothing is dealt for it again."""
+    _, r = full
+    m = RetailModel(spark, sf_small)
+    for name, plan in (("fct_sales", m.sales), ("fct_inventory", m.inventory)):
+        got, wanted = r.tables[name].drop("month"), plan
+        assert got.columns == wanted.columns and got.exceptAll(wanted).isEmpty() and wanted.exceptAll(got).isEmpty()
+    plans, write = {}, lake.write_table
+
+    def seen(df, path, *args, **kw):
+        plans[path.rsplit("/", 1)[1]] = df._jdf.queryExecution().executedPlan().toString(), kw.get("stored")
+        write(df, path, *args, **kw)
+
+    monkeypatch.setattr(lake, "write_table", seen)
+    run_layers(spark, sf_small, str(tmp_path / "lake"), until="silver", stop_on_error=False)
+    for name in ("fct_sales", "fct_inventory"):
+        assert "Exchange" not in plans[name][0] and plans[name][1]
+    assert "Exchange" in plans["fct_sales_costed"][0] and not plans["fct_sales_costed"][1]
