@@ -23,6 +23,8 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .lake import CODEC, shuffles_removed
+
 SALT = "bucket_salt"
 _NOTE = "ledgerloom.buckets"
 
@@ -44,25 +46,37 @@ def _ticked(columns: Sequence[str]) -> str:
     return ", ".join(f"`{c}`" for c in columns)
 
 
-def write_bucketed(df: DataFrame, path: str, key: Sequence[str], buckets: int | None = None, salt: int = 1) -> Bucketed:
+def write_bucketed(
+    df: DataFrame | Sequence[DataFrame], path: str, key: Sequence[str], buckets: int | None = None, salt: int = 1
+) -> Bucketed:
     """``df`` as a new table at ``path``, one sorted file for each bucket (as many as shuffle partitions
-    where ``buckets`` is not given). A table that stands there is an error."""
+    where ``buckets`` is not given). A table that stands there is an error. Several frames of the same columns
+    make one table, with a file for each of them in a bucket: they are written one after another, and the
+    shuffle files of one are gone before the next one starts."""
+    pieces = [df] if isinstance(df, DataFrame) else list(df)
+    df = pieces[0]
+    for piece in pieces[1:]:
+        df = df.unionByName(piece)  # for its schema, and to see that the columns are the same
     if not key or salt < 1:
         raise ValueError("a key is needed, and a salt of 1 at least")
     if SALT in {c.lower() for c in df.columns}:
         raise ValueError(f"{SALT} is the name of the salt")
     spark = df.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = [*key, SALT]
-    df = df.withColumn(SALT, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salt)).cast("int"))
+    dealt, names = [*key, SALT], [f"`{c}`" for c in df.columns]
+    number = F.pmod(F.xxhash64(*map(F.col, names)), F.lit(salt)).cast("int")
     spark.sql(f"DROP TABLE IF EXISTS {_name(path)}")
-    (
-        df.repartition(buckets, *dealt)
-        .write.mode("error").format("parquet").bucketBy(buckets, *dealt).sortBy(*dealt).option("path", f"{path}/data")
-        .saveAsTable(_name(path))
-    )
+    with shuffles_removed(spark):
+        for i, piece in enumerate(pieces):
+            (
+                piece.select(*names).withColumn(SALT, number).repartition(buckets, *dealt)
+                .write.mode("append" if i else "error").format("parquet").option("compression", CODEC)
+                .bucketBy(buckets, *dealt).sortBy(*dealt).option("path", f"{path}/data")
+                .saveAsTable(_name(path))
+            )
     note = {"key": list(key), "buckets": buckets, "salt": salt}
-    spark.createDataFrame([], df.schema).withMetadata(key[0], {_NOTE: note}).write.parquet(f"{path}/schema")
+    schema = df.withColumn(SALT, number).schema
+    spark.createDataFrame([], schema).withMetadata(key[0], {_NOTE: note}).write.parquet(f"{path}/schema")
     return read_bucketed(spark, path)
 
 

@@ -62,3 +62,38 @@ def test_each_fact_is_scanned_once_for_all_its_checks(spark, sf_small, tmp_path)
     assert sum("amount:" in x for x in scans) == 1 and len(scans) == 3  # the fact and its two dimensions
     stock = _plan(chk.inventory_checks(r.tables["fct_inventory"]))
     assert stock.count("FileScan parquet") == 1
+
+
+def test_300_000_suppliers_do_not_move_the_lines(spark, tmp_path):
+    """Nations are sent, not the texts of their currencies, so that the lines stay where they are; suppliers,
+    customers and nations that are there twice or missing give the rows that a join of all gives."""
+    from ledgerloom.plans import bindings as b
+
+    rows = {
+        "supplier": spark.range(300_000).selectExpr("id as s_suppkey", "if(id = 5, null, cast(id % 4 as int)) as s_nationkey")
+        .unionByName(spark.sql("select 7L as s_suppkey, 1 as s_nationkey")),
+        "customer": spark.sql("select * from values (1L, 1), (2L, null), (3L, 2), (3L, 0) as t(c_custkey, c_nationkey)"),
+        "nation": spark.sql("select * from values (0, 'A', 0), (1, 'B', 1), (2, 'C', 2), (2, 'C2', 1) as t(n_nationkey, n_name, n_regionkey)"),
+        "region": spark.sql("select * from values (0, 'AMERICA'), (1, 'EUROPE'), (2, 'ASIA') as t(r_regionkey, r_name)"),
+        "orders": spark.sql(
+            "select id as o_orderkey, if(id = 4, null, id) as o_custkey, timestamp_ntz '2001-01-01' as o_orderdate, 9.5d as o_totalprice from range(6)"
+        ),
+        "lineitem": spark.sql(
+            "select id as l_orderkey, cast(1 as int) as l_linenumber, id as l_partkey, if(id = 8, null, id) as l_suppkey, 2d as l_quantity, "
+            "4d as l_extendedprice, 0d as l_discount, 'A' as l_returnflag, 'F' as l_linestatus, timestamp_ntz '2001-01-02' as l_shipdate from range(1, 10)"
+        ),
+    }
+    for name, df in rows.items():
+        df.write.parquet(str(tmp_path / f"{name}.parquet"))
+    pos, web = b.pos_raw(spark, str(tmp_path)), b.online_raw(spark, str(tmp_path))
+    assert "SortMergeJoin" not in _plan(pos) and "Exchange hashpartitioning" not in _plan(pos)
+    got = sorted((r.doc_id, r.currency or "") for r in pos.collect())
+    assert got == [
+        ("1-1", "EUR"), ("2-1", "EUR"), ("2-1", "MXN"), ("3-1", ""), ("4-1", "USD"), ("5-1", ""), ("6-1", "EUR"), ("6-1", "MXN"),
+        ("7-1", ""), ("7-1", "EUR"), ("8-1", ""), ("9-1", "EUR"),
+    ]
+    got = sorted((r.order_id, r.currency or "", float(r.amount)) for r in web.collect())
+    assert got == [
+        ("W0-0", "", 9.5), ("W1-1", "EUR", 4.0), ("W2-1", "", 4.0), ("W3-1", "EUR", 4.0), ("W3-1", "MXN", 4.0), ("W3-1", "USD", 4.0),
+        ("W4-1", "", 4.0), ("W5-1", "", 4.0),
+    ]
