@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import time
 from datetime import date
 
 import pytest
@@ -96,22 +95,10 @@ def test_values_of_readings(spark, tmp_path):
     assert got.exceptAll(want).count() == 0 and got.count() == ROWS
 
 
-def shuffle_files(spark):
-    """Of the session's executor; they are removed some moments after they are given up."""
-    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
-    names = blocks.getAllFiles().mkString("\n").split("\n")
-    return {n.rsplit("/", 1)[1] for n in names if "/shuffle_" in n}
-
-
-def test_pieces_make_one_table_and_leave_no_shuffle_files(spark, tmp_path, sorted_merges):
+def test_pieces_make_one_table_and_leave_no_shuffle_files(spark, tmp_path, sorted_merges, shuffles_left):
     pieces = [facts(spark).where("id % 2 = 0"), facts(spark).where("id % 2 = 1").select(*reversed(facts(spark).columns))]
-    before = shuffle_files(spark)
     stored = write_bucketed(pieces, str(tmp_path / "t"), ["product_key"], buckets=4, salt=3)
-    for _ in range(50):
-        if shuffle_files(spark) <= before:
-            break
-        time.sleep(0.1)
-    assert shuffle_files(spark) <= before
+    assert shuffles_left() == 0
     assert stored.table.columns == [*facts(spark).columns, SALT]
     assert stored.table.drop(SALT).exceptAll(facts(spark)).count() == 0 and stored.table.count() == ROWS
     one = write_bucketed(facts(spark), str(tmp_path / "u"), ["product_key"], buckets=4, salt=3)

@@ -7,6 +7,9 @@ from datetime import date
 import pytest
 
 from ledgerloom.operators import checks as chk
+from ledgerloom.plans import catalog
+from ledgerloom.plans.model import RetailModel
+from ledgerloom.sources import lake
 
 SALES = "product_key bigint, units int, amount double"
 PROD = "product_key bigint"
@@ -114,3 +117,24 @@ def test_a_key_of_most_rows_meets_its_dimension_once(spark):
     assert (r["failed"], r["total"]) == (1_000 - known, 1_000)
     none = chk.check_sales_have_store(sales.limit(0), stores).first()
     assert (none["failed"], none["total"], none["ok"]) == (0, 0, True)
+
+
+def test_a_report_keeps_the_shuffles_of_no_step_and_costs_channels_apart(spark, sf_small, shuffles_left, monkeypatch):
+    """What its tables were shuffled with is gone when they are written: only the dates' few rows are left."""
+    written, write = [], lake.write_table
+
+    def seen(df, path, *args, **kw):
+        written.append((path.rsplit("/", 1)[1].rsplit("-", 1)[0], df))
+        write(df, path, *args, **kw)
+
+    monkeypatch.setattr(lake, "write_table", seen)
+    report = catalog.quality_report(spark, sf_small)
+    assert shuffles_left(most=10_000) <= 10_000
+    assert [name for name, _ in written] == ["report-costed", "report-costed", "report-readings", "report-inventory"]
+    pos, online = (df for name, df in written if name == "report-costed")
+    assert pos.where("channel <> 'physical'").isEmpty() and online.where("channel <> 'online'").isEmpty()
+    m = RetailModel(spark, sf_small)
+    whole = m.costed.select(*pos.columns)
+    both = pos.unionByName(online)
+    assert whole.exceptAll(both).isEmpty() and both.exceptAll(whole).isEmpty()
+    assert {r["check"]: r["total"] for r in report.collect()}["cost_covered"] == whole.count()
