@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -136,3 +137,22 @@ def test_facts_are_those_of_the_costed_rows(spark, sf_small, full, tmp_path, mon
     for name in ("fct_sales", "fct_inventory"):
         assert "Exchange" not in plans[name][0] and plans[name][1]
     assert "Exchange" in plans["fct_sales_costed"][0] and not plans["fct_sales_costed"][1]
+
+
+def test_a_run_keeps_the_shuffles_of_no_table_and_costs_channels_apart(spark, sf_small, tmp_path, shuffles_left, monkeypatch):
+    """What its tables were shuffled with is gone when they are written and so are the readings, which
+    were there for two steps."""
+    root = Path(lake._scratch_root(spark).removeprefix("file:"))
+    readings = lambda: {p.name for p in root.glob("readings-*")}
+    before, written, write = readings(), [], lake.write_table
+
+    def seen(df, path, *args, **kw):
+        written.append((path.rsplit("/", 1)[1], df))
+        write(df, path, *args, **kw)
+
+    monkeypatch.setattr(lake, "write_table", seen)
+    r = run_layers(spark, sf_small, str(tmp_path / "lake"), until="silver", stop_on_error=False)
+    assert shuffles_left() == 0 and readings() == before
+    pieces = [df for name, df in written if name == "fct_sales_costed"]
+    assert [[x[0] for x in df.select("channel").distinct().collect()] for df in pieces] == [["physical"], ["online"]]
+    assert r.tables["fct_sales_costed"].count() == sum(df.count() for df in pieces)
