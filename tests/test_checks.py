@@ -138,3 +138,10 @@ def test_a_report_keeps_the_shuffles_of_no_step_and_costs_channels_apart(spark,
     both = pos.unionByName(online)
     assert whole.exceptAll(both).isEmpty() and both.exceptAll(whole).isEmpty()
     assert {r["check"]: r["total"] for r in report.collect()}["cost_covered"] == whole.count()
+
+
+def test_a_gate_keeps_the_shuffles_of_no_step(spark, sf_small, shuffles_left):
+    gate = catalog.quality_gate(spark, sf_small)
+    assert shuffles_left(most=10_000) <= 10_000
+    rows = gate.collect()
+    assert rows and all(r["severity"] == chk.ERROR and not r["ok"] for r in rows)
